@@ -223,8 +223,10 @@ def correlations():
         "subscription_length_days",
     ]
     rows = [
-        f"SELECT '{c}' AS feature_name, round(corr({c}, CAST(is_churned AS INTEGER)), 4) AS correlation_with_churn "
-        "FROM matrix WHERE is_churned IS NOT NULL"
+        f"""SELECT '{c}' AS feature_name,
+                   CASE WHEN min({c}) < max({c}) THEN round(corr({c}, CAST(is_churned AS INTEGER)), 4) END
+                       AS correlation_with_churn
+            FROM matrix WHERE is_churned IS NOT NULL"""
         for c in names
     ]
     return " UNION ALL ".join(rows)
@@ -234,9 +236,10 @@ def statistics():
     rows = [
         f"""SELECT '{c}' AS feature_name, count(*) AS total_users, {avg2(c)} AS mean_value,
                    round(stddev_samp({c}), 2) AS stddev_value, CAST(min({c}) AS BIGINT) AS min_value,
-                   CAST(max({c}) AS BIGINT) AS max_value, quantile_cont({c}::DOUBLE, 0.25) AS p25_value,
-                   quantile_cont({c}::DOUBLE, 0.5) AS median_value, quantile_cont({c}::DOUBLE, 0.75) AS p75_value,
-                   quantile_cont({c}::DOUBLE, 0.95) AS p95_value
+                   CAST(max({c}) AS BIGINT) AS max_value, round(quantile_cont({c}::DOUBLE, 0.25), 4) AS p25_value,
+                   round(quantile_cont({c}::DOUBLE, 0.5), 4) AS median_value,
+                   round(quantile_cont({c}::DOUBLE, 0.75), 4) AS p75_value,
+                   round(quantile_cont({c}::DOUBLE, 0.95), 4) AS p95_value
             FROM matrix"""
         for c in ("total_actions", "features_adopted", "subscription_length_days")
     ]

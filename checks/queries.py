@@ -410,7 +410,9 @@ def queries():
         "feature_usage_pivot": _on(features.feature_usage_pivot, behavior),
         "subscription_features": _on(features.subscription_features, subs),
         "feature_matrix": matrix,
-        "feature_statistics": _on(features.feature_statistics, _matrix),
+        "feature_statistics": _rounded(
+            _on(features.feature_statistics, _matrix), 4, "p25_value", "median_value", "p75_value", "p95_value"
+        ),
         "churn_correlation": _on(features.churn_correlation, _matrix),
         "class_balance": _on(profiles.class_balance, _matrix),
         "feature_completeness": _on(features.feature_completeness, _matrix),

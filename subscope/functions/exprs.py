@@ -24,6 +24,16 @@ def rounded_stddev(column, scale=2):
     return F.round(F.stddev(column), scale)
 
 
+def pearson(x, y):
+    """Pearson correlation over rows where both are known; NULL where either does not vary.
+
+    The built-in ``corr`` raises on a constant column in ANSI mode.
+    """
+    both = x.isNotNull() & y.isNotNull()
+    spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def churned_count(label="is_churned"):
     return F.count_if(F.col(label))
 

@@ -11,6 +11,7 @@ from subscope.functions.exprs import (
     hash_below,
     length_days,
     pct,
+    pearson,
     since,
     upper_band,
 )
@@ -175,7 +176,7 @@ def churn_correlation(matrix, columns=CORRELATION_FEATURES):
     """Pearson correlation of features with the label, strongest first."""
     label = F.col("is_churned").cast("double")
     one = matrix.where(F.col("is_churned").isNotNull()).agg(
-        *[F.round(F.corr(F.col(name).cast("double"), label), 4).alias(name) for name in columns]
+        *[F.round(pearson(F.col(name).cast("double"), label), 4).alias(name) for name in columns]
     )
     report = rows_from(
         one, ["feature_name", "correlation_with_churn"], [(F.lit(name), F.col(name)) for name in columns]

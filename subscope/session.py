@@ -21,12 +21,17 @@ def build_session(app="subscope", master=None, **conf):
     return builder.getOrCreate()
 
 
+_local_roots = {}
+
+
 def shared_dir(spark, name):
     """A new folder below ``spark.checkpoint.dir``; only a local session may do without that setting."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="subscope-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if context.applicationId not in _local_roots:
+            _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="subscope-")
+        root = _local_roots[context.applicationId]
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
