@@ -345,7 +345,7 @@ def _stream_actions(spark, sf_dir):
 def _stream_users(spark, sf_dir):
     stream = activity.behavior_stream(spark, sf_dir, "events.parquet")
     base = shared_dir(spark, "user-days")
-    path = activity.run_append(activity.daily_user_days(stream), f"{base}/table", f"{base}/checkpoint")
+    path = activity.run_update(activity.daily_user_days(stream), f"{base}/table", f"{base}/checkpoint")
     return activity.daily_active_users(spark.read.parquet(path))
 
 
@@ -354,8 +354,8 @@ def _stream_alerts(spark, sf_dir):
     path = _once(spark, sf_dir, "silver", None)
     base = shared_dir(spark, "alerts")
     scored = alerts.risk_alerts(alerts.feature_stream(spark, path, silver.schema), _whole_model(spark, sf_dir))
-    alerts.run_alerts(scored, f"{base}/table", f"{base}/checkpoint")
-    return spark.read.parquet(f"{base}/table").drop("prediction_timestamp", "batch")
+    activity.run_append(scored, f"{base}/table", f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/table").drop("prediction_timestamp")
 
 
 def queries():

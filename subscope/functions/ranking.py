@@ -38,7 +38,7 @@ def running_totals(hist, value, by, sums, per_octave=BUCKETS_PER_OCTAVE):
         buckets = buckets.withColumn(
             f"_up_{name}", F.coalesce(F.sum(f"_sum_{name}").over(earlier), F.lit(0))
         ).withColumn(f"{name}_total", F.sum(f"_sum_{name}").over(whole))
-    joined = _join_null_safe(placed, buckets.drop(*[f"_sum_{name}" for name in sums]), by + ["_bucket"])
+    joined = _join_buckets(placed, buckets.drop(*[f"_sum_{name}" for name in sums]), by)
     for name in sums:
         joined = joined.withColumn(f"{name}_before", F.col(f"_in_{name}") + F.col(f"_up_{name}"))
     return joined.drop("_bucket", *[f"_{kind}_{name}" for kind in ("in", "up") for name in sums])
@@ -77,7 +77,7 @@ def percentiles(hist, value, probabilities, by=()):
     )
     ordered = W.partitionBy(*by, "_bucket", "_t.name", "_t.edge").orderBy(value)
     found = (
-        _join_null_safe(wanted, placed, by + ["_bucket"])
+        _join_buckets(wanted, placed, by)
         .withColumn("_last", F.col("_first") + F.sum("n").over(ordered.rowsBetween(W.unboundedPreceding, 0)))
         .where((F.col("_t.rank") < F.col("_last")) & (F.col("_t.rank") >= F.col("_last") - F.col("n")))
     )
@@ -91,11 +91,10 @@ def percentiles(hist, value, probabilities, by=()):
     return found.groupBy(*by).agg(*columns)
 
 
-def _join_null_safe(left, right, keys):
-    """Inner join in which NULL keys match each other."""
-    renamed = right.withColumnsRenamed({key: f"_r_{key}" for key in keys})
-    same = [F.col(key).eqNullSafe(F.col(f"_r_{key}")) for key in keys]
-    condition = same[0]
-    for more in same[1:]:
-        condition = condition & more
-    return left.join(renamed, condition).drop(*[f"_r_{key}" for key in keys])
+def _join_buckets(left, right, by):
+    """Inner join on bucket and group, in which NULL groups match each other."""
+    renamed = right.withColumnsRenamed({key: f"_r_{key}" for key in [*by, "_bucket"]})
+    condition = F.col("_bucket") == F.col("_r__bucket")
+    for key in by:
+        condition = condition & F.col(key).eqNullSafe(F.col(f"_r_{key}"))
+    return left.join(renamed, condition).drop(*[f"_r_{key}" for key in [*by, "_bucket"]])

@@ -1,12 +1,14 @@
 """Treatment of long-tailed counts: logs, percentile bins, robust statistics, capping.
 
-The per-group cut points come from distinct values (see ``functions.ranking``) and are one row per group;
-joining them back is left to Spark's size check, and the adaptive skew join splits a hot group beyond it.
+The per-group cut points come from distinct values (see ``functions.ranking``) and are one row per group.
+They are written first, so that joining them back moves the rows only where the groups are too many to
+broadcast; the adaptive skew join then splits a hot group.
 """
 
 from pyspark.sql import functions as F
 
 from subscope.functions import ranking
+from subscope.session import settled
 
 
 def log_transform(df, value="view_count"):
@@ -15,7 +17,7 @@ def log_transform(df, value="view_count"):
 
 def _with_group_row(df, stats, by):
     """Left join on one nullable group key."""
-    renamed = stats.withColumnRenamed(by, "_group")
+    renamed = settled(stats.withColumnRenamed(by, "_group"), "group-cuts")
     return df.join(renamed, F.col(by).eqNullSafe(F.col("_group")), "left").drop("_group")
 
 
@@ -23,28 +25,26 @@ def percentile_bins(df, value="view_count", by="project", bins=10):
     """Decile 1..bins by percent rank within the group, and its label.
 
     All rows of one value share a percent rank, (rows below) / (rows - 1), hence one bin. The least value of
-    each bin is found on the distinct values; rows only compare themselves with those at most ``bins`` cuts.
+    each bin is found on the distinct values and becomes a column per bin, with which rows compare themselves.
     """
     hist = ranking.histogram(df.select(by, value), value, [by])
     ranked = ranking.running_totals(hist, value, [by], ["n"])
     place = F.coalesce(F.try_divide(F.col("n_before") * bins, F.col("n_total") - 1), F.lit(0))
     number = F.least(F.floor(place) + 1, F.lit(bins)).cast("int")
+    starts = [f"_start_{i}" for i in range(1, bins + 1)]
     cuts = (
         ranked.select(by, value, number.alias("bin"))
-        .groupBy(by, "bin")
-        .agg(F.min(value).alias("least"))
         .groupBy(by)
-        .agg(F.sort_array(F.collect_list(F.struct("least", "bin"))).alias("cuts"))
+        .agg(*[F.min(F.when(F.col("bin") == i, F.col(value))).alias(f"_start_{i}") for i in range(1, bins + 1)])
     )
-    reached = F.filter("cuts", lambda cut: cut["least"] <= F.col(value))
-    chosen = F.when(F.col(value).isNotNull(), F.try_element_at(reached, F.lit(-1))["bin"])
+    reached = [F.when(F.col(value) >= F.col(start), i) for i, start in enumerate(starts, 1)]
     step = 100 // bins
-    label = F.format_string("p%02d-%02d", (F.col("bin") - 1) * step, F.col("bin") * step)
+    labels = F.array(*[F.lit(f"p{i * step:02d}-{(i + 1) * step:02d}") for i in range(bins)])
     return (
         _with_group_row(df, cuts, by)
-        .withColumn("bin", chosen)
-        .withColumn("bin_label", F.when(F.col("bin").isNotNull(), label))
-        .drop("cuts")
+        .withColumn("bin", F.greatest(*reached))
+        .withColumn("bin_label", F.get(labels, F.col("bin") - 1))
+        .drop(*starts)
     )
 
 

@@ -1,5 +1,7 @@
 """Per-user features from behaviour and subscriptions, and reports over the feature matrix."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from subscope import settings as S
@@ -25,6 +27,24 @@ MATRIX_WINDOWS = RECENT_WINDOWS | {
     "actions_last_month": 30,
 }
 
+# Low-cardinality columns: the name of their distinct count, and their declared values.
+DIVERSITY = {
+    "feature_name": ("features_adopted", S.FEATURE_NAMES),
+    "device_type": ("device_types_used", S.DEVICE_TYPES),
+    "location": ("locations_used", S.LOCATIONS),
+}
+ENGAGEMENT = (
+    "total_actions",
+    "total_sessions",
+    "active_days",
+    "features_adopted",
+    "feature_usage_count",
+    "avg_session_duration",
+    "stddev_session_duration",
+    "device_types_used",
+    "locations_used",
+)
+
 # Defaults of the report operators.
 STATISTIC_FEATURES = ("total_actions", "features_adopted", "subscription_length_days")
 CORRELATION_FEATURES = (
@@ -40,20 +60,62 @@ def _is_action(name):
     return F.col("action_type") == name
 
 
-def _engagement_columns(as_of, windows):
-    """Aggregates per user; Spark turns the distinct counts into partial aggregates before the shuffle."""
-    return [
+def _declared(column, domain):
+    """Number of distinct values among those declared, as one bit per value: a few bytes per user."""
+    seen = F.bit_or(
+        reduce(
+            lambda bits, entry: bits.when(F.col(column) == entry[1], F.lit(1 << entry[0])),
+            enumerate(domain),
+            F.when(F.lit(False), F.lit(0)),
+        )
+        .otherwise(0)
+        .cast("long")
+    )
+    return F.bit_count(seen).cast("long")
+
+
+def _undeclared(behavior):
+    """Distinct values outside the domains per user; usually no row at all."""
+    strange = [
+        F.when(~F.col(column).isin(domain), F.col(column)).alias(column)
+        for column, (_, domain) in DIVERSITY.items()
+    ]
+    rows = behavior.where(
+        reduce(lambda a, b: a | b, [~F.col(column).isin(domain) for column, (_, domain) in DIVERSITY.items()])
+    ).select("user_id", *strange)
+    return rows.groupBy("user_id").agg(
+        *[F.countDistinct(column).alias(f"_{name}") for column, (name, _) in DIVERSITY.items()]
+    )
+
+
+def _per_user(behavior, as_of, windows, *more):
+    """Engagement aggregates per user.
+
+    Distinct counts make Spark copy every row once per counted column, together with all other aggregates.
+    So the sums are one aggregate, and the two distinct counts that need it (sessions, days) another; the
+    columns with a declared domain are counted by bits in the first. All are partitioned by user, so joining
+    them shuffles nothing more, and being left joins on unique keys they vanish when nobody reads their columns.
+    """
+    sums = behavior.groupBy("user_id").agg(
         F.count("*").alias("total_actions"),
-        F.countDistinct("session_id").alias("total_sessions"),
-        F.countDistinct(F.to_date("timestamp")).alias("active_days"),
-        F.countDistinct("feature_name").alias("features_adopted"),
         F.count_if(_is_action("feature_use")).alias("feature_usage_count"),
         F.avg("duration_seconds").alias("avg_session_duration"),
         F.stddev("duration_seconds").alias("stddev_session_duration"),
-        F.countDistinct("device_type").alias("device_types_used"),
-        F.countDistinct("location").alias("locations_used"),
+        *[_declared(column, domain).alias(name) for column, (name, domain) in DIVERSITY.items()],
         *[F.count_if(since(as_of, days)).alias(name) for name, days in windows.items()],
-    ]
+        *more,
+    )
+    distinct = behavior.groupBy("user_id").agg(
+        F.countDistinct("session_id").alias("total_sessions"),
+        F.countDistinct(F.to_date("timestamp")).alias("active_days"),
+    )
+    counted = {name: F.col(name) + F.coalesce(f"_{name}", F.lit(0)) for name, _ in DIVERSITY.values()}
+    return (
+        sums.join(distinct, "user_id", "left")
+        .join(_undeclared(behavior), "user_id", "left")
+        .withColumns(counted)
+        .drop(*[f"_{name}" for name in counted])
+    )
 
 
 def _action_columns():
@@ -69,8 +131,13 @@ def _feature_columns():
     ]
 
 
+def _ordered(per_user, windows, *more):
+    return per_user.select("user_id", *ENGAGEMENT, *windows, *more)
+
+
 def engagement_features(behavior, as_of=S.AS_OF, windows=None):
-    return behavior.groupBy("user_id").agg(*_engagement_columns(as_of, windows or RECENT_WINDOWS))
+    windows = windows or RECENT_WINDOWS
+    return _ordered(_per_user(behavior, as_of, windows), windows)
 
 
 def action_mix(behavior):
@@ -120,12 +187,15 @@ def subscription_features(subs, as_of=S.AS_OF):
 def feature_matrix(behavior, subs, as_of=S.AS_OF):
     """The 39-column matrix of one row per behaviour user.
 
-    Engagement, action counts and feature counts come from one aggregate over behaviour, so the only join
-    is with the subscriptions, one row per user on either side. Users without a subscription keep a NULL
-    label and fall to the stage without bound.
+    Action and feature counts are sums within the engagement aggregate rather than pivots of their own. All
+    joins have one row per user on either side. Users without a subscription keep a NULL label and fall to
+    the stage without bound.
     """
-    per_user = behavior.groupBy("user_id").agg(
-        *_engagement_columns(as_of, MATRIX_WINDOWS), *_action_columns(), *_feature_columns()
+    per_user = _ordered(
+        _per_user(behavior, as_of, MATRIX_WINDOWS, *_action_columns(), *_feature_columns()),
+        MATRIX_WINDOWS,
+        *[f"{name}_count" for name in S.ACTION_TYPES],
+        *S.FEATURE_NAMES,
     )
     actions = F.col("total_actions")
 

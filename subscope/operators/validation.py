@@ -61,24 +61,30 @@ def users_without_subscription(behavior, subs):
 def out_of_order(behavior, sequence, keys=("user_id", "session_id"), chunk=100_000):
     """Rows whose timestamp lies before that of an earlier row of the same session in arrival order.
 
-    The running maximum is taken within chunks of the arrival number, and a chunk's start value over the
-    chunk maxima, so that even a session with a large share of all rows is never ordered in one task.
+    The running maximum is taken within chunks of the arrival number, so that even a session with a large
+    share of all rows is never ordered in one task. Only sessions that cross a chunk border need the maximum
+    of their earlier chunks, and that small remainder is joined on. Both aggregates read one shuffle: the
+    arrival number in the maximum keeps their inputs identical.
     """
     keys = list(keys)
-    chunked = behavior.select(
-        *keys, "timestamp", sequence, F.floor(F.col(sequence) / chunk).alias("_chunk")
+    spread = (
+        behavior.select(*keys, "timestamp", sequence, F.floor(F.col(sequence) / chunk).alias("_chunk"))
+        .dropna(subset=[*keys, "timestamp", sequence])
+        .repartition(*keys, "_chunk")
     )
-    maxima = chunked.groupBy(*keys, "_chunk").agg(F.max("timestamp").alias("_latest"))
+    latest = F.max(F.struct("timestamp", sequence))["timestamp"]
     before = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
-    maxima = maxima.withColumn("_carried", F.max("_latest").over(before)).drop("_latest")
+    carried = (
+        spread.groupBy(*keys, "_chunk")
+        .agg(latest.alias("_latest"))
+        .withColumn("_carried", F.max("_latest").over(before))
+        .where(F.col("_carried").isNotNull())
+        .drop("_latest")
+    )
     inside = W.partitionBy(*keys, "_chunk").orderBy(sequence).rowsBetween(W.unboundedPreceding, -1)
-    placed = chunked.withColumn("_seen", F.max("timestamp").over(inside))
-    renamed = maxima.withColumnsRenamed({name: f"_r_{name}" for name in keys + ["_chunk"]})
-    same = F.lit(True)
-    for name in keys + ["_chunk"]:
-        same = same & F.col(name).eqNullSafe(F.col(f"_r_{name}"))
     return (
-        placed.join(renamed, same)
+        spread.withColumn("_seen", F.max("timestamp").over(inside))
+        .join(carried, [*keys, "_chunk"], "left")
         .where(F.col("timestamp") < F.greatest("_seen", "_carried"))
         .select(*keys, "timestamp", sequence)
     )

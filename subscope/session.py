@@ -35,3 +35,14 @@ def shared_dir(spark, name):
             _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="subscope-")
         root = _local_roots[context.applicationId]
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def settled(df, name):
+    """The same rows as a written table, whose size Spark knows.
+
+    A join with it is a broadcast if it is below ``spark.sql.autoBroadcastJoinThreshold``, and a shuffle join
+    otherwise. From an aggregate alone Spark cannot tell, and would shuffle the large side to be safe.
+    """
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

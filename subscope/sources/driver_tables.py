@@ -23,9 +23,14 @@ def _pick(index, names):
     return F.element_at(F.array(*[F.lit(name) for name in names]), (index + 1).cast("int"))
 
 
+def _with_k(events):
+    """The number in the JSON column, parsed once for all the columns made from it."""
+    return events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+
+
 def map_behavior(events, keep=()):
     """Event rows as user behaviour; works on static and streaming input."""
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.col("k")
     action = (
         F.when(F.col("event_type") == "signup", "login")
         .when(F.col("event_type") == "view", "page_view")
@@ -35,7 +40,7 @@ def map_behavior(events, keep=()):
     is_page = F.col("event_type") == "view"
     is_feature = F.col("event_type").isin("click", "purchase")
     user = F.col("user_id").cast("string")
-    return events.select(
+    return _with_k(events).select(
         user.alias("user_id"),
         F.col("ts").alias("timestamp"),
         F.concat(user, F.lit("_"), F.to_date("ts").cast("string")).alias("session_id"),
@@ -102,8 +107,8 @@ def subscriptions(spark, sf_dir, as_of=S.AS_OF):
 
 
 def pageviews(spark, sf_dir):
-    k = F.get_json_object("props", "$.k").cast("int")
-    return _read(spark, sf_dir, "events").select(
+    k = F.col("k")
+    return _with_k(_read(spark, sf_dir, "events")).select(
         F.col("event_type").alias("project"),
         F.concat(F.lit("Page_"), k.cast("string")).alias("page_title"),
         F.floor(F.col("value") * F.col("value") / 10).cast("int").alias("view_count"),

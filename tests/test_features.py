@@ -50,6 +50,19 @@ def test_last_days_count_from_midnight(make):
     assert (got.actions_last_7_days, got.actions_last_30_days) == (1, 2)
 
 
+def test_undeclared_values_are_counted_too(make):
+    behavior = make.behavior(
+        {"feature_name": "reports", "device_type": "mobile"},
+        {"feature_name": "reports", "device_type": "watch"},
+        {"feature_name": "new_one", "device_type": "watch"},
+        {"feature_name": "new_two", "device_type": None},
+        {"user_id": "v", "device_type": "tablet", "location": "EU"},
+    )
+    got = {row["user_id"]: row for row in rows(features.engagement_features(behavior))}
+    assert (got["u"]["features_adopted"], got["u"]["device_types_used"], got["u"]["locations_used"]) == (3, 2, 0)
+    assert (got["v"]["features_adopted"], got["v"]["device_types_used"], got["v"]["locations_used"]) == (0, 1, 1)
+
+
 def test_action_mix_sums_to_whole(make):
     behavior = make.behavior({}, {}, {"action_type": "page_view"}, {"action_type": "support_ticket"})
     got = features.action_mix(behavior).first()
