@@ -297,6 +297,17 @@ MODELS = {
         SELECT project, page_title, view_count, access_method, "timestamp" AS file_timestamp, file_size_bytes,
                'https://example.org/pageviews/' || filename AS source_url, 'wikimedia_pageviews' AS data_source
         FROM pageviews LEFT JOIN manifest ON filename = source_file"""),
+    "ingestion_flow": (["pageviews", "manifest"], """
+        SELECT project, page_title, view_count, access_method, "timestamp" AS file_timestamp, file_size_bytes,
+               'https://example.org/pageviews/' || filename AS source_url, 'wikimedia_pageviews' AS data_source,
+               CAST("timestamp" AS DATE) AS file_date
+        FROM pageviews JOIN
+             (SELECT *, row_number() OVER (PARTITION BY substr(filename, 11, 8)
+                                           ORDER BY md5('42' || filename), filename) AS r
+              FROM manifest
+              WHERE file_size_bytes > 0 AND CAST(substr(filename, 20, 2) AS INTEGER) BETWEEN 12 AND 16)
+             ON filename = source_file
+        WHERE r = 1"""),
     "write_layer": (["behavior"], """
         SELECT CAST("timestamp" AS DATE) AS event_date, count(*) AS row_count FROM behavior GROUP BY 1"""),
     "read_layer": (["behavior"], """

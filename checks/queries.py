@@ -21,7 +21,7 @@ from subscope.operators import (
     seasonality,
     validation,
 )
-from subscope.plans import medallion
+from subscope.plans import ingestion, medallion
 from subscope.session import shared_dir
 from subscope.sources import driver_tables as D
 from subscope.sources import layers, pageview_files
@@ -84,22 +84,45 @@ def _rounded(query, digits, *columns):
 # Ingestion
 
 
-def _lines(spark, sf_dir):
+def _line_files(spark, sf_dir):
     def build():
         path = shared_dir(spark, "lines")
         pageview_files.write_pageview_lines(D.pageviews(spark, sf_dir), path)
         return path
 
-    return pageview_files.parse_pageview_lines(spark, _once(spark, sf_dir, "lines", build))
+    return _once(spark, sf_dir, "lines", build)
 
 
-def _manifest(spark, sf_dir):
+def _manifest_file(spark, sf_dir):
     def build():
         path = shared_dir(spark, "manifest")
         pageview_files.write_file_manifest(D.manifest(spark, sf_dir), path)
         return path
 
-    return pageview_files.read_file_manifest(spark, _once(spark, sf_dir, "manifest", build), BASE_URL)
+    return _once(spark, sf_dir, "manifest", build)
+
+
+def _lines(spark, sf_dir):
+    return pageview_files.parse_pageview_lines(spark, _line_files(spark, sf_dir))
+
+
+def _manifest(spark, sf_dir):
+    return pageview_files.read_file_manifest(spark, _manifest_file(spark, sf_dir), BASE_URL)
+
+
+def _ingested(spark, sf_dir):
+    """The bronze table of the sampled files, written, compacted and read back."""
+    base = shared_dir(spark, "bronze")
+    written = ingestion.ingest_pageviews(
+        spark,
+        _manifest_file(spark, sf_dir),
+        _line_files(spark, sf_dir),
+        f"{base}/written",
+        BASE_URL,
+        "{folder}/source_file={name}",
+    )
+    compacted = layers.read_layer(spark, ingestion.compact(spark, written, f"{base}/compacted"))
+    return compacted.drop("source_file", "ingestion_timestamp")
 
 
 def _parsed(spark, sf_dir):
@@ -371,6 +394,7 @@ def queries():
         "daily_file_sample": _on(pageview_files.daily_file_sample, _manifest),
         "parse_pageview_lines": _parsed,
         "enrich_pageviews": _enriched,
+        "ingestion_flow": _ingested,
         "write_layer": _write_layer,
         "read_layer": _read_layer,
         "clustered_rewrite": _clustered,
