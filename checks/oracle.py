@@ -1,6 +1,6 @@
 """The same queries in SQL, written from the definitions and run by another engine."""
 
-from checks.oracle_inputs import with_inputs
+from checks.oracle_inputs import band, band_rows, with_inputs
 
 CHURNED = "count(*) FILTER (WHERE is_churned)"
 ACTIVE = "count(*) FILTER (WHERE NOT is_churned)"
@@ -16,22 +16,31 @@ def avg2(column, digits=2):
     return f"round(avg({column}), {digits})"
 
 
+def long_table(table, columns, name, cast=""):
+    """One row per row and column: the column's name and its value."""
+    names = ", ".join(f"'{c}'" for c in columns)
+    values = ", ".join(f"{c}{cast}" for c in columns)
+    return f"SELECT unnest([{names}]) AS {name}, unnest([{values}]) AS v, * FROM {table}"
+
+
 def null_rows(table, columns, name):
-    rows = [
-        f"SELECT '{c}' AS {name}, count(*) AS total_records, count({c}) AS non_null_count, "
-        f"count(*) - count({c}) AS null_count, {pct(f'(count(*) - count({c}))', 'count(*)')} AS null_percentage "
-        f"FROM {table}"
-        for c in columns
-    ]
-    return " UNION ALL ".join(rows)
+    return f"""
+        SELECT {name}, count(*) AS total_records, count(v) AS non_null_count,
+               count(*) FILTER (WHERE v IS NULL) AS null_count,
+               {pct('count(*) FILTER (WHERE v IS NULL)', 'count(*)')} AS null_percentage
+        FROM ({long_table(table, columns, name, '::VARCHAR')}) GROUP BY 1"""
 
 
 def active_users(period, key, name, previous):
+    """The previous period is found by its number rather than by a window."""
     return f"""
-        SELECT {key}, {name}, lag({name}) OVER (ORDER BY {key}) AS {previous},
-               {pct(f"({name} - lag({name}) OVER (ORDER BY {key}))", f"lag({name}) OVER (ORDER BY {key})")}
-                   AS {name}_change_pct
-        FROM (SELECT {period} AS {key}, count(DISTINCT user_id) AS {name} FROM behavior GROUP BY 1)"""
+        + periods AS (
+            SELECT {period} AS {key}, count(DISTINCT user_id) AS {name},
+                   row_number() OVER (ORDER BY {period}) AS number
+            FROM behavior GROUP BY 1)
+        SELECT now.{key}, now.{name}, past.{name} AS {previous},
+               {pct(f'(now.{name} - past.{name})', f'past.{name}')} AS {name}_change_pct
+        FROM periods now LEFT JOIN periods past ON past.number = now.number - 1"""
 
 
 def share_of(key, name):
@@ -119,53 +128,39 @@ def auc(rows, by):
             FROM steps {group})"""
 
 
-STAGE_LABELS = {
-    "stage": [
-        ("New Subscribers (0-30 days)", "age <= 30"),
-        ("Early Stage (31-90 days)", "age BETWEEN 31 AND 90"),
-        ("Established (91-365 days)", "age BETWEEN 91 AND 365"),
-        ("Veteran (365+ days)", "age > 365"),
-    ]
-}
-
-
 def funnel():
-    rows = [
-        f"""SELECT '{label}' AS stage, count(*) AS user_count, {CHURNED} AS churned_count,
-                   {pct(CHURNED, 'count(*)')} AS churn_rate, {pct(f'(count(*) - {CHURNED})', 'count(*)')}
-                   AS retention_rate, {pct('count(*)', '(SELECT count(*) FROM subscriptions)')} AS stage_percentage
-            FROM (SELECT is_churned, {AGE} AS age FROM subscriptions) WHERE {condition}"""
-        for label, condition in STAGE_LABELS["stage"]
-    ]
-    return " UNION ALL ".join(rows)
+    """The stages are a table to which the subscriptions are joined, so that empty ones stay."""
+    return f"""
+        SELECT label AS stage, count(age) AS user_count, {CHURNED} AS churned_count,
+               {pct(CHURNED, 'count(age)')} AS churn_rate, {pct(ACTIVE, 'count(age)')} AS retention_rate,
+               {pct('count(age)', '(SELECT count(*) FROM subscriptions)')} AS stage_percentage
+        FROM (VALUES {band_rows('funnel')}) AS b(least, greatest, label)
+        LEFT JOIN (SELECT is_churned, {AGE} AS age FROM subscriptions) ON age BETWEEN least AND greatest
+        GROUP BY 1"""
 
 
 def cohorts(extra):
+    """The grades are the five ten-point steps below 100, from best to worst."""
     return f"""
-        SELECT cohort_month, survival_month, user_count, churned_count, retention_rate, churn_rate,
-               CASE WHEN retention_rate >= 90 THEN 'Excellent' WHEN retention_rate >= 80 THEN 'Good'
-                    WHEN retention_rate >= 70 THEN 'Fair' WHEN retention_rate >= 60 THEN 'Poor'
-                    ELSE 'Critical' END AS retention_grade
-        FROM (SELECT strftime(subscription_start, '%Y-%m') AS cohort_month,
-                     CASE WHEN {AGE} <= 30 THEN 'Month 1' WHEN {AGE} <= 60 THEN 'Month 2'
-                          WHEN {AGE} <= 90 THEN 'Month 3' WHEN {AGE} <= 120 THEN 'Month 4'
-                          WHEN {AGE} <= 150 THEN 'Month 5' WHEN {AGE} <= 180 THEN 'Month 6'
-                          ELSE 'Month 6+' END AS survival_month,
+        SELECT *, (['Excellent', 'Good', 'Fair', 'Poor', 'Critical'])[
+                      CAST(least(greatest(10 - floor(retention_rate / 10), 1), 5) AS INTEGER)] AS retention_grade
+        FROM (SELECT strftime(subscription_start, '%Y-%m') AS cohort_month, {band('survival', AGE)} AS survival_month,
                      count(*) AS user_count, {CHURNED} AS churned_count,
-                     {pct(f'(count(*) - {CHURNED})', 'count(*)')} AS retention_rate,
-                     {pct(CHURNED, 'count(*)')} AS churn_rate
-              FROM subscriptions WHERE subscription_start >= DATE '2024-01-31' - 180
-              GROUP BY 1, 2 {extra})"""
-
-
-def kpi(metric, value, unit, table):
-    return f"SELECT '{metric}' AS metric, CAST({value} AS DOUBLE) AS value, '{unit}' AS unit FROM {table}"
+                     {pct(ACTIVE, 'count(*)')} AS retention_rate, {pct(CHURNED, 'count(*)')} AS churn_rate
+              FROM subscriptions WHERE {AGE} <= 180 GROUP BY 1, 2 {extra})"""
 
 
 def tier_count(tier):
     return f"count(*) FILTER (WHERE churn_risk = '{tier}')"
 
 
+def named_values(source, key, *entries):
+    """One row per (name, value) of a one-row aggregate."""
+    names = ", ".join(f"'{name}'" for name, _ in entries)
+    values = ", ".join(value for _, value in entries)
+    return f"SELECT unnest([{names}]) AS {key}, unnest([{values}]) AS value FROM {source}"
+
+
 def missing(columns):
     rows = [
         f"SELECT '{c}' AS column_name, count(*) - count({c}) AS missing_count FROM matrix" for c in columns
@@ -222,28 +217,23 @@ def correlations():
         "total_actions", "features_adopted", "avg_actions_per_session", "support_ticket_ratio",
         "subscription_length_days",
     ]
-    rows = [
-        f"""SELECT '{c}' AS feature_name,
-                   CASE WHEN min({c}) < max({c}) THEN round(corr({c}, CAST(is_churned AS INTEGER)), 4) END
-                       AS correlation_with_churn
-            FROM matrix WHERE is_churned IS NOT NULL"""
-        for c in names
-    ]
-    return " UNION ALL ".join(rows)
+    return f"""
+        SELECT feature_name, CASE WHEN min(v) < max(v) THEN round(corr(v, CAST(is_churned AS INTEGER)), 4) END
+                   AS correlation_with_churn
+        FROM ({long_table('matrix', names, 'feature_name', '::DOUBLE')}) WHERE is_churned IS NOT NULL GROUP BY 1"""
 
 
 def statistics():
-    rows = [
-        f"""SELECT '{c}' AS feature_name, count(*) AS total_users, {avg2(c)} AS mean_value,
-                   round(stddev_samp({c}), 2) AS stddev_value, CAST(min({c}) AS BIGINT) AS min_value,
-                   CAST(max({c}) AS BIGINT) AS max_value, round(quantile_cont({c}::DOUBLE, 0.25), 4) AS p25_value,
-                   round(quantile_cont({c}::DOUBLE, 0.5), 4) AS median_value,
-                   round(quantile_cont({c}::DOUBLE, 0.75), 4) AS p75_value,
-                   round(quantile_cont({c}::DOUBLE, 0.95), 4) AS p95_value
-            FROM matrix"""
-        for c in ("total_actions", "features_adopted", "subscription_length_days")
-    ]
-    return " UNION ALL ".join(rows)
+    names = ["total_actions", "features_adopted", "subscription_length_days"]
+    quantiles = ", ".join(
+        f"round(quantile_cont(v, {q}), 4) AS {name}_value"
+        for name, q in (("p25", 0.25), ("median", 0.5), ("p75", 0.75), ("p95", 0.95))
+    )
+    return f"""
+        SELECT feature_name, count(*) AS total_users, {avg2('v')} AS mean_value,
+               round(stddev_samp(v), 2) AS stddev_value, CAST(min(v) AS BIGINT) AS min_value,
+               CAST(max(v) AS BIGINT) AS max_value, {quantiles}
+        FROM ({long_table('matrix', names, 'feature_name', '::DOUBLE')}) GROUP BY 1"""
 
 
 def rate(condition):
@@ -265,8 +255,7 @@ TIME_WINDOWS = f"""
 SEGMENT_ROWS = f"""
     WITH people AS (
         SELECT s.user_id, s.p, s.y, plan_type, location,
-               CASE WHEN {AGE} <= 30 THEN 'new' WHEN {AGE} <= 90 THEN 'early'
-                    WHEN {AGE} <= 365 THEN 'established' ELSE 'veteran' END AS stage
+               {band('matrix_stage', AGE)} AS stage
         FROM labelled_scores s JOIN subscriptions USING (user_id) LEFT JOIN modal_location USING (user_id))
     SELECT 'plan_type' AS segment_type, plan_type AS segment, p, y FROM people
     UNION ALL SELECT 'stage', stage, p, y FROM people
@@ -308,6 +297,7 @@ MODELS = {
               WHERE file_size_bytes > 0 AND CAST(substr(filename, 20, 2) AS INTEGER) BETWEEN 12 AND 16)
              ON filename = source_file
         WHERE r = 1"""),
+    "silver_layer": (["matrix"], f"SELECT * REPLACE ({DURATION_ROUNDED}) FROM matrix"),
     "write_layer": (["behavior"], """
         SELECT CAST("timestamp" AS DATE) AS event_date, count(*) AS row_count FROM behavior GROUP BY 1"""),
     "read_layer": (["behavior"], """
@@ -336,19 +326,20 @@ MODELS = {
         FROM pageviews WHERE view_count IS NOT NULL"""),
     "null_profile": (["pageviews"], null_rows(
         "pageviews", ["project", "page_title", "view_count", "access_method"], "column_name")),
-    "summary_long": (["pageviews"], """
-        SELECT 'Total Records' AS metric, CAST(count(*) AS VARCHAR) AS value FROM pageviews
-        UNION ALL SELECT 'Total Files Processed', CAST(count(DISTINCT source_file) AS VARCHAR) FROM pageviews
-        UNION ALL SELECT 'Unique Projects', CAST(count(DISTINCT project) AS VARCHAR) FROM pageviews
-        UNION ALL SELECT 'Unique Page Titles', CAST(count(DISTINCT page_title) AS VARCHAR) FROM pageviews
-        UNION ALL SELECT 'Date Range Start', strftime(min(file_timestamp), '%Y-%m-%d %H:%M:%S') FROM pageviews
-        UNION ALL SELECT 'Date Range End', strftime(max(file_timestamp), '%Y-%m-%d %H:%M:%S') FROM pageviews"""),
+    "summary_long": (["pageviews"], named_values(
+        "pageviews", "metric",
+        ("Total Records", "CAST(count(*) AS VARCHAR)"),
+        ("Total Files Processed", "CAST(count(DISTINCT source_file) AS VARCHAR)"),
+        ("Unique Projects", "CAST(count(DISTINCT project) AS VARCHAR)"),
+        ("Unique Page Titles", "CAST(count(DISTINCT page_title) AS VARCHAR)"),
+        ("Date Range Start", "strftime(min(file_timestamp), '%Y-%m-%d %H:%M:%S')"),
+        ("Date Range End", "strftime(max(file_timestamp), '%Y-%m-%d %H:%M:%S')"))),
     "complete_record_ratio": (["pageviews"], f"""
-        SELECT 'Records with Complete Data' AS quality_metric, count(*) AS record_count,
-               {pct('count(*)', '(SELECT count(*) FROM pageviews)')} AS percentage
-        FROM pageviews WHERE project IS NOT NULL AND page_title IS NOT NULL AND view_count IS NOT NULL
-                             AND access_method IS NOT NULL
-        UNION ALL SELECT 'Total Records', count(*), 100.0::DOUBLE FROM pageviews"""),
+        SELECT quality_metric, value AS record_count, {pct('value', 'max(value) OVER ()')} AS percentage
+        FROM ({named_values('pageviews', 'quality_metric',
+                            ('Records with Complete Data',
+                             'count(*) FILTER (WHERE (project || page_title || view_count || access_method) NOTNULL)'),
+                            ('Total Records', 'count(*)'))})"""),
     "daily_pageview_trend": (["pageviews"], f"""
         SELECT CAST(file_timestamp AS DATE) AS date, count(*) AS total_pageviews,
                count(DISTINCT page_title) AS unique_pages, {avg2('view_count')} AS avg_views_per_page
@@ -357,10 +348,8 @@ MODELS = {
     "weekday_distribution": (["pageviews"], share_of(
         "CAST(dayofweek(file_timestamp) + 1 AS INTEGER)", "day_of_week")),
     "view_count_histogram": (["pageviews"], f"""
-        SELECT CASE WHEN view_count = 0 THEN '0' WHEN view_count BETWEEN 1 AND 10 THEN '1-10'
-                    WHEN view_count BETWEEN 11 AND 100 THEN '11-100' WHEN view_count BETWEEN 101 AND 1000 THEN '101-1K'
-                    WHEN view_count BETWEEN 1001 AND 10000 THEN '1K-10K' ELSE '10K+' END AS view_count_range,
-               count(*) AS page_count, {pct('count(*)', '(SELECT count(*) FROM pageviews)')} AS percentage
+        SELECT coalesce({band('views', 'view_count')}, '10K+') AS view_count_range, count(*) AS page_count,
+               {pct('count(*)', '(SELECT count(*) FROM pageviews)')} AS percentage
         FROM pageviews GROUP BY 1"""),
     "behavior_summary": (["behavior"], f"""
         SELECT count(*) AS total_records, count(DISTINCT user_id) AS unique_users,
@@ -385,10 +374,8 @@ MODELS = {
                {pct('count(*)', '(SELECT count(*) FROM subscriptions WHERE is_churned)')} AS percentage
         FROM subscriptions WHERE is_churned GROUP BY subscriptions.churn_reason"""),
     "churn_by_subscription_length": (["subscriptions"], f"""
-        SELECT CASE WHEN {LENGTH} <= 30 THEN '0-30 days' WHEN {LENGTH} <= 60 THEN '31-60 days'
-                    WHEN {LENGTH} <= 90 THEN '61-90 days' ELSE '90+ days' END AS subscription_length_range,
-               count(*) AS total_subscriptions, {CHURNED} AS churned_count,
-               {pct(CHURNED, 'count(*)')} AS churn_rate
+        SELECT {band('length', LENGTH)} AS subscription_length_range, count(*) AS total_subscriptions,
+               {CHURNED} AS churned_count, {pct(CHURNED, 'count(*)')} AS churn_rate
         FROM subscriptions WHERE subscription_end IS NOT NULL GROUP BY 1"""),
     "source_overview": (["pageviews", "behavior", "subscriptions"], f"""
         SELECT 'Wikimedia Pageviews' AS data_source, count(*) AS record_count,
@@ -427,8 +414,8 @@ MODELS = {
         FROM counts"""),
     "subscription_lifecycle": (["lifecycle"], f"""
         SELECT {SUBSCRIPTION_COLUMNS},
-               CASE WHEN subscription_end IS NOT NULL THEN 'churned' WHEN days_since_subscription <= 30 THEN 'new'
-                    WHEN days_since_subscription <= 90 THEN 'early' ELSE 'established' END AS subscription_stage
+               if(subscription_end IS NULL, {band('lifecycle_stage', 'days_since_subscription')}, 'churned')
+                   AS subscription_stage
         FROM lifecycle"""),
     "action_count_pivot": (["counts"], "SELECT * FROM counts"),
     "feature_usage_pivot": (["usage"], "SELECT * FROM usage"),
@@ -478,15 +465,15 @@ MODELS = {
         SELECT user_id, prediction, churn_probability,
                CASE WHEN prediction = 1 THEN 'high_risk' WHEN churn_probability >= 0.3 THEN 'medium_risk'
                     ELSE 'low_risk' END AS churn_risk FROM scores"""),
-    "executive_kpis": (["scores", "subscriptions"], " UNION ALL ".join([
-        kpi("Total Subscribers", "count(*)", "Count", "subscriptions"),
-        kpi("Active Subscribers", ACTIVE, "Count", "subscriptions"),
-        kpi("Churned Subscribers", CHURNED, "Count", "subscriptions"),
-        kpi("Overall Churn Rate", pct(CHURNED, "count(*)"), "Percentage", "subscriptions"),
-        kpi("High Risk Users", tier_count("high_risk"), "Count", "scores"),
-        kpi("Medium Risk Users", tier_count("medium_risk"), "Count", "scores"),
-        kpi("Low Risk Users", tier_count("low_risk"), "Count", "scores"),
-    ])),
+    "executive_kpis": (["scores", "subscriptions"], f"""
+        SELECT metric, CAST(value AS DOUBLE) AS value, if(metric LIKE '%Rate', 'Percentage', 'Count') AS unit
+        FROM ({named_values('subscriptions', 'metric', ('Total Subscribers', 'count(*)'),
+                            ('Active Subscribers', ACTIVE), ('Churned Subscribers', CHURNED),
+                            ('Overall Churn Rate', pct(CHURNED, 'count(*)')))}
+              UNION ALL
+              {named_values('scores', 'metric', ('High Risk Users', tier_count('high_risk')),
+                            ('Medium Risk Users', tier_count('medium_risk')),
+                            ('Low Risk Users', tier_count('low_risk')))})"""),
     "retention_funnel": (["subscriptions"], funnel()),
     "cohort_retention": (["subscriptions"], cohorts("")),
     "cohort_retention_by_day": (["subscriptions"], cohorts(f", {AGE}")),
@@ -500,18 +487,15 @@ MODELS = {
     "slice_by_payment": (["lifecycle"], slice_sql(
         "lifecycle", "payment_method", {"avg_subscription_length": "subscription_length_days"})),
     "engagement_segments": (["engagement", "subscriptions"], segments("engagement_level", """
-        CASE WHEN total_actions >= 100 AND features_adopted >= 4 THEN 'High Engagement'
-             WHEN total_actions >= 50 AND features_adopted >= 2 THEN 'Medium Engagement'
-             WHEN total_actions >= 20 AND features_adopted >= 1 THEN 'Low Engagement'
-             ELSE 'Minimal Engagement' END""", {
+        (SELECT label FROM (VALUES (1, 100, 4, 'High Engagement'), (2, 50, 2, 'Medium Engagement'),
+                                   (3, 20, 1, 'Low Engagement'), (4, 0, 0, 'Minimal Engagement'))
+                           AS b(place, actions, features, label)
+         WHERE total_actions >= actions AND features_adopted >= features ORDER BY place LIMIT 1)""", {
         "avg_total_actions": "total_actions", "avg_features_adopted": "features_adopted",
         "avg_session_duration": "avg_session_duration"})),
-    "adoption_segments": (["engagement", "subscriptions"], segments("adoption_segment", """
-        CASE WHEN features_adopted >= 5 THEN 'Power User (5+ features)'
-             WHEN features_adopted >= 3 THEN 'Regular User (3-4 features)'
-             WHEN features_adopted >= 1 THEN 'Basic User (1-2 features)'
-             ELSE 'Feature Averse (0 features)' END""", {
-        "avg_features_adopted": "features_adopted", "avg_total_actions": "total_actions"})),
+    "adoption_segments": (["engagement", "subscriptions"], segments(
+        "adoption_segment", band("adoption", "features_adopted"), {
+            "avg_features_adopted": "features_adopted", "avg_total_actions": "total_actions"})),
     "risk_distribution": (["scores"], f"""
         SELECT churn_risk, count(*) AS predicted_count,
                {pct('count(*)', '(SELECT count(*) FROM scores)')} AS predicted_percentage,
@@ -520,13 +504,12 @@ MODELS = {
                round(stddev_samp(churn_probability), 4) AS stddev_churn_probability
         FROM scores GROUP BY 1"""),
     "prediction_outcomes": (["scores"], f"""
-        SELECT CASE WHEN churn_risk = 'high_risk' THEN
-                    CASE WHEN is_churned THEN 'True Positive' ELSE 'False Positive' END
-                    ELSE CASE WHEN is_churned THEN 'False Negative' ELSE 'True Negative' END
-               END AS prediction_outcome,
-               count(*) AS count,
+        SELECT outcome AS prediction_outcome, count(*) AS count,
                {pct('count(*)', "(SELECT count(*) FROM scores WHERE churn_risk <> 'medium_risk')")} AS percentage
-        FROM scores WHERE churn_risk <> 'medium_risk' GROUP BY 1"""),
+        FROM scores JOIN (VALUES ('high_risk', true, 'True Positive'), ('high_risk', false, 'False Positive'),
+                                 ('low_risk', false, 'True Negative'), ('low_risk', true, 'False Negative'))
+                         AS cells(tier, churned, outcome) ON tier = churn_risk AND churned = is_churned
+        GROUP BY 1"""),
     "geographic_churn": (["engagement", "modal_location", "subscriptions"], f"""
         SELECT location, count(DISTINCT user_id) AS total_users, {CHURNED} AS churned_users,
                {pct(CHURNED, 'count(DISTINCT user_id)')} AS churn_rate,
@@ -554,32 +537,32 @@ MODELS = {
                round(count(DISTINCT session_id) * 1.0::DOUBLE / count(DISTINCT user_id), 2) AS sessions_per_user
         FROM behavior WHERE "timestamp" >= DATE '2024-01-31' - 90 GROUP BY 1"""),
     "risk_by_stage": (["scores", "subscriptions"], f"""
+        + staged AS (
+            SELECT {band('age_stage', AGE)} AS subscription_stage, churn_risk, churn_probability
+            FROM scores JOIN subscriptions USING (user_id)),
+        stages AS (SELECT subscription_stage, count(*) AS everyone FROM staged GROUP BY 1)
         SELECT subscription_stage, churn_risk, count(*) AS user_count,
-               {pct('count(*)', 'sum(count(*)) OVER (PARTITION BY subscription_stage)')} AS stage_percentage,
+               {pct('count(*)', 'max(everyone)')} AS stage_percentage,
                {avg2('churn_probability', 4)} AS avg_churn_probability
-        FROM (SELECT churn_risk, churn_probability,
-                     CASE WHEN {AGE} <= 30 THEN 'New (0-30 days)' WHEN {AGE} <= 90 THEN 'Early (31-90 days)'
-                          WHEN {AGE} <= 365 THEN 'Established (91-365 days)' ELSE 'Veteran (365+ days)' END
-                          AS subscription_stage
-              FROM scores JOIN subscriptions USING (user_id))
-        GROUP BY 1, 2"""),
+        FROM staged JOIN stages USING (subscription_stage) GROUP BY 1, 2"""),
     "kpi_scorecard": (["scores", "engagement"], f"""
-        SELECT 'Churn Rate' AS metric, v AS current_value, '15.2%' AS benchmark,
-               CASE WHEN v > 15.2 THEN 'Above Target' WHEN v > 12 THEN 'At Risk' ELSE 'On Target' END AS status
-        FROM (SELECT {pct(CHURNED, 'count(*)')} AS v FROM subscriptions)
-        UNION ALL
-        SELECT 'High Risk Users', CAST(v AS DOUBLE), '5%',
-               CASE WHEN v * 100.0 / n > 5 THEN 'Above Target' WHEN v * 100.0 / n > 3 THEN 'At Risk'
-                    ELSE 'On Target' END
-        FROM (SELECT {tier_count('high_risk')} AS v, count(*) AS n FROM scores)
-        UNION ALL
-        SELECT 'Feature Adoption Rate', round(v, 2), '3.0',
-               CASE WHEN v < 2.5 THEN 'Below Target' WHEN v < 3 THEN 'At Risk' ELSE 'On Target' END
-        FROM (SELECT avg(features_adopted) AS v FROM engagement)
-        UNION ALL
-        SELECT 'Early Stage Retention', round(v, 2), '85%',
-               CASE WHEN v < 80 THEN 'Below Target' WHEN v < 85 THEN 'At Risk' ELSE 'On Target' END
-        FROM (SELECT {ACTIVE} * 100.0::DOUBLE / count(*) AS v FROM subscriptions WHERE {AGE} <= 90)"""),
+        + figures AS (
+            SELECT 'Churn Rate' AS metric, {pct(CHURNED, 'count(*)')} AS shown, shown AS judged FROM subscriptions
+            UNION ALL
+            SELECT 'High Risk Users', {tier_count('high_risk')}, {tier_count('high_risk')} * 100.0::DOUBLE / count(*)
+            FROM scores
+            UNION ALL
+            SELECT 'Feature Adoption Rate', round(avg(features_adopted), 2), avg(features_adopted) FROM engagement
+            UNION ALL
+            SELECT 'Early Stage Retention', {pct(ACTIVE, 'count(*)')}, {ACTIVE} * 100.0::DOUBLE / count(*)
+            FROM subscriptions WHERE {AGE} <= 90)
+        SELECT metric, CAST(shown AS DOUBLE) AS current_value, benchmark,
+               if(side * (judged - off) > 0, worst, if(side * (judged - risky) > 0, 'At Risk', 'On Target')) AS status
+        FROM figures JOIN (VALUES ('Churn Rate', '15.2%', 1, 15.2, 12.0, 'Above Target'),
+                                  ('High Risk Users', '5%', 1, 5, 3, 'Above Target'),
+                                  ('Feature Adoption Rate', '3.0', -1, 2.5, 3.0, 'Below Target'),
+                                  ('Early Stage Retention', '85%', -1, 80, 85, 'Below Target'))
+                          AS marks(metric, benchmark, side, off, risky, worst) USING (metric)"""),
     "rolling_averages": (["dense_users"], """
         SELECT date, value,
                round(avg(value) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 4) AS avg_7d,

@@ -2,6 +2,48 @@
 
 K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 
+# Bands as (least, greatest, label), both inclusive; None is open.
+BANDS = {
+    "views": [
+        (0, 0, "0"), (1, 10, "1-10"), (11, 100, "11-100"), (101, 1000, "101-1K"), (1001, 10000, "1K-10K"),
+        (10001, None, "10K+"),
+    ],
+    "length": [(None, 30, "0-30 days"), (31, 60, "31-60 days"), (61, 90, "61-90 days"), (91, None, "90+ days")],
+    "matrix_stage": [(None, 30, "new"), (31, 90, "early"), (91, 365, "established"), (366, None, "veteran")],
+    "lifecycle_stage": [(None, 30, "new"), (31, 90, "early"), (91, None, "established")],
+    "funnel": [
+        (None, 30, "New Subscribers (0-30 days)"), (31, 90, "Early Stage (31-90 days)"),
+        (91, 365, "Established (91-365 days)"), (366, None, "Veteran (365+ days)"),
+    ],
+    "age_stage": [
+        (None, 30, "New (0-30 days)"), (31, 90, "Early (31-90 days)"), (91, 365, "Established (91-365 days)"),
+        (366, None, "Veteran (365+ days)"),
+    ],
+    "survival": [
+        (None, 30, "Month 1"), (31, 60, "Month 2"), (61, 90, "Month 3"), (91, 120, "Month 4"),
+        (121, 150, "Month 5"), (151, 180, "Month 6"), (181, None, "Month 6+"),
+    ],
+    "adoption": [
+        (5, None, "Power User (5+ features)"), (3, 4, "Regular User (3-4 features)"),
+        (1, 2, "Basic User (1-2 features)"), (None, 0, "Feature Averse (0 features)"),
+    ],
+}
+
+
+def band_rows(name):
+    """The band as a VALUES list."""
+    far = 9_000_000_000
+    return ", ".join(
+        f"({-far if least is None else least}, {far if greatest is None else greatest}, '{label}')"
+        for least, greatest, label in BANDS[name]
+    )
+
+
+def band(name, value):
+    """The label of a value, looked up in the band's table."""
+    return f"(SELECT label FROM (VALUES {band_rows(name)}) AS b(least, greatest, label) WHERE {value} BETWEEN least AND greatest)"
+
+
 INPUTS = {
     "behavior": f"""
         SELECT CAST(user_id AS VARCHAR) AS user_id,
@@ -102,7 +144,7 @@ INPUTS = {
     "fortnight": """
         SELECT user_id, count(*) FILTER (WHERE "timestamp" >= TIMESTAMP '2024-01-17') AS actions_last_2_weeks
         FROM behavior GROUP BY user_id""",
-    "matrix": """
+    "matrix": f"""
         SELECT e.*, e.actions_last_7_days AS actions_last_week, w.actions_last_2_weeks,
                e.actions_last_30_days AS actions_last_month,
                c.* EXCLUDE (user_id), u.* EXCLUDE (user_id), s.* EXCLUDE (user_id),
@@ -110,8 +152,7 @@ INPUTS = {
                e.total_actions / e.active_days::DOUBLE AS avg_actions_per_day,
                e.feature_usage_count * 100.0::DOUBLE / e.total_actions AS feature_usage_ratio,
                c.support_ticket_count * 100.0::DOUBLE / e.total_actions AS support_ticket_ratio,
-               CASE WHEN subscription_length_days <= 30 THEN 'new' WHEN subscription_length_days <= 90 THEN 'early'
-                    WHEN subscription_length_days <= 365 THEN 'established' ELSE 'veteran' END AS subscription_stage
+               coalesce({band("matrix_stage", "subscription_length_days")}, 'veteran') AS subscription_stage
         FROM engagement e
         JOIN counts c ON c.user_id = e.user_id
         JOIN fortnight w ON w.user_id = e.user_id

@@ -349,6 +349,13 @@ def _fold_auc(spark, sf_dir):
 # Flows and streams
 
 
+def _silver_layer(spark, sf_dir):
+    """The silver table built from the written bronze tables."""
+    base = shared_dir(spark, "layers")
+    medallion.build_bronze(base, D.pageviews(spark, sf_dir), D.behavior(spark, sf_dir), D.subscriptions(spark, sf_dir))
+    return layers.read_layer(spark, medallion.build_silver(spark, base))
+
+
 def _medallion(spark, sf_dir):
     """All layers written, a model trained, and the key figures read from the result."""
     base = shared_dir(spark, "layers")
@@ -482,6 +489,7 @@ def queries():
         "weekly_engagement_trend": _on(kpis.weekly_engagement_trend, behavior),
         "risk_by_stage": _on(dashboards.risk_by_stage, scores, subs),
         "kpi_scorecard": _on(dashboards.kpi_scorecard, subs, scores, _engagement),
+        "silver_layer": _rounded(_silver_layer, 6, "avg_session_duration", "stddev_session_duration"),
         "medallion_flow": _medallion,
         # described extensions
         "rolling_averages": _on(lambda b: seasonality.rolling_averages(seasonality.daily_users(b)), behavior),

@@ -93,8 +93,8 @@ def split_balance(df, fraction=0.8, seed=42, label="is_churned"):
 def time_windows(subs, folds=5, start="subscription_start"):
     """Assign users to ``folds + 1`` equal spans of start dates; fold i validates on span i, trains on 0..i-1."""
     days = F.datediff(F.col(start), F.lit("1970-01-01").cast("date"))
-    ends = subs.agg(F.min(days).alias("first"), F.max(days).alias("last"))
-    first, last = ends.select("first").scalar(), ends.select("last").scalar()
+    ends = subs.agg(F.struct(F.min(days).alias("first"), F.max(days).alias("last")).alias("ends")).scalar()
+    first, last = ends["first"], ends["last"]
     span = (last - first + 1).cast("double")
     number = F.floor((days - first) * (folds + 1) / span).cast("int")
     return subs.withColumn("time_window", number)

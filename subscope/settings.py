@@ -19,7 +19,8 @@ RISK_TIERS = ["high_risk", "medium_risk", "low_risk"]
 
 # Manifest timestamp format, file-name pattern and sampled hours.
 MANIFEST_TIME_FORMAT = "dd-MMM-yyyy HH:mm"
-PAGEVIEW_FILE_PATTERN = r"pageviews-(\d{8})-(\d{2})"
+PAGEVIEW_FILE = r"pageviews-(\d{8}-\d{2})"
+PAGEVIEW_FILE_TIME = "yyyyMMdd-HH"
 PEAK_HOURS = (12, 16)
 DATA_SOURCE = "wikimedia_pageviews"
 

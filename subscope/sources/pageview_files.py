@@ -20,16 +20,14 @@ def daily_file_sample(manifest, hours=S.PEAK_HOURS, seed=42):
 
     The choice is random by hash, thus the same on every run, and an aggregate rather than a sort.
     """
-    first, last = hours
-    columns = [F.col(name) for name in manifest.columns]
+    stamp = F.try_to_timestamp(
+        F.regexp_extract("filename", f"^{S.PAGEVIEW_FILE}", 1), F.lit(S.PAGEVIEW_FILE_TIME)
+    )
     draw = F.struct(F.md5(F.concat(F.lit(str(seed)), F.col("filename"))), F.col("filename"))
+    candidates = manifest.where((F.col("file_size_bytes") > 0) & F.hour(stamp).between(*hours))
     return (
-        manifest.where(F.col("filename").like("pageviews-%") & (F.col("file_size_bytes") > 0))
-        .withColumn("date", F.regexp_extract("filename", S.PAGEVIEW_FILE_PATTERN, 1))
-        .withColumn("hour", F.regexp_extract("filename", S.PAGEVIEW_FILE_PATTERN, 2).try_cast("int"))
-        .where(F.col("hour").between(first, last))
-        .groupBy("date")
-        .agg(F.min_by(F.struct(*columns), draw).alias("file"))
+        candidates.groupBy(F.to_date(stamp))
+        .agg(F.min_by(F.struct(*manifest.columns), draw).alias("file"))
         .select("file.*")
         .orderBy("timestamp")
     )
@@ -46,7 +44,7 @@ def parse_pageview_lines(spark, path):
         F.get(field, F.lit(2)).try_cast("int").alias("view_count"),
         F.get(field, F.lit(3)).alias("access_method"),
         location.alias("source_file"),
-        F.regexp_extract(location, S.PAGEVIEW_FILE_PATTERN + r"[^/]*", 0).alias("filename"),
+        F.regexp_extract(location, S.PAGEVIEW_FILE + r"[^/]*", 0).alias("filename"),
         F.current_timestamp().alias("ingestion_timestamp"),
     )
 
