@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from subscope import settings as S
+
 
 def as_of_date(as_of):
     return F.to_date(F.lit(str(as_of)))
@@ -51,6 +53,19 @@ def since(as_of, days, timestamp="timestamp"):
     return F.col(timestamp) >= F.date_sub(as_of_date(as_of), days)
 
 
+def recent_rows(df, as_of, days, timestamp="timestamp"):
+    """Rows since midnight ``days`` before ``as_of``.
+
+    Layer tables are partitioned by day or month (``settings.PARTITIONS``); where that column is present its
+    own condition lets Spark skip whole directories, which a condition on the timestamp alone cannot.
+    """
+    rows = df.where(since(as_of, days, timestamp))
+    column, unit = S.PARTITIONS[timestamp]
+    if column in df.columns:
+        rows = rows.where(F.col(column) >= F.to_date(F.date_trunc(unit, F.date_sub(as_of_date(as_of), days))))
+    return rows
+
+
 def age_days(as_of, start="subscription_start"):
     return F.datediff(as_of_date(as_of), F.col(start))
 

@@ -13,9 +13,9 @@ from subscope.functions.exprs import (
     pct,
     position,
     ratio,
+    recent_rows,
     rounded_avg,
     rounded_stddev,
-    since,
     upper_band,
 )
 from subscope.functions.reshape import rows_from, with_share
@@ -103,7 +103,7 @@ def cohort_retention(subs, as_of=S.AS_OF, grain="bucket", days=S.COHORT_WINDOW_D
         keys.append(age.alias("_age"))
     users, churned = F.col("user_count"), F.col("churned_count")
     return (
-        subs.where(since(as_of, days, "subscription_start"))
+        recent_rows(subs, as_of, days, "subscription_start")
         .groupBy(*keys)
         .agg(F.count("*").alias("user_count"), churned_count().alias("churned_count"))
         .withColumns({"retention_rate": pct(users - churned, users), "churn_rate": pct(churned, users)})

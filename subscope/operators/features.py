@@ -14,6 +14,7 @@ from subscope.functions.exprs import (
     length_days,
     pct,
     pearson,
+    recent_rows,
     since,
     upper_band,
 )
@@ -287,7 +288,7 @@ def cutoff_features(
 ):
     """Features known before the cutoff and the label of the days after it, for users active at the cutoff."""
     day = as_of_date(cutoff)
-    seen = behavior.where(since(cutoff, lookback) & (F.col("timestamp") < day))
+    seen = recent_rows(behavior, cutoff, lookback).where(F.col("timestamp") < day)
     features = engagement_features(seen, cutoff)
     active = subs.where(
         (F.col("subscription_start") < day)

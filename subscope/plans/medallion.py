@@ -13,19 +13,22 @@ PAGEVIEWS, BEHAVIOR, SUBSCRIPTIONS = "bronze_pageviews", "bronze_user_behavior",
 FEATURES, PREDICTIONS = "silver_user_features", "gold_churn_predictions"
 
 
+def _partitioned(df, timestamp):
+    """Add the partition column cut from a timestamp."""
+    column, unit = S.PARTITIONS[timestamp]
+    return df.withColumn(column, F.to_date(F.date_trunc(unit, timestamp))), column
+
+
 def build_bronze(base, pageviews, behavior, subs):
-    """Days rather than instants are the partition keys: one directory per instant would be tiny files."""
-    write_layer(
-        pageviews.withColumn("file_date", F.to_date("file_timestamp")),
-        f"{base}/{PAGEVIEWS}",
-        ["file_date", "project"],
-    )
-    write_layer(behavior.withColumn("event_date", F.to_date("timestamp")), f"{base}/{BEHAVIOR}", ["event_date"])
-    write_layer(
-        subs.withColumn("start_month", F.date_format("subscription_start", "yyyy-MM")),
-        f"{base}/{SUBSCRIPTIONS}",
-        ["start_month"],
+    """Days or months rather than instants are the partition keys: one directory per instant would be tiny files."""
+    tables = (
+        (pageviews, PAGEVIEWS, "file_timestamp", ["project"]),
+        (behavior, BEHAVIOR, "timestamp", []),
+        (subs, SUBSCRIPTIONS, "subscription_start", []),
     )
+    for df, name, timestamp, more in tables:
+        dated, column = _partitioned(df, timestamp)
+        write_layer(dated, f"{base}/{name}", [column, *more])
 
 
 def build_silver(spark, base, as_of=S.AS_OF):

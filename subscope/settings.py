@@ -78,6 +78,13 @@ COHORT_WINDOW_DAYS = 180
 CHURN_TREND_DAYS = 365
 ENGAGEMENT_TREND_DAYS = 90
 
+# Partition column of the layer tables by the timestamp it is cut from, and its unit.
+PARTITIONS = {
+    "timestamp": ("event_date", "day"),
+    "subscription_start": ("start_month", "month"),
+    "file_timestamp": ("file_date", "day"),
+}
+
 # Model settings and the tuning grid.
 FOREST = {"numTrees": 100, "maxDepth": 10, "seed": 42}
 BOOSTING = {"maxIter": 100, "maxDepth": 6, "seed": 42}

@@ -2,7 +2,9 @@
 
 import re
 
-from subscope.operators import distributions, features, kpis, profiles
+from subscope.operators import dashboards, distributions, features, kpis, profiles
+from subscope.plans import medallion
+from subscope.session import sized_settings
 from subscope.sources import driver_tables as D
 
 
@@ -52,3 +54,24 @@ def test_matrix_joins_add_no_shuffle_of_behaviour(spark, sf_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # One for the sums, two for the distinct counts, none for the join.
     assert text.count("Exchange hashpartitioning") == 3
+
+
+def test_recent_reports_skip_directories(spark, sf_dir, tmp_path):
+    base = str(tmp_path)
+    views, behavior, subs = D.pageviews(spark, sf_dir), D.behavior(spark, sf_dir), D.subscriptions(spark, sf_dir)
+    medallion.build_bronze(base, views, behavior, subs)
+    stored = spark.read.parquet(f"{base}/{medallion.BEHAVIOR}")
+    report = kpis.weekly_engagement_trend(stored, days=7)
+    assert "event_date" in re.search(r"PartitionFilters: \[(.*?)\], ", plan(report))[1]
+    assert report.collect() == kpis.weekly_engagement_trend(behavior, days=7).collect()
+    stored = spark.read.parquet(f"{base}/{medallion.SUBSCRIPTIONS}")
+    for job in (dashboards.cohort_retention, kpis.monthly_churn_trend):
+        assert "start_month" in re.search(r"PartitionFilters: \[(.*?)\], ", plan(job(stored)))[1]
+        assert job(stored).collect() == job(subs).collect()
+
+
+def test_shuffle_settings_follow_size_and_cores():
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert sized_settings(10 * 2**40, 4000)[key] == "50000"
+    assert sized_settings(2**40, 1000)[key] == "8192"
+    assert sized_settings(2**20, 8)[key] == "16"
