@@ -64,8 +64,8 @@ def view_count_stats(pageviews):
             "p99_views": 0.99,
         },
     )
-    category = F.lit("All Records").alias("category")
-    return basics.select(category, "*").join(cuts.withColumn("category", category), "category", "left")
+    whole = basics.withColumn("cuts", cuts.select(F.struct("*").alias("cuts")).scalar())
+    return whole.select(F.lit("All Records").alias("category"), *basics.columns, "cuts.*")
 
 
 def null_profile(df, columns, label="column_name"):

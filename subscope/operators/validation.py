@@ -63,27 +63,23 @@ def out_of_order(behavior, sequence, keys=("user_id", "session_id"), chunk=100_0
 
     The running maximum is taken within chunks of the arrival number, so that even a session with a large
     share of all rows is never ordered in one task. Only sessions that cross a chunk border need the maximum
-    of their earlier chunks, and that small remainder is joined on. Both aggregates read one shuffle: the
-    arrival number in the maximum keeps their inputs identical.
+    of their earlier chunks, and that small remainder is joined on.
     """
     keys = list(keys)
-    spread = (
-        behavior.select(*keys, "timestamp", sequence, F.floor(F.col(sequence) / chunk).alias("_chunk"))
-        .dropna(subset=[*keys, "timestamp", sequence])
-        .repartition(*keys, "_chunk")
-    )
-    latest = F.max(F.struct("timestamp", sequence))["timestamp"]
+    chunked = behavior.select(
+        *keys, "timestamp", sequence, F.floor(F.col(sequence) / chunk).alias("_chunk")
+    ).dropna(subset=[*keys, "timestamp", sequence])
     before = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
     carried = (
-        spread.groupBy(*keys, "_chunk")
-        .agg(latest.alias("_latest"))
+        chunked.groupBy(*keys, "_chunk")
+        .agg(F.max("timestamp").alias("_latest"))
         .withColumn("_carried", F.max("_latest").over(before))
         .where(F.col("_carried").isNotNull())
         .drop("_latest")
     )
     inside = W.partitionBy(*keys, "_chunk").orderBy(sequence).rowsBetween(W.unboundedPreceding, -1)
     return (
-        spread.withColumn("_seen", F.max("timestamp").over(inside))
+        chunked.withColumn("_seen", F.max("timestamp").over(inside))
         .join(carried, [*keys, "_chunk"], "left")
         .where(F.col("timestamp") < F.greatest("_seen", "_carried"))
         .select(*keys, "timestamp", sequence)
