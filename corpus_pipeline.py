@@ -1,11 +1,16 @@
 """A cleaning run over the documents table: every stage works on what its predecessor kept."""
 
-from subscope.llm import near_dedup
+from subscope.llm import near_dedup, quality_rules
 from subscope.llm.shared import Held
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def good_enough(spark, docs, sf_dir):
+    """Documents that no quality rule rejects stay."""
+    return quality_rules.passing(docs.select(*COLUMNS))
+
+
 def one_of_each_group(spark, docs, sf_dir):
     """One document of each group of near duplicates stays: the one with the smallest doc_id."""
     kept = near_dedup.near_duplicates(docs).where("kept").select("doc_id")
@@ -13,6 +18,7 @@ def one_of_each_group(spark, docs, sf_dir):
 
 
 STAGES = [
+    ("quality rules", good_enough),
     ("near duplicates", one_of_each_group),
 ]
 

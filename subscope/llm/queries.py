@@ -1,6 +1,6 @@
 """The operators as queries over the whole tables, and SQL for those that it can express."""
 
-from subscope.llm import near_dedup
+from subscope.llm import near_dedup, quality_rules
 from subscope.llm.shared import documents
 
 
@@ -8,8 +8,16 @@ def op4_minhash_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(documents(spark, sf_dir))
 
 
+def op6_quality_rules(spark, sf_dir):
+    return quality_rules.judged(documents(spark, sf_dir))
+
+
 def queries():
-    return {f.__name__: f for f in (op4_minhash_near_dedup,)}
+    found = (
+        op4_minhash_near_dedup,
+        op6_quality_rules,
+    )
+    return {f.__name__: f for f in found}
 
 
 #: Words of documents in lower case (A-Z), and their distinct five-word shingles.
@@ -40,6 +48,30 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(root, d.doc_id)
     coalesce(root, d.doc_id) = d.doc_id AS kept
 FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest USING (doc_id)"""
 
+OP6_SQL = r"""
+WITH split AS (
+    SELECT doc_id, coalesce(text, '') AS txt, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+        [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines
+    FROM documents),
+windows AS (
+    SELECT doc_id, unnest(range(1, len(w) - 6)) AS i, unnest([w[j:j + 7] FOR j IN range(1, len(w) - 6)]) AS k
+    FROM split WHERE len(w) >= 8),
+twice AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, k) > 1),
+covered AS (
+    SELECT doc_id, count(DISTINCT p) AS n
+    FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY doc_id),
+counted AS (
+    SELECT s.doc_id, txt, len(w)::BIGINT AS n_words, coalesce(list_sum([length(x) FOR x IN w]), 0)::BIGINT AS word_chars,
+        length(regexp_replace(txt, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+        (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+        len(lines) AS n_lines, length(regexp_replace(txt, '[^A-Z]', '', 'g')) AS capitals
+    FROM split s LEFT JOIN covered c ON c.doc_id = s.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+    NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 10 * n_symbols > 3 * n_words OR 2 * capitals > word_chars
+        OR 2 * n_dup_lines > n_lines OR word_chars NOT BETWEEN 2 * n_words AND 20 * n_words) AS kept
+FROM counted"""
+
 
 def oracle_sql():
-    return {"op4_minhash_near_dedup": OP4_SQL}
+    return {"op4_minhash_near_dedup": OP4_SQL, "op6_quality_rules": OP6_SQL}
