@@ -27,19 +27,19 @@ _lines = f"filter(split(txt, '\\n'), line -> btrim(line, '{_SPACE}') <> '')"
 _word_chars = f"char_length(translate(txt, '{_SPACE}', ''))"
 _symbols = "char_length(txt) - char_length(translate(txt, '#*$%&|<>', ''))"
 _capitals = "char_length(txt) - char_length(translate(txt, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))"
-_window_keys = (
-    f"CASE WHEN size(words) < {WINDOW} THEN CAST(array() AS array<bigint>)"
-    f" ELSE transform(sequence(1, size(words) - {WINDOW - 1}), i -> xxhash64(slice(words, i, {WINDOW}))) END"
-)
-# Sort the windows by key, keep those with an equal neighbour, and add up the words that each adds to the covered ones.
+# Hash the windows, sort them by key, keep those with an equal neighbour, and add up the words that each adds to the
+# covered ones. Every step is bound by a lambda, so that it runs once per text wherever the optimiser moves it.
 _repeated = f"""
-CASE WHEN size(array_distinct(keys)) = size(keys) THEN 0L ELSE aggregate(
-    transform(
-        array(sort_array(transform(keys, (h, i) -> named_struct('h', h, 'i', i)))),
-        s -> sort_array(transform(filter(s, (x, k) -> x.h <=> get(s, k - 1).h OR x.h <=> get(s, k + 1).h), x -> x.i)))[0],
-    named_struct('last', -{WINDOW}, 'total', 0L),
-    (a, at) -> named_struct('last', at, 'total', a.total + least({WINDOW}, at - a.last)),
-    a -> a.total) END"""
+transform(transform(array({_words}),
+    words -> CASE WHEN size(words) < {WINDOW} THEN CAST(array() AS array<bigint>)
+        ELSE transform(sequence(1, size(words) - {WINDOW - 1}), i -> xxhash64(slice(words, i, {WINDOW}))) END),
+    keys -> CASE WHEN size(array_distinct(keys)) = size(keys) THEN 0L ELSE aggregate(
+        transform(
+            array(sort_array(transform(keys, (h, i) -> named_struct('h', h, 'i', i)))),
+            s -> sort_array(transform(filter(s, (x, k) -> x.h <=> get(s, k - 1).h OR x.h <=> get(s, k + 1).h), x -> x.i)))[0],
+        named_struct('last', -{WINDOW}, 'total', 0L),
+        (a, at) -> named_struct('last', at, 'total', a.total + least({WINDOW}, at - a.last)),
+        a -> a.total) END)[0]"""
 
 #: Rules that need no more than the text: a document is rejected where the expression is true.
 BASE = {
@@ -55,10 +55,9 @@ MORE = {
 
 
 def _with_repeats(df: DataFrame) -> DataFrame:
-    """Adds n_words and n_repeat_words, from the words and window keys in steps that are computed once each."""
-    df = df.withColumn("words", F.expr(_words)).withColumn("keys", F.expr(_window_keys))
-    df = df.withColumn("n_words", F.size("words").cast("long")).withColumn("n_repeat_words", F.expr(_repeated))
-    return df.drop("words", "keys")
+    """Adds n_words and n_repeat_words."""
+    n_words = F.expr(f"regexp_count(txt, r'{_WORD}')").cast("long")
+    return df.withColumn("n_words", n_words).withColumn("n_repeat_words", F.expr(_repeated))
 
 
 def counts(docs: DataFrame) -> DataFrame:

@@ -1,9 +1,13 @@
 """The operators as queries over the whole tables, and SQL for those that it can express."""
 
-from subscope.llm import near_dedup, quality_rules
+from subscope.llm import decontamination, near_dedup, quality_rules
 from subscope.llm.shared import documents
 
 
+def op1_decontamination(spark, sf_dir):
+    return decontamination.contained_items(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op4_minhash_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(documents(spark, sf_dir))
 
@@ -14,6 +18,7 @@ def op6_quality_rules(spark, sf_dir):
 
 def queries():
     found = (
+        op1_decontamination,
         op4_minhash_near_dedup,
         op6_quality_rules,
     )
@@ -33,6 +38,21 @@ shingles AS (
     FROM words),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id)"""
 
+OP1_SQL = r"""
+WITH texts AS (
+    SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
+words AS (
+    SELECT kind, id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM texts),
+shingles AS (
+    SELECT DISTINCT kind, id, unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) AS s
+    FROM words WHERE len(w) >= 5),
+items AS (SELECT id, s, count(*) OVER (PARTITION BY id) AS q FROM shingles WHERE kind = 'i')
+SELECT d.id AS doc_id, i.id AS item_id, q AS n_item, count(*) AS n_shared, count(*) / q AS containment
+FROM shingles d JOIN items i ON d.s = i.s WHERE d.kind = 'd'
+GROUP BY d.id, i.id, q HAVING 100 * count(*) >= 75 * q"""
+
 OP4_SQL = f"""
 WITH RECURSIVE {_SHINGLES},
 shared AS (
@@ -74,4 +94,4 @@ FROM counted"""
 
 
 def oracle_sql():
-    return {"op4_minhash_near_dedup": OP4_SQL, "op6_quality_rules": OP6_SQL}
+    return {"op1_decontamination": OP1_SQL, "op4_minhash_near_dedup": OP4_SQL, "op6_quality_rules": OP6_SQL}
