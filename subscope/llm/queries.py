@@ -1,6 +1,6 @@
 """The operators as queries over the whole tables, and SQL for those that it can express."""
 
-from subscope.llm import decontamination, near_dedup, quality_rules
+from subscope.llm import decontamination, near_dedup, quality_rules, secret_scan
 from subscope.llm.shared import documents
 
 
@@ -16,11 +16,16 @@ def op6_quality_rules(spark, sf_dir):
     return quality_rules.judged(documents(spark, sf_dir))
 
 
+def op10_secret_scan(spark, sf_dir):
+    return secret_scan.secrets(documents(spark, sf_dir))
+
+
 def queries():
     found = (
         op1_decontamination,
         op4_minhash_near_dedup,
         op6_quality_rules,
+        op10_secret_scan,
     )
     return {f.__name__: f for f in found}
 
