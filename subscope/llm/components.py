@@ -1,17 +1,41 @@
 """Connected components of a graph by alternating star contractions."""
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subscope.llm.shared import Held
 
+EDGES = "u long, v long"
+
+
+def _contract(batches):
+    """The edges of one partition as stars: every node with the smallest one that it reaches within the partition."""
+    parent: dict[int, int] = {}
+
+    def root(x):
+        top = x
+        while parent.get(top, top) != top:
+            top = parent[top]
+        while parent.get(x, x) != top:
+            parent[x], x = top, parent[x]
+        return top
+
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            a, b = root(u), root(v)
+            parent[max(a, b)] = min(a, b)
+    nodes = [x for x in parent if root(x) != x]
+    pairs = np.array([(x, parent[x]) for x in nodes], dtype=np.int64).reshape(-1, 2)
+    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Every node's larger neighbours move to its smallest neighbour."""
-    both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    """Every node's larger neighbours move to the smallest of the node and its neighbours."""
+    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     smallest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    moved = both.where("v > u").join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.distinct()
+    return both.where("v > u").join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -21,22 +45,26 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(smallest.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _is_done(edges: DataFrame) -> bool:
+    """Whether the edges are stars: no node has two edges to smaller ones, or one to a smaller and one to a larger."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("down"), F.lit(0).alias("up"))
+    ends = ends.union(edges.select(F.col("v").alias("x"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    each = ends.groupBy("x").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return not each.where("down > 1 OR down + up > 1").head(1)
+
+
 def components(spark: SparkSession, held: Held, edges: DataFrame) -> DataFrame:
     """(node, root) of every node with an edge, where root is the smallest node reachable.
 
     `edges` has the columns u and v; loops, repeated and reversed edges do no harm. Nodes without an edge to
-    another node are absent. Each round is a few grouped minima and joins, written to the shared folder; a hub
-    with a third of all edges is combined before its shuffle, and its join is one that Spark may split.
+    another node are absent. Every partition first contracts its own edges. Each round is a few grouped minima and
+    joins, written to the shared folder; a hub with a third of all edges is combined before its shuffle, and its
+    join is one that Spark may split.
     """
-    current = held.table(
-        edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    )
-    seen = None
-    while True:
-        nxt = held.table(_small_star(_large_star(current)))
+    edges = edges.where("u <> v").select(F.col("u").cast("long"), F.col("v").cast("long"))
+    current = held.table(edges.mapInArrow(_contract, EDGES))
+    while not _is_done(current):
+        nxt = held.table(_small_star(_large_star(current).mapInArrow(_contract, EDGES)))
         held.drop(current)
         current = nxt
-        state = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).head()
-        if state == seen:
-            return current.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        seen = state
+    return current.select(F.col("u").alias("node"), F.col("v").alias("root"))

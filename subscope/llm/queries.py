@@ -1,6 +1,8 @@
 """The operators as queries over the whole tables, and SQL for those that it can express."""
 
-from subscope.llm import decontamination, near_dedup, quality_rules, secret_scan
+import public_tokenizers
+
+from subscope.llm import decontamination, near_dedup, packing, quality_rules, secret_scan
 from subscope.llm.shared import documents
 
 
@@ -16,6 +18,10 @@ def op6_quality_rules(spark, sf_dir):
     return quality_rules.judged(documents(spark, sf_dir))
 
 
+def op8_best_fit_packing(spark, sf_dir):
+    return packing.packed(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_secret_scan(spark, sf_dir):
     return secret_scan.secrets(documents(spark, sf_dir))
 
@@ -25,6 +31,7 @@ def queries():
         op1_decontamination,
         op4_minhash_near_dedup,
         op6_quality_rules,
+        op8_best_fit_packing,
         op10_secret_scan,
     )
     return {f.__name__: f for f in found}
