@@ -8,6 +8,8 @@ fit into one partition or reach their bound.
 
 from __future__ import annotations
 
+import os
+import os
 import zlib
 from functools import lru_cache
 
@@ -37,6 +39,7 @@ PACKED = PIECE + ", sequence long, offset long, final boolean"
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are the parallelism
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()

@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from subscope.llm import decontamination, near_dedup, packing, quality_rules, secret_scan
+from subscope.llm import decontamination, near_dedup, packing, quality_rules, secret_scan, token_counts
 from subscope.llm.shared import documents
 
 
@@ -10,6 +10,10 @@ def op1_decontamination(spark, sf_dir):
     return decontamination.contained_items(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op2_token_counts(spark, sf_dir):
+    return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op4_minhash_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(documents(spark, sf_dir))
 
@@ -29,6 +33,7 @@ def op10_secret_scan(spark, sf_dir):
 def queries():
     found = (
         op1_decontamination,
+        op2_token_counts,
         op4_minhash_near_dedup,
         op6_quality_rules,
         op8_best_fit_packing,
