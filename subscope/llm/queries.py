@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from subscope.llm import decontamination, near_dedup, packing, quality_rules, secret_scan, token_counts
+from subscope.llm import decontamination, near_dedup, packing, quality_rules, secret_scan, sharding, token_counts, url_filters
 from subscope.llm.shared import documents
 
 
@@ -14,10 +14,19 @@ def op2_token_counts(spark, sf_dir):
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_url_filters(spark, sf_dir):
+    rules = spark.createDataFrame(url_filters.RULES, "verdict string, host string, path string")
+    return url_filters.judged_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules)
+
+
 def op4_minhash_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(documents(spark, sf_dir))
 
 
+def op5_sharding(spark, sf_dir):
+    return sharding.sharded(documents(spark, sf_dir))
+
+
 def op6_quality_rules(spark, sf_dir):
     return quality_rules.judged(documents(spark, sf_dir))
 
@@ -34,7 +43,9 @@ def queries():
     found = (
         op1_decontamination,
         op2_token_counts,
+        op3_url_filters,
         op4_minhash_near_dedup,
+        op5_sharding,
         op6_quality_rules,
         op8_best_fit_packing,
         op10_secret_scan,
@@ -42,6 +53,20 @@ def queries():
     return {f.__name__: f for f in found}
 
 
+OP3_SQL = r"""
+WITH parts AS (
+    SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+    FROM pages),
+rules(verdict, rule_host, rule_path) AS (VALUES
+    ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+fits AS (
+    SELECT page_id, arg_max(struct_pack(r := rule_host || rule_path, v := verdict), length(rule_host || rule_path)) AS best
+    FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    GROUP BY page_id)
+SELECT page_id, host, path, best.r AS rule, coalesce(best.v, 'allow') AS verdict FROM parts LEFT JOIN fits USING (page_id)"""
+
 #: Words of documents in lower case (A-Z), and their distinct five-word shingles.
 _SHINGLES = r"""
 words AS (
@@ -111,4 +136,4 @@ FROM counted"""
 
 
 def oracle_sql():
-    return {"op1_decontamination": OP1_SQL, "op4_minhash_near_dedup": OP4_SQL, "op6_quality_rules": OP6_SQL}
+    return {"op1_decontamination": OP1_SQL, "op3_url_filters": OP3_SQL, "op4_minhash_near_dedup": OP4_SQL, "op6_quality_rules": OP6_SQL}
