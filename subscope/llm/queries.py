@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from subscope.llm import decontamination, near_dedup, packing, quality_rules, secret_scan, sharding, token_counts, url_filters
+from subscope.llm import decontamination, near_dedup, packing, quality_rules, secret_scan, sharding, token_counts, toxicity, url_filters
 from subscope.llm.shared import documents
 
 
@@ -35,6 +35,10 @@ def op8_best_fit_packing(spark, sf_dir):
     return packing.packed(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_toxicity(spark, sf_dir):
+    return toxicity.scored(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op10_secret_scan(spark, sf_dir):
     return secret_scan.secrets(documents(spark, sf_dir))
 
@@ -48,6 +52,7 @@ def queries():
         op5_sharding,
         op6_quality_rules,
         op8_best_fit_packing,
+        op9_toxicity,
         op10_secret_scan,
     )
     return {f.__name__: f for f in found}
