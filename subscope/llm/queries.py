@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from subscope.llm import decontamination, near_dedup, packing, quality_rules, secret_scan, sharding, token_counts, toxicity, url_filters
+from subscope.llm import decontamination, near_dedup, packing, quality_rules, secret_scan, sharding, substring_dedup, token_counts, toxicity, url_filters
 from subscope.llm.shared import documents
 
 
@@ -31,6 +31,10 @@ def op6_quality_rules(spark, sf_dir):
     return quality_rules.judged(documents(spark, sf_dir))
 
 
+def op7_substring_dedup(spark, sf_dir):
+    return substring_dedup.repeated_passages(documents(spark, sf_dir))
+
+
 def op8_best_fit_packing(spark, sf_dir):
     return packing.packed(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -51,6 +55,7 @@ def queries():
         op4_minhash_near_dedup,
         op5_sharding,
         op6_quality_rules,
+        op7_substring_dedup,
         op8_best_fit_packing,
         op9_toxicity,
         op10_secret_scan,

@@ -66,3 +66,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def is_empty(df: DataFrame) -> bool:
     return not df.select(F.lit(1)).head(1)
+
+
+def one_text_per_id(held: Held, docs: DataFrame) -> DataFrame:
+    """(doc_id, text) of rows with a doc_id; of rows that repeat one, the longest text, and of those the greatest."""
+    texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    again = held.table(texts.groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    if is_empty(again):
+        held.drop(again)
+        return texts
+    longest = F.max_by("text", F.struct(F.coalesce(F.length("text"), F.lit(-1)), "text")).alias("text")
+    merged = texts.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(longest)
+    return texts.join(again, "doc_id", "left_anti").unionByName(merged)
