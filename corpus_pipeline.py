@@ -1,6 +1,8 @@
 """A cleaning run over the documents table: every stage works on what its predecessor kept."""
 
-from subscope.llm import near_dedup, quality_rules
+import public_tokenizers
+
+from subscope.llm import decontamination, near_dedup, packing, quality_rules, secret_scan
 from subscope.llm.shared import Held
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -17,11 +19,32 @@ def one_of_each_group(spark, docs, sf_dir):
     return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
 
 
+def without_benchmark(spark, docs, sf_dir):
+    """Documents that contain an item of the benchmark go."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    leaked = decontamination.contained_items(docs, benchmark).select("doc_id").distinct()
+    return docs.join(leaked, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def without_secrets(spark, docs, sf_dir):
+    """All documents stay; their secrets are replaced by the names of their kinds, and n_chars follows the text."""
+    return secret_scan.redacted(docs.select(*COLUMNS))
+
+
+def as_sequences(spark, docs, sf_dir):
+    """Token pieces and their places in sequences of at most 4096 tokens."""
+    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES = [
     ("quality rules", good_enough),
     ("near duplicates", one_of_each_group),
+    ("benchmark decontamination", without_benchmark),
+    ("secret scan", without_secrets),
+    ("best-fit packing", as_sequences),
 ]
 
+#: Token ids have no SQL; tests/llm compares every stage with a brute-force version.
 ORACLE_SQL = None
 
 

@@ -195,9 +195,16 @@ def _redact(least):
 
 
 def redacted(docs: DataFrame) -> DataFrame:
-    """The same rows with every secret in `text` replaced by the name of its kind in brackets; other columns as given."""
+    """The same rows with every secret in `text` replaced by the name of its kind in brackets.
+
+    Where there is a column n_chars, it becomes the length of the new text; null texts and other columns stay.
+    """
     held = Held(docs.sparkSession)
     scanned = held.table(docs.select(F.lit(0).cast("long").alias("doc_id"), "text").mapInArrow(_scan, SCANNED))
     least = thresholds(scanned)
     held.drop(scanned)
-    return docs.mapInArrow(_redact(least), docs.schema)
+    redacted = docs.mapInArrow(_redact(least), docs.schema)
+    if "n_chars" not in docs.columns:
+        return redacted
+    length = F.coalesce(F.char_length("text").cast(docs.schema["n_chars"].dataType), "n_chars")
+    return redacted.withColumn("n_chars", length)
