@@ -1,6 +1,6 @@
 """The same queries in SQL, written from the definitions and run by another engine."""
 
-from checks.oracle_inputs import band, band_rows, with_inputs
+from checks.oracle_inputs import SNAPSHOT_DAY, band, band_rows, moved, snapshot_inputs, with_inputs
 
 CHURNED = "count(*) FILTER (WHERE is_churned)"
 ACTIVE = "count(*) FILTER (WHERE NOT is_churned)"
@@ -721,5 +721,26 @@ MODELS = {
 }
 
 
+# Queries that are also run as of a day inside the data.
+SNAPSHOTS = (
+    "feature_matrix",
+    "activity_recency",
+    "retention_funnel",
+    "cohort_retention",
+    "weekly_engagement_trend",
+    "monthly_churn_trend",
+    "kpi_scorecard",
+)
+
+
+def snapshot_name(name):
+    return f"{name}_{SNAPSHOT_DAY.replace('-', '_')}"
+
+
 def oracle_sql():
-    return {name: with_inputs(inputs, body) for name, (inputs, body) in MODELS.items()}
+    found = {name: with_inputs(inputs, body) for name, (inputs, body) in MODELS.items()}
+    at_day = snapshot_inputs()
+    for name in SNAPSHOTS:
+        inputs, body = MODELS[name]
+        found[snapshot_name(name)] = with_inputs([*inputs, "subscriptions"], moved(body), *at_day)
+    return found

@@ -1,5 +1,7 @@
 """SQL for the mapped input tables, one named subquery each."""
 
+import re
+
 K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 
 # Bands as (least, greatest, label), both inclusive; None is open.
@@ -64,9 +66,10 @@ INPUTS = {
         FROM events""",
     "subscriptions": """
         SELECT CAST(c_custkey AS VARCHAR) AS user_id,
-               first_order + INTERVAL 10075 DAY AS subscription_start,
+               last_order + INTERVAL 8218 DAY AS subscription_start,
                CASE WHEN status = 'F'
-                    THEN least(last_order + INTERVAL 10105 DAY, TIMESTAMP '2024-01-31 00:00:00')
+                    THEN least(last_order + to_days(CAST(8218 + o_orderkey % 400 AS INTEGER)),
+                               TIMESTAMP '2024-01-31 00:00:00')
                END AS subscription_end,
                CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN 'basic'
                     WHEN c_mktsegment IN ('FURNITURE', 'HOUSEHOLD') THEN 'pro' ELSE 'enterprise' END AS plan_type,
@@ -78,10 +81,10 @@ INPUTS = {
                          WHEN '3-MEDIUM' THEN 'support' WHEN '5-LOW' THEN 'competitor' END
                END AS churn_reason,
                status = 'F' AS is_churned
-        FROM (SELECT o_custkey, o_orderdate AS last_order, o_orderstatus AS status, o_orderpriority AS priority,
-                     min(o_orderdate) OVER (PARTITION BY o_custkey) AS first_order,
+        FROM (SELECT o_custkey, o_orderkey, o_orderdate AS last_order, o_orderstatus AS status,
+                     o_orderpriority AS priority,
                      row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r
-              FROM orders WHERE o_orderdate <= TIMESTAMP '1996-07-01 00:00:00')
+              FROM orders)
         JOIN customer ON o_custkey = c_custkey
         JOIN nation ON c_nationkey = n_nationkey
         WHERE r = 1""",
@@ -206,18 +209,47 @@ NEEDS = {
 }
 
 
-def with_inputs(names, body):
+# Dates inside the data for the check of snapshots: each date of the SQL above, moved from the last day to this one.
+SNAPSHOT_DAY = "2024-01-16"
+MOVED = {
+    "2024-01-31": "2024-01-16",
+    "2024-01-24": "2024-01-09",
+    "2024-01-17": "2024-01-02",
+    "2024-01-01": "2023-12-17",
+}
+
+
+def moved(sql):
+    return re.sub("|".join(MOVED), lambda found: MOVED[found[0]], sql)
+
+
+def snapshot_inputs():
+    """The inputs as known at the end of SNAPSHOT_DAY; scores are those of all subscriptions."""
+    inputs = {name: moved(sql) for name, sql in INPUTS.items()}
+    inputs["behavior"] += " WHERE ts < TIMESTAMP '2024-01-17 00:00:00'"
+    inputs["all_subscriptions"] = INPUTS["subscriptions"]
+    inputs["subscriptions"] = """
+        SELECT * REPLACE (
+            CASE WHEN CAST(subscription_end AS DATE) <= DATE '2024-01-16' THEN subscription_end END AS subscription_end,
+            CASE WHEN CAST(subscription_end AS DATE) <= DATE '2024-01-16' THEN churn_reason END AS churn_reason,
+            coalesce(CAST(subscription_end AS DATE) <= DATE '2024-01-16', false) AS is_churned)
+        FROM all_subscriptions WHERE CAST(subscription_start AS DATE) <= DATE '2024-01-16'"""
+    inputs["scores"] = INPUTS["scores"].replace("FROM subscriptions", "FROM all_subscriptions")
+    return inputs, NEEDS | {"subscriptions": ["all_subscriptions"], "scores": ["all_subscriptions"]}
+
+
+def with_inputs(names, body, inputs=INPUTS, needs=NEEDS):
     """The query with its named inputs, and theirs, in front."""
     needed = []
 
     def add(name):
-        for before in NEEDS.get(name, []):
+        for before in needs.get(name, []):
             add(before)
         if name not in needed:
             needed.append(name)
 
     for name in names:
         add(name)
-    ctes = ",\n".join(f"{name} AS ({INPUTS[name]})" for name in needed)
+    ctes = ",\n".join(f"{name} AS ({inputs[name]})" for name in needed)
     joint = "," if body.lstrip().startswith("+") else ""
     return f"WITH {ctes}{joint}\n{body.lstrip().lstrip('+')}"

@@ -5,6 +5,8 @@ Doubles whose last digits depend on the order of summation are rounded here, not
 
 from pyspark.sql import functions as F
 
+from checks.oracle import snapshot_name
+from checks.oracle_inputs import SNAPSHOT_DAY
 from subscope import settings as S
 from subscope.functions.exprs import age_days, upper_band
 from subscope.operators import (
@@ -31,10 +33,7 @@ BASE_URL = "https://example.org/pageviews"
 CUTOFF = "2024-01-16"
 HOLIDAYS = ["2024-01-01", "2024-01-15"]
 
-# Settings that keep the checks short; the library's defaults are the full ones.
-SMALL_FOREST = {"numTrees": 20, "maxDepth": 5}
-SMALL_BOOSTING = {"maxIter": 10, "maxDepth": 4}
-SMALL_GRID = {"numTrees": [10, 20], "maxDepth": [4]}
+METRICS = ("roc_auc", "pr_auc", "accuracy", "precision", "recall")
 
 _written = {}
 
@@ -261,20 +260,45 @@ def _scaled(spark, sf_dir):
     return scaled.withColumns({name: F.round(name, 6) for name in numeric})
 
 
+def _training_preprocessing(spark, sf_dir):
+    """Preprocessing fitted on the labelled users of the training side only."""
+
+    def build():
+        filled = _filled(spark, sf_dir)
+        known, _ = preprocessing.train_test_split(filled.where(F.col("is_churned").isNotNull()))
+        return preprocessing.preprocessing(*preprocessing.feature_types(filled)).fit(known)
+
+    return _once(spark, sf_dir, "training preprocessing", build)
+
+
+def _vectors(spark, sf_dir):
+    return _training_preprocessing(spark, sf_dir).transform(_filled(spark, sf_dir))
+
+
 def _halves(spark, sf_dir):
-    return preprocessing.train_test_split(preprocessing.labelled(_processed(spark, sf_dir)))
+    return preprocessing.train_test_split(preprocessing.labelled(_vectors(spark, sf_dir)))
 
 
 TRAINERS = {
-    "Random Forest": (classifiers.train_random_forest, SMALL_FOREST),
-    "Gradient Boosting": (classifiers.train_gbt, SMALL_BOOSTING),
-    "Logistic Regression": (classifiers.train_logistic, {}),
+    "Random Forest": classifiers.train_random_forest,
+    "Gradient Boosting": classifiers.train_gbt,
+    "Logistic Regression": classifiers.train_logistic,
 }
 
 
+def _training_table(spark, sf_dir):
+    """The training side as a written table: a grid of forests reads it thousands of times."""
+
+    def build():
+        path = shared_dir(spark, "training")
+        _halves(spark, sf_dir)[0].write.parquet(path)
+        return path
+
+    return spark.read.parquet(_once(spark, sf_dir, "training", build))
+
+
 def _model(spark, sf_dir, name):
-    train, small = TRAINERS[name]
-    return _once(spark, sf_dir, name, lambda: train(_halves(spark, sf_dir)[0], **small))
+    return _once(spark, sf_dir, name, lambda: TRAINERS[name](_training_table(spark, sf_dir)))
 
 
 def _predicted(name):
@@ -290,7 +314,8 @@ def _evaluate(spark, sf_dir):
 
 def _tuned(spark, sf_dir):
     def build():
-        return classifiers.tune_random_forest(_halves(spark, sf_dir)[0], folds=2, grid=SMALL_GRID)
+        cores = spark.sparkContext.defaultParallelism
+        return classifiers.tune_random_forest(_training_table(spark, sf_dir), parallelism=cores)
 
     return _once(spark, sf_dir, "tuned", build)
 
@@ -305,7 +330,7 @@ def _improvement(spark, sf_dir):
 
 
 def _importance(spark, sf_dir):
-    return classifiers.feature_importance(spark, _model(spark, sf_dir, "Random Forest"), _processed(spark, sf_dir))
+    return classifiers.feature_importance(spark, _tuned(spark, sf_dir).bestModel, _vectors(spark, sf_dir))
 
 
 def _importance_share(spark, sf_dir):
@@ -313,7 +338,7 @@ def _importance_share(spark, sf_dir):
 
 
 def _whole_model(spark, sf_dir):
-    return classifiers.full_model(_fitted(spark, sf_dir), _model(spark, sf_dir, "Random Forest"))
+    return classifiers.full_model(_training_preprocessing(spark, sf_dir), _tuned(spark, sf_dir).bestModel)
 
 
 def _reloaded(spark, sf_dir):
@@ -342,8 +367,8 @@ def _fold_windows(spark, sf_dir):
 
 
 def _fold_auc(spark, sf_dir):
-    windowed = preprocessing.time_windows(_silver(spark, sf_dir).where(F.col("is_churned").isNotNull()), folds=2)
-    return classifiers.time_series_auc(windowed, 2, **SMALL_FOREST)
+    windowed = preprocessing.time_windows(_silver(spark, sf_dir).where(F.col("is_churned").isNotNull()))
+    return classifiers.time_series_auc(windowed)
 
 
 # Flows and streams
@@ -361,7 +386,8 @@ def _medallion(spark, sf_dir):
     base = shared_dir(spark, "layers")
     medallion.build_bronze(base, D.pageviews(spark, sf_dir), D.behavior(spark, sf_dir), D.subscriptions(spark, sf_dir))
     medallion.build_silver(spark, base)
-    medallion.build_gold(spark, base, medallion.train(spark, base, **SMALL_FOREST))
+    settings = classifiers.best_settings(_tuned(spark, sf_dir))
+    medallion.build_gold(spark, base, medallion.train(spark, base, **settings))
     return medallion.dashboard(spark, base)["executive_kpis"]
 
 
@@ -388,6 +414,31 @@ def _stream_alerts(spark, sf_dir):
     return spark.read.parquet(f"{base}/table").drop("prediction_timestamp")
 
 
+def _snapshots():
+    """Operators that take a date, as of a day inside the data: what happened later must not show."""
+    behavior, subs, scores = _behavior, D.subscriptions, _scores
+    day = SNAPSHOT_DAY
+
+    def at(operator, *inputs):
+        return lambda spark, sf_dir: operator(*[read(spark, sf_dir) for read in inputs], day)
+
+    def engagement(spark, sf_dir):
+        return features.engagement_features(behavior(spark, sf_dir), day)
+
+    found = {
+        "feature_matrix": _rounded(
+            at(features.feature_matrix, behavior, subs), 6, "avg_session_duration", "stddev_session_duration"
+        ),
+        "activity_recency": at(features.activity_recency, behavior),
+        "retention_funnel": at(dashboards.retention_funnel, subs),
+        "cohort_retention": at(dashboards.cohort_retention, subs),
+        "weekly_engagement_trend": at(kpis.weekly_engagement_trend, behavior),
+        "monthly_churn_trend": at(kpis.monthly_churn_trend, subs),
+        "kpi_scorecard": at(dashboards.kpi_scorecard, subs, scores, engagement),
+    }
+    return {snapshot_name(name): query for name, query in found.items()}
+
+
 def queries():
     behavior, subs, views, scores = _behavior, D.subscriptions, D.pageviews, _scores
     labelled = _labelled_scores
@@ -459,14 +510,18 @@ def queries():
         "train_random_forest": _predicted("Random Forest"),
         "train_gbt": _predicted("Gradient Boosting"),
         "train_logistic": _predicted("Logistic Regression"),
-        "evaluate_models": _evaluate,
-        "classification_metrics": lambda spark, sf_dir: evaluation.classification_metrics(
-            labelled(spark, sf_dir), score, "prediction", label
+        "evaluate_models": _rounded(_evaluate, 6, *METRICS),
+        "classification_metrics": _rounded(
+            lambda spark, sf_dir: evaluation.classification_metrics(
+                labelled(spark, sf_dir), score, "prediction", label
+            ),
+            6,
+            *METRICS,
         ),
         "compare_models": _on(evaluation.compare_models, _evaluate),
         "tune_random_forest": _tuning_results,
         "tuning_improvement": _improvement,
-        "feature_importance": _importance,
+        "feature_importance": lambda spark, sf_dir: _importance(spark, sf_dir).limit(20),
         "importance_share": _importance_share,
         "save_and_reload_model": _reloaded,
         "score_users": _scored_users,
@@ -510,11 +565,17 @@ def queries():
         "cutoff_features": _rounded(_cutoff, 6, "avg_session_duration", "stddev_session_duration"),
         "time_series_folds": _fold_sizes,
         "time_series_windows": _fold_windows,
-        "time_series_auc": _fold_auc,
+        "time_series_auc": _rounded(_fold_auc, 6, "roc_auc", "pr_auc"),
         "stratified_sample": _stratified,
-        "ranking_metrics": _on(lambda s: evaluation.ranking_metrics(s, score, label), labelled),
+        "ranking_metrics": _rounded(
+            _on(lambda s: evaluation.ranking_metrics(s, score, label), labelled),
+            6,
+            "precision_at_top",
+            "recall_at_flagged",
+            "false_positive_rate",
+        ),
         "calibration": _on(lambda s: evaluation.calibration(s, score, label), labelled),
-        "segment_auc": _segment_auc,
+        "segment_auc": _rounded(_segment_auc, 6, "roc_auc", "pr_auc"),
         "risk_bands": _on(evaluation.risk_bands, scores),
         "intervention_queue": _on(scoring.intervention_queue, scores, subs),
         "new_high_risk": _new_high_risk,
@@ -529,4 +590,4 @@ def queries():
         "stream_daily_actions": _stream_actions,
         "stream_active_users": _stream_users,
         "stream_risk_alerts": _stream_alerts,
-    }
+    } | _snapshots()

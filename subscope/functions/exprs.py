@@ -53,17 +53,47 @@ def since(as_of, days, timestamp="timestamp"):
     return F.col(timestamp) >= F.date_sub(as_of_date(as_of), days)
 
 
-def recent_rows(df, as_of, days, timestamp="timestamp"):
-    """Rows since midnight ``days`` before ``as_of``.
+def _partition(df, timestamp, partition):
+    """The partition column and the unit it is cut to, or no column.
 
-    Layer tables are partitioned by day or month (``settings.PARTITIONS``); where that column is present its
-    own condition lets Spark skip whole directories, which a condition on the timestamp alone cannot.
+    ``partition`` names them as a pair; by default they are those of the layer tables (``settings.PARTITIONS``),
+    if the table has that column and it is a date.
     """
-    rows = df.where(since(as_of, days, timestamp))
-    column, unit = S.PARTITIONS[timestamp]
-    if column in df.columns:
-        rows = rows.where(F.col(column) >= F.to_date(F.date_trunc(unit, F.date_sub(as_of_date(as_of), days))))
-    return rows
+    column, unit = partition or S.PARTITIONS.get(timestamp, (None, None))
+    known = dict(df.dtypes).get(column) == "date"
+    return (column, unit) if known else (None, None)
+
+
+def until(df, as_of, timestamp="timestamp", partition=None):
+    """Rows up to the end of the day ``as_of``, that day included: what a snapshot of that day holds.
+
+    The partition column's own condition lets Spark skip whole directories, which a condition on the timestamp
+    alone cannot.
+    """
+    rows = df.where(F.col(timestamp) < F.date_add(as_of_date(as_of), 1))
+    column, unit = _partition(df, timestamp, partition)
+    return rows.where(F.col(column) <= F.to_date(F.date_trunc(unit, as_of_date(as_of)))) if column else rows
+
+
+def recent_rows(df, as_of, days, timestamp="timestamp", partition=None):
+    """Rows from midnight ``days`` before ``as_of`` to the end of that day."""
+    rows = until(df, as_of, timestamp, partition).where(since(as_of, days, timestamp))
+    column, unit = _partition(df, timestamp, partition)
+    first = F.date_sub(as_of_date(as_of), days)
+    return rows.where(F.col(column) >= F.to_date(F.date_trunc(unit, first))) if column else rows
+
+
+def snapshot(subs, as_of):
+    """Subscriptions as known at the end of the day ``as_of``: later starts are absent, later ends not known yet.
+
+    A subscription that ends later is active, without an end, reason or churn label of its own.
+    """
+    later = F.to_date("subscription_end") > as_of_date(as_of)
+    return until(subs, as_of, "subscription_start").withColumns({
+        "subscription_end": F.when(~F.coalesce(later, F.lit(False)), F.col("subscription_end")),
+        "churn_reason": F.when(~F.coalesce(later, F.lit(False)), F.col("churn_reason")),
+        "is_churned": F.when(later, F.lit(False)).otherwise(F.col("is_churned")),
+    })
 
 
 def age_days(as_of, start="subscription_start"):

@@ -117,8 +117,8 @@ def tuning_improvement(tuned_scores, baseline_scores):
     )
 
 
-def feature_importance(spark, model, processed, top=20):
-    """Importance per source column: the slots of a one-hot column are summed under its name."""
+def feature_importance(spark, model, processed):
+    """Importance per source column, highest first: the slots of a one-hot column are summed under its name."""
     attributes = processed.schema["features_raw"].metadata["ml_attr"]["attrs"]
     encoded = [name for name in processed.columns if name.endswith("_encoded")]
     totals = {}
@@ -127,15 +127,13 @@ def feature_importance(spark, model, processed, top=20):
         source = source.removesuffix("_encoded")
         totals[source] = totals.get(source, 0.0) + float(model.featureImportances[attribute["idx"]])
     rows = list(totals.items())
-    return (
-        spark.createDataFrame(rows, "feature_name string, importance double")
-        .orderBy(F.desc("importance"), "feature_name")
-        .limit(top)
+    return spark.createDataFrame(rows, "feature_name string, importance double").orderBy(
+        F.desc("importance"), "feature_name"
     )
 
 
 def importance_share(importance, top=15):
-    """Rounded scores and shares; one row per feature, so the window is small."""
+    """Rounded scores and shares of all features' total, the first ``top``; one row per feature, so the window is small."""
     total = F.sum("importance").over(W.partitionBy())
     return (
         importance.select(

@@ -16,6 +16,7 @@ from subscope.functions.exprs import (
     recent_rows,
     rounded_avg,
     rounded_stddev,
+    snapshot,
     upper_band,
 )
 from subscope.functions.reshape import rows_from, with_share
@@ -68,7 +69,7 @@ def retention_funnel(subs, as_of=S.AS_OF):
     """
     stage = upper_band(age_days(as_of), S.FUNNEL_STAGES)
     labels = _labels(S.FUNNEL_STAGES)
-    staged = subs.select(stage.alias("stage"), "is_churned")
+    staged = snapshot(subs, as_of).select(stage.alias("stage"), "is_churned")
     one = staged.agg(
         F.count("*").alias("everyone"),
         *[F.count_if(F.col("stage") == label).alias(f"users_{i}") for i, label in enumerate(labels)],
@@ -103,7 +104,7 @@ def cohort_retention(subs, as_of=S.AS_OF, grain="bucket", days=S.COHORT_WINDOW_D
         keys.append(age.alias("_age"))
     users, churned = F.col("user_count"), F.col("churned_count")
     return (
-        recent_rows(subs, as_of, days, "subscription_start")
+        recent_rows(snapshot(subs, as_of), as_of, days, "subscription_start")
         .groupBy(*keys)
         .agg(F.count("*").alias("user_count"), churned_count().alias("churned_count"))
         .withColumns({"retention_rate": pct(users - churned, users), "churn_rate": pct(churned, users)})
@@ -272,7 +273,7 @@ def modal_value(behavior, column):
 def _churn_by_habit(behavior, features, subs, column, averages):
     users = features.select("user_id", *averages.values()).join(modal_value(behavior, column), "user_id", "left")
     joined = users.join(subs.select("user_id", "is_churned"), "user_id")
-    total = F.countDistinct("user_id")
+    total = F.count("user_id")
     return (
         joined.groupBy(column)
         .agg(
@@ -300,7 +301,7 @@ def risk_by_stage(predictions, subs, as_of=S.AS_OF):
     stage = upper_band(age_days(as_of), S.AGE_STAGES)
     counts = (
         predictions.select("user_id", "churn_risk", "churn_probability")
-        .join(subs.select("user_id", stage.alias("subscription_stage")), "user_id")
+        .join(snapshot(subs, as_of).select("user_id", stage.alias("subscription_stage")), "user_id")
         .groupBy("subscription_stage", "churn_risk")
         .agg(
             F.count("*").alias("user_count"),
@@ -334,19 +335,21 @@ def kpi_scorecard(subs, predictions, features, as_of=S.AS_OF):
     def below(value, bound):
         return value < bound
 
-    churn = subs.agg(churn_rate().alias("rate"))
+    is_early = age_days(as_of) <= 90
+    known = snapshot(subs, as_of).agg(
+        churn_rate().alias("rate"),
+        F.count_if(is_early).alias("users"),
+        F.count_if(is_early & ~F.coalesce("is_churned", F.lit(False))).alias("kept"),
+    )
     high = predictions.agg(
         F.count_if(F.col("churn_risk") == S.RISK_TIERS[0]).alias("users"), F.count("*").alias("everyone")
     )
     adoption = features.agg(F.avg("features_adopted").alias("mean"))
-    early = subs.where(age_days(as_of) <= 90).agg(
-        F.count("*").alias("users"), (F.count("*") - churned_count()).alias("kept")
-    )
     share = F.try_divide(F.col("users") * 100.0, F.col("everyone"))
     kept = F.try_divide(F.col("kept") * 100.0, F.col("users"))
     # Benchmarks and their two thresholds.
     return (
-        figure(churn, "Churn Rate", F.col("rate"), "15.2%", status(F.col("rate"), 15.2, 12.0, above, "Above Target"))
+        figure(known, "Churn Rate", F.col("rate"), "15.2%", status(F.col("rate"), 15.2, 12.0, above, "Above Target"))
         .unionByName(
             figure(high, "High Risk Users", F.col("users"), "5%", status(share, 5, 3, above, "Above Target"))
         )
@@ -361,7 +364,7 @@ def kpi_scorecard(subs, predictions, features, as_of=S.AS_OF):
         )
         .unionByName(
             figure(
-                early, "Early Stage Retention", F.round(kept, 2), "85%", status(kept, 80, 85, below, "Below Target")
+                known, "Early Stage Retention", F.round(kept, 2), "85%", status(kept, 80, 85, below, "Below Target")
             )
         )
     )

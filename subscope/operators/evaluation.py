@@ -39,8 +39,8 @@ def _area_columns():
     two_classes = (F.max(positives) > 0) & (F.max(positives) < F.max(everyone))
     pairs = F.max(positives).cast("double") * F.max(everyone - positives)
     return [
-        F.when(two_classes, F.round(F.try_divide(F.sum(pairs_won), pairs), 6)).alias("roc_auc"),
-        F.when(two_classes, F.round(F.try_divide(F.sum(area), F.max(positives)), 6)).alias("pr_auc"),
+        F.when(two_classes, F.try_divide(F.sum(pairs_won), pairs)).alias("roc_auc"),
+        F.when(two_classes, F.try_divide(F.sum(area), F.max(positives))).alias("pr_auc"),
     ]
 
 
@@ -69,13 +69,13 @@ def classification_metrics(scored, score, prediction, label):
     def share(part, whole):
         return F.coalesce(F.try_divide(part.cast("double"), whole), F.lit(0.0))
 
-    accuracy = F.round(share(tp + tn, n), 6)
+    accuracy = share(tp + tn, n)
     precision = share(pos * share(tp, flagged) + (n - pos) * share(tn, n - flagged), n)
     return cells.select(
         "roc_auc",
         "pr_auc",
         accuracy.alias("accuracy"),
-        F.round(precision, 6).alias("precision"),
+        precision.alias("precision"),
         accuracy.alias("recall"),
     )
 
@@ -98,11 +98,11 @@ def ranking_metrics(scored, score, label, precision_at=0.1, recall_at=0.2, thres
     alarms = F.sum(F.when(F.col(score) >= threshold, negatives).otherwise(0))
     return counts.agg(
         F.max("n_total").alias("users"),
-        F.round(
-            F.try_divide(hits(precision_at), F.max(F.ceil(F.col("n_total") * F.lit(precision_at)))), 6
-        ).alias("precision_at_top"),
-        F.round(F.try_divide(hits(recall_at), F.max("pos_total")), 6).alias("recall_at_flagged"),
-        F.round(F.try_divide(alarms.cast("double"), F.sum(negatives)), 6).alias("false_positive_rate"),
+        F.try_divide(hits(precision_at), F.max(F.ceil(F.col("n_total") * F.lit(precision_at)))).alias(
+            "precision_at_top"
+        ),
+        F.try_divide(hits(recall_at), F.max("pos_total")).alias("recall_at_flagged"),
+        F.try_divide(alarms.cast("double"), F.sum(negatives)).alias("false_positive_rate"),
     )
 
 

@@ -16,6 +16,8 @@ from subscope.functions.exprs import (
     pearson,
     recent_rows,
     since,
+    snapshot,
+    until,
     upper_band,
 )
 from subscope.functions.reshape import rows_from
@@ -96,7 +98,9 @@ def _per_user(behavior, as_of, windows, *more):
     So the sums are one aggregate, and the two distinct counts that need it (sessions, days) another; the
     columns with a declared domain are counted by bits in the first. All are partitioned by user, so joining
     them shuffles nothing more, and being left joins on unique keys they vanish when nobody reads their columns.
+    Rows after the day ``as_of`` are left out.
     """
+    behavior = until(behavior, as_of)
     sums = behavior.groupBy("user_id").agg(
         F.count("*").alias("total_actions"),
         F.count_if(_is_action("feature_use")).alias("feature_usage_count"),
@@ -171,7 +175,7 @@ def feature_usage_pivot(behavior):
 
 
 def subscription_features(subs, as_of=S.AS_OF):
-    return subs.select(
+    return snapshot(subs, as_of).select(
         "user_id",
         "plan_type",
         "billing_cycle",
@@ -317,6 +321,7 @@ def stratified_sample(df, label, fractions, key="user_id", seed=42):
 
 def activity_recency(behavior, as_of=S.AS_OF, inactive_after=14):
     """Days since the last action, an inactivity flag, and the change between the last two weeks."""
+    behavior = until(behavior, as_of)
     this_week = F.count_if(since(as_of, 7))
     last_two = F.count_if(since(as_of, 14))
     idle = F.datediff(as_of_date(as_of), F.max("timestamp"))

@@ -39,11 +39,18 @@ def build_silver(spark, base, as_of=S.AS_OF):
 
 
 def train(spark, base, **settings):
-    """Preprocessing and forest fitted on the silver table, as one model."""
+    """Preprocessing and forest fitted on the training side of the silver table, as one model.
+
+    Without ``settings`` the grid search finds them; they are those of an earlier search otherwise.
+    """
     filled = preprocessing.fill_missing(read_layer(spark, f"{base}/{FEATURES}"))
-    fitted = preprocessing.preprocessing(*preprocessing.feature_types(filled)).fit(filled)
-    known, _ = preprocessing.train_test_split(preprocessing.labelled(fitted.transform(filled)))
-    return classifiers.full_model(fitted, classifiers.train_random_forest(known, **settings))
+    known, _ = preprocessing.train_test_split(filled.where(F.col("is_churned").isNotNull()))
+    fitted = preprocessing.preprocessing(*preprocessing.feature_types(filled)).fit(known)
+    vectors = preprocessing.labelled(fitted.transform(known))
+    if settings:
+        return classifiers.full_model(fitted, classifiers.train_random_forest(vectors, **settings))
+    cores = spark.sparkContext.defaultParallelism
+    return classifiers.full_model(fitted, classifiers.tune_random_forest(vectors, parallelism=cores).bestModel)
 
 
 def build_gold(spark, base, model):

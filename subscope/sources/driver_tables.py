@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 from subscope import settings as S
 from subscope.functions.exprs import as_of_date
 
-# Offsets that move order dates next to the as-of date, and the order cut-off.
-START_SHIFT_DAYS = 10075
-END_SHIFT_DAYS = 10105
-LAST_ORDER_DATE = "1996-07-01"
+# The offset that moves the last order date to the as-of date, and the spread of subscription lengths.
+START_SHIFT_DAYS = 8218
+LENGTH_SPREAD_DAYS = 400
 
 
 def _read(spark, sf_dir, table):
@@ -59,13 +58,12 @@ def behavior(spark, sf_dir, keep=()):
 
 
 def subscriptions(spark, sf_dir, as_of=S.AS_OF):
-    """One subscription per customer from the first and the latest early order."""
+    """One subscription per customer with orders, from the latest one."""
     latest = F.max(F.struct("o_orderdate", "o_orderkey", "o_orderstatus", "o_orderpriority"))
     orders = (
         _read(spark, sf_dir, "orders")
-        .where(F.col("o_orderdate") <= F.lit(LAST_ORDER_DATE).cast("timestamp_ntz"))
         .groupBy("o_custkey")
-        .agg(F.min("o_orderdate").alias("first_order"), latest.alias("latest"))
+        .agg(latest.alias("latest"))
     )
     customers = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nations = _read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
@@ -87,16 +85,16 @@ def subscriptions(spark, sf_dir, as_of=S.AS_OF):
         .when(priority == "3-MEDIUM", "support")
         .when(priority == "5-LOW", "competitor")
     )
-    shifted_end = F.col("latest.o_orderdate") + F.make_dt_interval(F.lit(END_SHIFT_DAYS))
+    start = F.col("latest.o_orderdate") + F.make_dt_interval(F.lit(START_SHIFT_DAYS))
+    days = (F.col("latest.o_orderkey") % LENGTH_SPREAD_DAYS).cast("int")
+    end = F.least(start + F.make_dt_interval(days), as_of_date(as_of).cast("timestamp_ntz"))
     return (
         orders.join(customers, orders["o_custkey"] == customers["c_custkey"])
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             F.col("c_custkey").cast("string").alias("user_id"),
-            (F.col("first_order") + F.make_dt_interval(F.lit(START_SHIFT_DAYS))).alias("subscription_start"),
-            F.when(
-                churned, F.least(shifted_end, as_of_date(as_of).cast("timestamp_ntz"))
-            ).alias("subscription_end"),
+            start.alias("subscription_start"),
+            F.when(churned, end).alias("subscription_end"),
             plan.alias("plan_type"),
             F.when(F.col("c_custkey") % 10 < 7, "monthly").otherwise("annual").alias("billing_cycle"),
             payment.alias("payment_method"),

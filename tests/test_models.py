@@ -164,11 +164,15 @@ def test_default_grid_is_complete():
 
 
 def test_importance_sums_to_one_under_source_names(spark, sf_dir):
-    got = rows(queries.queries()["feature_importance"](spark, sf_dir))
-    assert sum(row["importance"] for row in got) == pytest.approx(1.0, abs=0.05)
+    model = classifiers.train_random_forest(queries._training_table(spark, sf_dir), **SMALL)
+    importance = classifiers.feature_importance(spark, model, queries._vectors(spark, sf_dir))
+    got = rows(importance)
+    assert sum(row["importance"] for row in got) == pytest.approx(1.0, abs=1e-9)
     assert not any("_encoded" in row["feature_name"] for row in got)
-    share = rows(queries.queries()["importance_share"](spark, sf_dir))
-    assert len(share) <= 15
+    share = rows(classifiers.importance_share(importance, top=3))
+    assert len(share) == 3
+    for row, full in zip(share, got):
+        assert row["importance_percentage"] == pytest.approx(100 * full["importance"], abs=0.006)
 
 
 def test_reloaded_model_scores_alike(spark, sf_dir):
