@@ -27,6 +27,8 @@ FALSE_DISCOVERIES = 0.05
 LENGTHS = [20, 24, 32, 40, 64, 128, 256]
 #: Scores are counted in so many steps.
 STEPS = 1000
+#: Plain words that make a null distribution.
+NULL_WORDS = 100
 KINDS = ["assign", "access", "hex", "random"]
 
 _ASSIGN = re.compile(
@@ -130,7 +132,8 @@ def _scan(batches):
 def thresholds(scanned: DataFrame) -> dict[int, int]:
     """Per length class the lowest score, in steps, that counts as random; a class without any is absent.
 
-    The null of a class are the plain words of its and all shorter classes, since scores of text fall with length.
+    The null of a class are its plain words. Where they are fewer than NULL_WORDS, those of the next shorter classes
+    count too: scores of text fall with length, so that errs towards fewer findings.
     """
     each = scanned.select(F.explode("tokens").alias("t")).select("t.*").dropDuplicates(["hash", "class"])
     counted = each.groupBy("class", "step", "word").count().collect()  # at most classes x steps x 2 rows
@@ -138,10 +141,11 @@ def thresholds(scanned: DataFrame) -> dict[int, int]:
     seen = np.zeros((len(LENGTHS), STEPS + 1))
     for row in counted:
         (null if row["word"] else seen)[row["class"], row["step"]] = row["count"]
-    null = null.cumsum(axis=0)
     found = {}
     for c in range(len(LENGTHS)):
-        tail = (1 + null[c][::-1].cumsum()[::-1]) / (1 + null[c].sum())
+        own = next((n for n in range(c, 0, -1) if null[n : c + 1].sum() >= NULL_WORDS), 0)
+        words = null[own : c + 1].sum(axis=0)
+        tail = (1 + words[::-1].cumsum()[::-1]) / (1 + words.sum())
         above = seen[c][::-1].cumsum()[::-1]
         passed = np.flatnonzero((above > 0) & (tail * seen[c].sum() <= FALSE_DISCOVERIES * above))
         if len(passed):

@@ -2,7 +2,7 @@
 
 Every document starts in a shard by the hash of its id. Documents with equal texts are linked. A unit is what a group has
 in one shard. In every round each unit asks for a shard in which its group has more documents and which has
-room; a shard grants the requests in order of the documents that it already has of a group, as far as its room goes. The
+room (equal numbers: first a shard with room, then by hash); a shard grants the requests in order of the documents that it already has of a group, as far as its room goes. The
 rounds end when nothing moves. Documents without links then fill the shards up to their exact sizes.
 
 Members of a group are alike, so the rounds move numbers of documents, and single documents take their places once at the
@@ -39,25 +39,26 @@ def _ranked(df: DataFrame, keys: list[str], buckets: int, name: str) -> DataFram
 def _round(units: DataFrame, room: dict[int, int]) -> DataFrame:
     """(group, shard, target, moved): the documents of each unit that move, under the room of the shards."""
     free = [shard for shard, places in room.items() if places > 0]
-    group = units.groupBy(*GROUP).agg(
-        F.sort_array(F.collect_list(F.struct("n", (-F.col("shard")).alias("minus"))), asc=False).alias("places")
-    )  # at most one entry per shard
-    open_places = F.filter("places", lambda p: (-p["minus"]).isin(free))
-    group = group.select(*GROUP, F.get(open_places, F.lit(0)).alias("best"))
-    asked = units.join(group, GROUP).where("best.n > n OR (best.n = n AND best.minus > -shard)")
+    tie = F.xxhash64(*GROUP, "shard")
+    units = units.withColumn("place", F.struct("n", F.col("shard").isin(free).alias("open"), tie.alias("tie"), "shard"))
+    group = units.groupBy(*GROUP).agg(F.max(F.when(F.col("place.open"), F.col("place"))).alias("best"))
+    asked = units.join(group, GROUP).where("best > place")
     level = F.floor(F.log2("best.n")).cast("int")
     asked = asked.select(
-        *GROUP, "shard", "n", (-F.col("best.minus")).alias("target"), level.alias("level"),
-        F.pmod(F.xxhash64(*GROUP, "shard"), F.lit(SLOTS)).alias("slot"),
+        *GROUP, "shard", "n", F.col("best.shard").alias("target"), level.alias("level"),
+        F.pmod(tie, F.lit(SLOTS)).alias("slot"),
+        F.struct("n", tie.alias("tie")).alias("rank"),
     )
-    sums = asked.groupBy("target", "level", "slot").agg(F.sum("n").alias("total"))  # shards x levels x slots rows
+    # At most shards x levels x slots rows.
+    sums = asked.groupBy("target", "level", "slot").agg(F.sum("n").alias("total"), F.max("rank").alias("lead"))
     order = Window.partitionBy("target").orderBy(F.desc("level"), "slot")
     sums = sums.withColumn("before", F.sum("total").over(order) - F.col("total"))
     places = F.create_map(*[F.lit(x) for pair in room.items() for x in pair])
     sums = sums.withColumn("left", F.greatest(F.lit(0), F.least("total", places[F.col("target")] - F.col("before"))))
     granted = asked.join(sums.where("left > 0"), ["target", "level", "slot"])
-    # The slot at the end of the room is granted in part: every unit the same share, rounded down.
-    return granted.select(*GROUP, "shard", "target", F.expr("n * left div total").alias("moved")).where("moved > 0")
+    # The slot at the end of the room is granted in part: half to its largest unit, the same share to every other.
+    share = "CASE WHEN left = total THEN n WHEN rank = lead THEN least(n, left - left div 2) ELSE n * (left div 2) div total END"
+    return granted.select(*GROUP, "shard", "target", F.expr(share).alias("moved")).where("moved > 0")
 
 
 def propagated(held: Held, units: DataFrame, capacity: int) -> DataFrame:
