@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import os
 import os
+import re
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -23,9 +25,9 @@ from subscope.llm.shared import Held
 
 CAPACITY = 4096
 END = 1
-#: Most distinct chunks of text whose ids a task remembers, and the longest of them.
-REMEMBERED = 200_000
-REMEMBERED_LENGTH = 64
+#: Most distinct chunks of text whose ids a Python worker remembers, and the longest of them.
+REMEMBERED = 1_000_000
+REMEMBERED_LENGTH = 40
 #: Pieces that one task packs at a time, about.
 PIECES = 100_000
 #: The exchange between partitions merges so many into one.
@@ -46,27 +48,44 @@ def _tokenizer(path: str):
     return tokenizer
 
 
+_known: dict[str, dict[str, bytes]] = {}
+_MARK = re.compile(r"(?<=[a-z\xdf-\xf6\xf8-\xff])([.,])(?= |$)")
+
+
+def _chunks(text: str) -> list[str]:
+    """Parts of a text that the tokenizer never joins: it drops white space, and takes runs of letters and of marks apart.
+
+    In Latin-1 texts letters are lowered as it does and a single full stop or comma after a letter is a part of its
+    own, which makes the parts fewer. Texts that may hold its special strings are only parted at white space.
+    """
+    for space in "\t\n\x0b\x0c\r":
+        text = text.replace(space, " ")
+    if "<|" not in text:
+        try:
+            text.encode("latin-1")
+            text = _MARK.sub(r" \1", text.lower())
+        except UnicodeEncodeError:
+            pass
+    return text.split(" ")
+
+
 def _pieces(path: str, end: int):
-    """The tokenizer drops white space and never joins what stands on both sides of it, so chunks between ASCII
-    white space are tokenized once each and remembered."""
+    """Every distinct part of the texts is tokenized once and remembered."""
 
     def cut(batches):
         tokenizer = _tokenizer(path)
-        known: dict[str, bytes] = {}
+        known = _known.setdefault(path, {})
         last = np.array([end], dtype="<u4").tobytes()
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                text = text.as_py() or ""
-                for space in "\t\n\x0b\x0c\r":
-                    text = text.replace(space, " ")
-                chunks = text.split(" ")
-                new = [c for c in set(chunks) if c not in known]
+                chunks = _chunks(text.as_py() or "")
+                new = [c for c in {*chunks} if c not in known]
                 if len(known) + len(new) > REMEMBERED:
                     known.clear()
                     new = list(set(chunks))
-                for chunk, found in zip(new, tokenizer.encode_batch(new, add_special_tokens=False)):
-                    known[chunk] = np.array(found.ids, dtype="<u4").tobytes()
+                for chunk, found in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+                    known[chunk] = array("I", found.ids).tobytes()
                 ids = b"".join([known[c] for c in chunks]) + last
                 for chunk in new:
                     if len(chunk) > REMEMBERED_LENGTH:

@@ -149,7 +149,7 @@ def _multiply(path: str):
             tokens = batch.column(0).to_pylist()
             fresh = np.array([t != before for t, before in zip(tokens, [last, *tokens])])
             new = [t for t, is_fresh in zip(tokens, fresh) if is_fresh]
-            counts = [pieces, *(len(found.ids) for found in tokenizer.encode_batch(new, add_special_tokens=False))]
+            counts = [pieces, *(len(found.ids) for found in tokenizer.encode_batch_fast(new, add_special_tokens=False))]
             last, pieces = tokens[-1], counts[-1]
             per_row = np.array(counts)[np.cumsum(fresh)]
             chunks, which = np.unique(batch.column(1).to_numpy(), return_inverse=True)
