@@ -140,10 +140,11 @@ def funnel():
 
 
 def cohorts(extra):
-    """The grades are the five ten-point steps below 100, from best to worst."""
+    """Lower bounds 90, 80, 70 and 60 of the grades."""
     return f"""
-        SELECT *, (['Excellent', 'Good', 'Fair', 'Poor', 'Critical'])[
-                      CAST(least(greatest(10 - floor(retention_rate / 10), 1), 5) AS INTEGER)] AS retention_grade
+        SELECT *, CASE WHEN retention_rate >= 90 THEN 'Excellent' WHEN retention_rate >= 80 THEN 'Good'
+                       WHEN retention_rate >= 70 THEN 'Fair' WHEN retention_rate >= 60 THEN 'Poor'
+                       ELSE 'Critical' END AS retention_grade
         FROM (SELECT strftime(subscription_start, '%Y-%m') AS cohort_month, {band('survival', AGE)} AS survival_month,
                      count(*) AS user_count, {CHURNED} AS churned_count,
                      {pct(ACTIVE, 'count(*)')} AS retention_rate, {pct(CHURNED, 'count(*)')} AS churn_rate

@@ -291,7 +291,7 @@ def _training_table(spark, sf_dir):
 
     def build():
         path = shared_dir(spark, "training")
-        _halves(spark, sf_dir)[0].write.parquet(path)
+        _halves(spark, sf_dir)[0].hint("rebalance").write.parquet(path)
         return path
 
     return spark.read.parquet(_once(spark, sf_dir, "training", build))
@@ -394,8 +394,8 @@ def _medallion(spark, sf_dir):
 def _stream_actions(spark, sf_dir):
     stream = activity.behavior_stream(spark, sf_dir, "events.parquet")
     base = shared_dir(spark, "daily-actions")
-    path = activity.run_complete(activity.daily_actions(stream), f"{base}/table", f"{base}/checkpoint")
-    return spark.read.parquet(path)
+    path = activity.run_update(activity.daily_actions(stream), f"{base}/table", f"{base}/checkpoint")
+    return activity.latest_counts(spark.read.parquet(path))
 
 
 def _stream_users(spark, sf_dir):

@@ -318,7 +318,10 @@ def risk_by_stage(predictions, subs, as_of=S.AS_OF):
 def kpi_scorecard(subs, predictions, features, as_of=S.AS_OF):
     """Four figures against fixed benchmarks."""
 
-    def figure(aggregate, metric, value, benchmark, status):
+    def figure(aggregate, metric, value, judged):
+        benchmark, off, risky, name = S.BENCHMARKS[metric]
+        worse = (lambda bound: judged > bound) if off > risky else (lambda bound: judged < bound)
+        status = F.when(worse(off), name).when(worse(risky), "At Risk").otherwise("On Target")
         return aggregate.select(
             F.lit(metric).alias("metric"),
             value.cast("double").alias("current_value"),
@@ -326,15 +329,6 @@ def kpi_scorecard(subs, predictions, features, as_of=S.AS_OF):
             status.alias("status"),
         )
 
-    def status(value, off, risky, worse, name):
-        return F.when(worse(value, off), name).when(worse(value, risky), "At Risk").otherwise("On Target")
-
-    def above(value, bound):
-        return value > bound
-
-    def below(value, bound):
-        return value < bound
-
     is_early = age_days(as_of) <= 90
     known = snapshot(subs, as_of).agg(
         churn_rate().alias("rate"),
@@ -347,26 +341,11 @@ def kpi_scorecard(subs, predictions, features, as_of=S.AS_OF):
     adoption = features.agg(F.avg("features_adopted").alias("mean"))
     share = F.try_divide(F.col("users") * 100.0, F.col("everyone"))
     kept = F.try_divide(F.col("kept") * 100.0, F.col("users"))
-    # Benchmarks and their two thresholds.
     return (
-        figure(known, "Churn Rate", F.col("rate"), "15.2%", status(F.col("rate"), 15.2, 12.0, above, "Above Target"))
-        .unionByName(
-            figure(high, "High Risk Users", F.col("users"), "5%", status(share, 5, 3, above, "Above Target"))
-        )
-        .unionByName(
-            figure(
-                adoption,
-                "Feature Adoption Rate",
-                F.round("mean", 2),
-                "3.0",
-                status(F.col("mean"), 2.5, 3.0, below, "Below Target"),
-            )
-        )
-        .unionByName(
-            figure(
-                known, "Early Stage Retention", F.round(kept, 2), "85%", status(kept, 80, 85, below, "Below Target")
-            )
-        )
+        figure(known, "Churn Rate", F.col("rate"), F.col("rate"))
+        .unionByName(figure(high, "High Risk Users", F.col("users"), share))
+        .unionByName(figure(adoption, "Feature Adoption Rate", F.round("mean", 2), F.col("mean")))
+        .unionByName(figure(known, "Early Stage Retention", F.round(kept, 2), kept))
     )
 
 

@@ -155,16 +155,12 @@ def weekday_distribution(pageviews):
 def view_count_histogram(pageviews):
     """Decimal magnitude bands; NULL and negative counts fall to the last band."""
     views = F.col("view_count")
-    zero, *middle, rest = S.VIEW_COUNT_BANDS
-    band = F.when(views == 0, zero)
-    for exponent, name in enumerate(middle):
-        band = band.when((views >= (10**exponent + 1 if exponent else 1)) & (views <= 10 ** (exponent + 1)), name)
-    counts = pageviews.groupBy(band.otherwise(rest).alias("view_count_range")).agg(
+    known = F.when(views >= 0, views)
+    counts = pageviews.groupBy(upper_band(known, S.VIEW_COUNT_BANDS).alias("view_count_range")).agg(
         F.count("*").alias("page_count")
     )
-    return with_share(counts, "page_count", "percentage").orderBy(
-        position(F.col("view_count_range"), S.VIEW_COUNT_BANDS)
-    )
+    labels = [label for _, label in S.VIEW_COUNT_BANDS]
+    return with_share(counts, "page_count", "percentage").orderBy(position(F.col("view_count_range"), labels))
 
 
 def behavior_summary(behavior):

@@ -25,12 +25,11 @@ def sized_settings(shuffled_bytes, cores, partition_bytes=128 * 2**20):
     """Shuffle settings for a cluster and the largest expected shuffle.
 
     The adaptive planner merges small shuffle partitions and splits skewed ones, but starts from a fixed
-    number: enough to keep a partition near ``partition_bytes``, at least two per core, and at most 50,000,
-    where the number of blocks per shuffle becomes the burden.
+    number: enough to keep a partition near ``partition_bytes``, and at least two per core.
     """
     wanted = max(-(-shuffled_bytes // partition_bytes), 2 * cores)
     return {
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(min(wanted, 50_000)),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(wanted),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(2 * partition_bytes),

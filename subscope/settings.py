@@ -25,7 +25,14 @@ PEAK_HOURS = (12, 16)
 DATA_SOURCE = "wikimedia_pageviews"
 
 # Inclusive upper bounds and labels of the bands; the last label has no bound.
-VIEW_COUNT_BANDS = ["0", "1-10", "11-100", "101-1K", "1K-10K", "10K+"]
+VIEW_COUNT_BANDS = [
+    (0, "0"),
+    (10, "1-10"),
+    (100, "11-100"),
+    (1000, "101-1K"),
+    (10000, "1K-10K"),
+    (None, "10K+"),
+]
 LENGTH_BANDS = [(30, "0-30 days"), (60, "31-60 days"), (90, "61-90 days"), (None, "90+ days")]
 MATRIX_STAGES = [(30, "new"), (90, "early"), (365, "established"), (None, "veteran")]
 LIFECYCLE_STAGES = [(30, "new"), (90, "early"), (None, "established")]
@@ -70,6 +77,13 @@ ADOPTION_SEGMENTS = [
 MEDIUM_RISK_PROBABILITY = 0.3
 RISK_BANDS = [(0.7, "red"), (0.3, "yellow"), (None, "green")]
 MODEL_VERSION = "v1.0"
+# Scorecard benchmark as shown, bound of the named status, bound of "At Risk", named status.
+BENCHMARKS = {
+    "Churn Rate": ("15.2%", 15.2, 12.0, "Above Target"),
+    "High Risk Users": ("5%", 5, 3, "Above Target"),
+    "Feature Adoption Rate": ("3.0", 2.5, 3.0, "Below Target"),
+    "Early Stage Retention": ("85%", 80, 85, "Below Target"),
+}
 
 # Lookback, horizon and window lengths in days.
 FEATURE_LOOKBACK_DAYS = 30

@@ -75,16 +75,15 @@ def enrich_pageviews(parsed, manifest, data_source=S.DATA_SOURCE):
     )
 
 
-def write_pageview_lines(pageviews, path, tasks=None):
+def write_pageview_lines(pageviews, path):
     """The inverse of parsing: gzip lines in one folder per source file.
 
     Ranges of files go to one task each; the row hash as second key splits a file that is too large for one.
     """
     line = F.concat_ws(" ", "project", "page_title", "view_count", "access_method").alias("value")
-    tasks = tasks or 2 * pageviews.sparkSession.sparkContext.defaultParallelism
     (
         pageviews.select(line, "source_file")
-        .repartitionByRange(tasks, F.col("source_file"), F.xxhash64("value"))
+        .repartitionByRange(F.col("source_file"), F.xxhash64("value"))
         .write.mode("overwrite")
         .partitionBy("source_file")
         .option("compression", "gzip")

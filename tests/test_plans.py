@@ -72,6 +72,6 @@ def test_recent_reports_skip_directories(spark, sf_dir, tmp_path):
 
 def test_shuffle_settings_follow_size_and_cores():
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    assert sized_settings(10 * 2**40, 4000)[key] == "50000"
+    assert sized_settings(10 * 2**40, 4000)[key] == "81920"
     assert sized_settings(2**40, 1000)[key] == "8192"
     assert sized_settings(2**20, 8)[key] == "16"
