@@ -63,9 +63,9 @@ def _is_action(name):
     return F.col("action_type") == name
 
 
-def _declared(column, domain):
-    """Number of distinct values among those declared, as one bit per value: a few bytes per user."""
-    seen = F.bit_or(
+def _bits(column, domain):
+    """One bit per declared value seen: a few bytes instead of a set."""
+    return F.bit_or(
         reduce(
             lambda bits, entry: bits.when(F.col(column) == entry[1], F.lit(1 << entry[0])),
             enumerate(domain),
@@ -74,66 +74,57 @@ def _declared(column, domain):
         .otherwise(0)
         .cast("long")
     )
-    return F.bit_count(seen).cast("long")
 
 
-def _undeclared(behavior):
-    """Distinct values outside the domains per user; usually no row at all."""
+def _per_user(behavior, as_of, windows, more=None):
+    """Engagement aggregates per user, from one scan of the rows up to ``as_of``.
+
+    The rows are first summed by user, session and day, and by any value outside the declared domains, so that a
+    user's, session's or day's many rows are few before they move. The distinct counts, for which Spark copies
+    each row once per counted column, run on those sums. Sums of durations and their squares are exact, so the
+    deviation does not depend on the order of the rows. ``more`` maps names to further counted conditions.
+    """
+    counted = {"feature_usage_count": _is_action("feature_use")}
+    counted |= {name: since(as_of, days) for name, days in windows.items()} | (more or {})
+    duration = F.col("duration_seconds").cast("decimal(10,0)")
     strange = [
-        F.when(~F.col(column).isin(domain), F.col(column)).alias(column)
+        F.when(~F.col(column).isin(domain), F.col(column)).alias(f"_{column}")
         for column, (_, domain) in DIVERSITY.items()
     ]
-    rows = behavior.where(
-        reduce(lambda a, b: a | b, [~F.col(column).isin(domain) for column, (_, domain) in DIVERSITY.items()])
-    ).select("user_id", *strange)
-    return rows.groupBy("user_id").agg(
-        *[F.countDistinct(column).alias(f"_{name}") for column, (name, _) in DIVERSITY.items()]
-    )
-
-
-def _per_user(behavior, as_of, windows, *more):
-    """Engagement aggregates per user.
-
-    Distinct counts make Spark copy every row once per counted column, together with all other aggregates.
-    So the sums are one aggregate, and the two distinct counts that need it (sessions, days) another; the
-    columns with a declared domain are counted by bits in the first. All are partitioned by user, so joining
-    them shuffles nothing more, and being left joins on unique keys they vanish when nobody reads their columns.
-    Rows after the day ``as_of`` are left out.
-    """
-    behavior = until(behavior, as_of)
-    sums = behavior.groupBy("user_id").agg(
-        F.count("*").alias("total_actions"),
-        F.count_if(_is_action("feature_use")).alias("feature_usage_count"),
-        F.avg("duration_seconds").alias("avg_session_duration"),
-        F.stddev("duration_seconds").alias("stddev_session_duration"),
-        *[_declared(column, domain).alias(name) for column, (name, domain) in DIVERSITY.items()],
-        *[F.count_if(since(as_of, days)).alias(name) for name, days in windows.items()],
-        *more,
+    visits = (
+        until(behavior, as_of)
+        .groupBy("user_id", "session_id", F.to_date("timestamp").alias("_day"), *strange)
+        .agg(
+            F.count("*").alias("total_actions"),
+            *[F.count_if(condition).alias(name) for name, condition in counted.items()],
+            F.count("duration_seconds").alias("_n"),
+            F.sum(duration).alias("_sum"),
+            F.sum(duration * duration).alias("_squares"),
+            *[_bits(column, domain).alias(f"_{name}") for column, (name, domain) in DIVERSITY.items()],
+        )
     )
-    distinct = behavior.groupBy("user_id").agg(
+    n, total, squares = F.sum("_n"), F.sum("_sum"), F.sum("_squares")
+    variance = F.try_divide((n * squares - total * total).cast("double"), (n * (n - 1)).cast("double"))
+    return visits.groupBy("user_id").agg(
+        F.sum("total_actions").alias("total_actions"),
+        *[F.sum(name).alias(name) for name in counted],
         F.countDistinct("session_id").alias("total_sessions"),
-        F.countDistinct(F.to_date("timestamp")).alias("active_days"),
-    )
-    counted = {name: F.col(name) + F.coalesce(f"_{name}", F.lit(0)) for name, _ in DIVERSITY.values()}
-    return (
-        sums.join(distinct, "user_id", "left")
-        .join(_undeclared(behavior), "user_id", "left")
-        .withColumns(counted)
-        .drop(*[f"_{name}" for name in counted])
+        F.countDistinct("_day").alias("active_days"),
+        F.try_divide(total.cast("double"), n).alias("avg_session_duration"),
+        F.sqrt(variance).alias("stddev_session_duration"),
+        *[
+            (F.bit_count(F.bit_or(f"_{name}")).cast("long") + F.countDistinct(f"_{column}")).alias(name)
+            for column, (name, _) in DIVERSITY.items()
+        ],
     )
 
 
-def _action_columns():
-    return [F.count_if(_is_action(name)).alias(f"{name}_count") for name in S.ACTION_TYPES]
+def _action_counts():
+    return {f"{name}_count": _is_action(name) for name in S.ACTION_TYPES}
 
 
-def _feature_columns():
-    """Uses per feature; NULL rather than 0 for users without any feature use."""
-    used = F.count_if(_is_action("feature_use")) > 0
-    return [
-        F.when(used, F.count_if(_is_action("feature_use") & (F.col("feature_name") == name))).alias(name)
-        for name in S.FEATURE_NAMES
-    ]
+def _feature_counts():
+    return {name: _is_action("feature_use") & (F.col("feature_name") == name) for name in S.FEATURE_NAMES}
 
 
 def _ordered(per_user, windows, *more):
@@ -162,7 +153,9 @@ def subscription_lifecycle(subs, as_of=S.AS_OF):
 
 
 def action_count_pivot(behavior):
-    return behavior.groupBy("user_id").agg(*_action_columns())
+    return behavior.groupBy("user_id").agg(
+        *[F.count_if(condition).alias(name) for name, condition in _action_counts().items()]
+    )
 
 
 def feature_usage_pivot(behavior):
@@ -194,10 +187,12 @@ def feature_matrix(behavior, subs, as_of=S.AS_OF):
 
     Action and feature counts are sums within the engagement aggregate rather than pivots of their own. All
     joins have one row per user on either side. Users without a subscription keep a NULL label and fall to
-    the stage without bound.
+    the stage without bound. Users without any feature use have NULL rather than 0 uses per feature.
     """
+    used = F.col("feature_usage_count") > 0
+    users = _per_user(behavior, as_of, MATRIX_WINDOWS, _action_counts() | _feature_counts())
     per_user = _ordered(
-        _per_user(behavior, as_of, MATRIX_WINDOWS, *_action_columns(), *_feature_columns()),
+        users.withColumns({name: F.when(used, F.col(name)) for name in S.FEATURE_NAMES}),
         MATRIX_WINDOWS,
         *[f"{name}_count" for name in S.ACTION_TYPES],
         *S.FEATURE_NAMES,

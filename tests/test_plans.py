@@ -23,7 +23,7 @@ def test_a_profile_of_several_columns_scans_once(spark, sf_dir):
     views = D.pageviews(spark, sf_dir)
     assert plan(profiles.null_profile(views, ["project", "page_title", "view_count"])).count("FileScan") == 1
     matrix = features.feature_matrix(D.behavior(spark, sf_dir), D.subscriptions(spark, sf_dir))
-    assert plan(features.feature_statistics(matrix)).count("events.parquet") <= 2
+    assert plan(features.feature_statistics(matrix)).count("events.parquet") == 1
 
 
 def test_unused_distinct_counts_vanish(spark, sf_dir):
@@ -43,17 +43,17 @@ def test_group_cut_points_do_not_move_the_rows(spark, sf_dir):
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
 
 
-def test_matrix_joins_add_no_shuffle_of_behaviour(spark, sf_dir):
-    users = features.engagement_features(D.behavior(spark, sf_dir)).drop(
-        "features_adopted", "device_types_used", "locations_used"
-    )
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        text = plan(users)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # One for the sums, two for the distinct counts, none for the join.
-    assert text.count("Exchange hashpartitioning") == 3
+def test_user_features_read_the_behaviour_once(spark, sf_dir):
+    behavior, subs = D.behavior(spark, sf_dir), D.subscriptions(spark, sf_dir)
+    assert plan(features.engagement_features(behavior)).count("events.parquet") == 1
+    assert plan(features.feature_matrix(behavior, subs)).count("events.parquet") == 1
+
+
+def test_user_features_shuffle_rows_only_as_sums(spark, sf_dir):
+    text = plan(features.engagement_features(D.behavior(spark, sf_dir)))
+    # The sums by visit, then two for the distinct counts on them; the rows themselves are combined first.
+    assert text.count("Exchange hashpartitioning") == 3 and "Join" not in text
+    assert text.index("Expand") < text.rindex("Exchange hashpartitioning")
 
 
 def test_recent_reports_skip_directories(spark, sf_dir, tmp_path):
