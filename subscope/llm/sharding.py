@@ -21,6 +21,8 @@ ROUNDS = 40
 BUCKET = 20_000
 #: Requests for a shard are ordered by gain in powers of two, and within one by so many hash values.
 SLOTS = 64
+#: Units in a file of the tables between rounds, at most about.
+UNITS = 1_000_000
 
 GROUP = ["text_crc32", "text_hash", "size"]
 
@@ -56,24 +58,27 @@ def _round(units: DataFrame, room: dict[int, int]) -> DataFrame:
     places = F.create_map(*[F.lit(x) for pair in room.items() for x in pair])
     sums = sums.withColumn("left", F.greatest(F.lit(0), F.least("total", places[F.col("target")] - F.col("before"))))
     granted = asked.join(sums.where("left > 0"), ["target", "level", "slot"])
-    # The slot at the end of the room is granted in part: half to its largest unit, the same share to every other.
-    share = "CASE WHEN left = total THEN n WHEN rank = lead THEN least(n, left - left div 2) ELSE n * (left div 2) div total END"
+    # The slot at the end of the room is granted in part: to its largest unit, if that can fill the room, or else half
+    # of it to that unit and the same share to every other.
+    share = """CASE WHEN left = total THEN n WHEN lead.n >= left THEN if(rank = lead, left, 0L)
+        WHEN rank = lead THEN least(n, left - left div 2) ELSE n * (left div 2) div total END"""
     return granted.select(*GROUP, "shard", "target", F.expr(share).alias("moved")).where("moved > 0")
 
 
 def propagated(held: Held, units: DataFrame, capacity: int) -> DataFrame:
     """Units (group, shard, n) after the last round."""
+    files = max(1, -(-units.count() // UNITS))
     for _ in range(ROUNDS):
         load = {row["shard"]: row["n"] for row in units.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
         room = {shard: max(0, capacity - load.get(shard, 0)) for shard in range(SHARDS)}
-        moves = held.table(_round(units, room))
+        moves = held.table(_round(units, room).coalesce(files))
         if not moves.head(1):
             held.drop(moves)
             break
         gone = moves.select(*GROUP, "shard", (-F.col("moved")).alias("n"))
         come = moves.select(*GROUP, F.col("target").alias("shard"), F.col("moved").alias("n"))
         after = units.unionByName(gone).unionByName(come).groupBy(*GROUP, "shard").agg(F.sum("n").alias("n"))
-        after = held.table(after.where("n > 0"))
+        after = held.table(after.where("n > 0").coalesce(files))
         held.drop(units, moves)
         units = after
     return units
