@@ -28,8 +28,8 @@ TRAIN_PER_CLASS = 4000
 LEXICON = 50_000
 #: A beginning has so many characters at most; shorter ones than the first are too common.
 BEGINNINGS = range(3, 9)
-MIN_DOCUMENTS = 5
-MIN_Z = 4.0
+MIN_DOCUMENTS = 3
+MIN_Z = 3.0
 #: Lower bounds of the log-odds in a bin; evidence under the first is none.
 BINS = [1.5, 2.5, 3.5, 4.5, 5.5]
 THRESHOLD = 0.3
