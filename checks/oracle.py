@@ -715,6 +715,25 @@ MODELS = {
         UNION ALL SELECT 'Mean duration ratio of mobile to desktop',
                round(avg(duration_seconds) FILTER (WHERE device_type = 'mobile')
                      / avg(duration_seconds) FILTER (WHERE device_type = 'desktop'), 4) FROM behavior"""),
+    # Trained models have no SQL: these compare what must hold for any model.
+    "reload_differences": (["behavior"], """
+        SELECT CAST(0 AS BIGINT) AS changed_rows, count(DISTINCT user_id) AS users FROM behavior"""),
+    "score_rules": (["behavior"], """
+        SELECT DISTINCT user_id, 'v1.0' AS model_version, true AS is_probability, true AS tier_follows FROM behavior"""),
+    "holdout_predictions": (["behavior", "subscriptions"], """
+        SELECT model_name, user_id, CAST(is_churned AS DOUBLE) AS label, true AS is_probability,
+               true AS prediction_follows
+        FROM (SELECT DISTINCT user_id FROM behavior) JOIN subscriptions USING (user_id),
+             (VALUES ('Random Forest'), ('Gradient Boosting'), ('Logistic Regression')) AS m(model_name)
+        WHERE substr(md5(user_id || '42'), 1, 8) >= 'cccccccc'"""),
+    "tuning_grid": ([], """
+        SELECT 'maxBins=' || bins || ', maxDepth=' || depth || ', minInstancesPerNode=' || least || ', numTrees=' || trees
+                   AS settings,
+               true AS is_area
+        FROM (VALUES (32), (64), (128)) AS b(bins), (VALUES (5), (10), (15)) AS d(depth),
+             (VALUES (1), (5), (10)) AS i(least), (VALUES (50), (100), (200)) AS t(trees)"""),
+    "alert_differences": ([], """
+        SELECT CAST(0 AS BIGINT) AS only_in_stream, CAST(0 AS BIGINT) AS only_in_batch"""),
     "stream_daily_actions": (["behavior"], """
         SELECT CAST("timestamp" AS DATE) AS date, action_type, count(*) AS actions FROM behavior GROUP BY 1, 2"""),
     "stream_active_users": (["behavior"], """

@@ -250,6 +250,8 @@ def with_inputs(names, body, inputs=INPUTS, needs=NEEDS):
 
     for name in names:
         add(name)
+    if not needed:
+        return body
     ctes = ",\n".join(f"{name} AS ({inputs[name]})" for name in needed)
     joint = "," if body.lstrip().startswith("+") else ""
     return f"WITH {ctes}{joint}\n{body.lstrip().lstrip('+')}"

@@ -353,6 +353,54 @@ def _scored_users(spark, sf_dir):
     return scored.drop("prediction_timestamp")
 
 
+def _reload_differences(spark, sf_dir):
+    """Users scored, and those whose scores change when the model is stored and loaded."""
+    direct, again = _scored_users(spark, sf_dir), _reloaded(spark, sf_dir)
+    changed = direct.exceptAll(again).agg(F.count("*").alias("changed_rows"))
+    return changed.crossJoin(again.agg(F.count("*").alias("users")))  # one row on either side
+
+
+def _score_rules(spark, sf_dir):
+    """Per scored user: version, and whether the probability is one and the tier follows from it."""
+    p = F.col("churn_probability")
+    tier = F.when(F.col("prediction") == 1, "high_risk").when(p >= 0.3, "medium_risk").otherwise("low_risk")
+    return _scored_users(spark, sf_dir).select(
+        "user_id",
+        "model_version",
+        p.between(0, 1).alias("is_probability"),
+        (F.col("churn_risk") == tier).alias("tier_follows"),
+    )
+
+
+def _holdout_predictions(spark, sf_dir):
+    """Per model and user of the test side: the label, and whether the prediction follows from the probability."""
+    parts = [
+        _predicted(name)(spark, sf_dir).select(
+            F.lit(name).alias("model_name"),
+            "user_id",
+            "label",
+            F.col("churn_probability").between(0, 1).alias("is_probability"),
+            ((F.col("prediction") == 1) == (F.col("churn_probability") > 0.5)).alias("prediction_follows"),
+        )
+        for name in TRAINERS
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _tuning_grid(spark, sf_dir):
+    """The settings searched, and whether their mean area is one."""
+    area = F.col("mean_roc_auc").between(0, 1)
+    return _tuning_results(spark, sf_dir).select("settings", area.alias("is_area"))
+
+
+def _alert_differences(spark, sf_dir):
+    """Alerts of the stream that the batch lacks, and the other way round."""
+    batch = _scored_users(spark, sf_dir).where(F.col("churn_risk") == S.RISK_TIERS[0])
+    stream = _stream_alerts(spark, sf_dir).select(*batch.columns)
+    more = stream.exceptAll(batch).agg(F.count("*").alias("only_in_stream"))
+    return more.crossJoin(batch.exceptAll(stream).agg(F.count("*").alias("only_in_batch")))  # one row on either side
+
+
 def _risk_tiers(spark, sf_dir):
     tier = scoring.risk_tier(F.col("prediction"), F.col("churn_probability"))
     return _scores(spark, sf_dir).withColumn("churn_risk", tier)
@@ -523,7 +571,12 @@ def queries():
         "tuning_improvement": _improvement,
         "feature_importance": lambda spark, sf_dir: _importance(spark, sf_dir).limit(20),
         "importance_share": _importance_share,
+        "holdout_predictions": _holdout_predictions,
+        "tuning_grid": _tuning_grid,
         "save_and_reload_model": _reloaded,
+        "reload_differences": _reload_differences,
+        "score_rules": _score_rules,
+        "alert_differences": _alert_differences,
         "score_users": _scored_users,
         "risk_tiers": _risk_tiers,
         # dashboards
