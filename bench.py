@@ -34,7 +34,6 @@ HEADLINE = [
     "preprocess_scaled_features",
     "train_random_forest",
     "train_logistic",
-    "train_gbt",
     "kpi_scorecard_2024_01_16",
     "feature_matrix_2024_01_16",
     "insight_ratios",
