@@ -530,6 +530,23 @@ MODELS = {
                            count(*) AS new_subscribers, {CHURNED} AS churned_subscribers,
                            {pct(CHURNED, 'count(*)')} AS churn_rate
                     FROM subscriptions WHERE subscription_start >= DATE '2024-01-31' - 365 GROUP BY 1))"""),
+    "churn_by_end_month": (["subscriptions"], f"""
+        + moves AS (
+            SELECT CAST(date_trunc('month', subscription_start) AS DATE) AS month, 1 AS s, 0 AS e FROM subscriptions
+            UNION ALL
+            SELECT CAST(date_trunc('month', subscription_end) AS DATE), 0, 1 FROM subscriptions
+            WHERE is_churned AND subscription_end IS NOT NULL),
+        months AS (SELECT month, CAST(sum(s) AS BIGINT) AS s, CAST(sum(e) AS BIGINT) AS e FROM moves GROUP BY 1),
+        rated AS (
+            SELECT m.month, m.s AS new_subscribers, m.e AS churned_subscribers,
+                   CAST((SELECT coalesce(sum(p.s - p.e), 0) FROM months p WHERE p.month < m.month) + m.s AS BIGINT)
+                       AS active_subscribers
+            FROM months m),
+        shown AS (SELECT *, {pct('churned_subscribers', 'active_subscribers')} AS churn_rate FROM rated)
+        SELECT *, lag(churn_rate) OVER (ORDER BY month) AS prev_churn_rate,
+               CASE sign(churn_rate - lag(churn_rate) OVER (ORDER BY month))
+                    WHEN 1 THEN 'up' WHEN -1 THEN 'down' WHEN 0 THEN 'flat' END AS trend
+        FROM shown"""),
     "weekly_engagement_trend": (["behavior"], f"""
         SELECT CAST(date_trunc('week', "timestamp") AS DATE) AS week_start, count(DISTINCT user_id) AS active_users,
                count(*) AS total_actions, round(count(*) * 1.0::DOUBLE / count(DISTINCT user_id), 2)
@@ -712,6 +729,8 @@ MODELS = {
                {pct(f'count(*) FILTER (WHERE is_churned AND {LENGTH} <= 90)', CHURNED, 4)} FROM subscriptions
         UNION ALL SELECT 'Churn ratio of basic to enterprise',
                round({rate("plan_type = 'basic'")} / {rate("plan_type = 'enterprise'")}, 4) FROM subscriptions
+        UNION ALL SELECT 'Churn ratio of monthly to annual billing',
+               round({rate("billing_cycle = 'monthly'")} / {rate("billing_cycle = 'annual'")}, 4) FROM subscriptions
         UNION ALL SELECT 'Mean duration ratio of mobile to desktop',
                round(avg(duration_seconds) FILTER (WHERE device_type = 'mobile')
                      / avg(duration_seconds) FILTER (WHERE device_type = 'desktop'), 4) FROM behavior"""),

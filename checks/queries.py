@@ -594,6 +594,7 @@ def queries():
         "geographic_churn": _on(dashboards.geographic_churn, behavior, _engagement, subs),
         "device_churn": _on(dashboards.device_churn, behavior, _engagement, subs),
         "monthly_churn_trend": _on(kpis.monthly_churn_trend, subs),
+        "churn_by_end_month": _on(kpis.churn_by_end_month, subs),
         "weekly_engagement_trend": _on(kpis.weekly_engagement_trend, behavior),
         "risk_by_stage": _on(dashboards.risk_by_stage, scores, subs),
         "kpi_scorecard": _on(dashboards.kpi_scorecard, subs, scores, _engagement),

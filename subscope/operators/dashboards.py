@@ -370,9 +370,11 @@ def insight_ratios(behavior, features, subs):
     )
     days = F.datediff("subscription_end", "subscription_start")
     basic, enterprise = F.col("plan_type") == "basic", F.col("plan_type") == "enterprise"
+    monthly, annual = F.col("billing_cycle") == "monthly", F.col("billing_cycle") == "annual"
     by_plan = subs.agg(
         pct(F.count_if(F.col("is_churned") & (days <= 90)), churned_count(), 4).alias("early"),
         ratio(rate(basic), rate(enterprise), 4).alias("plan"),
+        ratio(rate(monthly), rate(annual), 4).alias("billing"),
     )
 
     def mean(device):
@@ -396,6 +398,7 @@ def insight_ratios(behavior, features, subs):
                 [
                     (F.lit("Share of churns within 90 days, percent"), F.col("early")),
                     (F.lit("Churn ratio of basic to enterprise"), F.col("plan")),
+                    (F.lit("Churn ratio of monthly to annual billing"), F.col("billing")),
                 ],
             )
         )
