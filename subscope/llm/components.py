@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from subscope.llm.shared import Held
 
 EDGES = "u long, v long"
+#: Edges that one task contracts by itself.
+EDGES_PER_TASK = 250_000
 
 
 def _contract(batches):
@@ -57,14 +59,18 @@ def components(spark: SparkSession, held: Held, edges: DataFrame) -> DataFrame:
     """(node, root) of every node with an edge, where root is the smallest node reachable.
 
     `edges` has the columns u and v; loops, repeated and reversed edges do no harm. Nodes without an edge to
-    another node are absent. Every partition first contracts its own edges. Each round is a few grouped minima and
-    joins, written to the shared folder; a hub with a third of all edges is combined before its shuffle, and its
-    join is one that Spark may split.
+    another node are absent. Tasks first contract EDGES_PER_TASK edges each. A round between them is two grouped minima
+    and two joins, written to the shared folder; a hub with a third of all edges is combined before its shuffle, and
+    its join is one that Spark may split.
     """
     edges = edges.where("u <> v").select(F.col("u").cast("long"), F.col("v").cast("long"))
-    current = held.table(edges.mapInArrow(_contract, EDGES))
-    while not _is_done(current):
-        nxt = held.table(_small_star(_large_star(current).mapInArrow(_contract, EDGES)))
+    current = held.table(edges)
+    while True:
+        tasks = max(1, -(-current.count() // EDGES_PER_TASK))
+        stars = held.table(current.coalesce(tasks).mapInArrow(_contract, EDGES))
         held.drop(current)
-        current = nxt
-    return current.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        if tasks == 1 or _is_done(stars):
+            return stars.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        large = held.table(_large_star(stars))
+        current = held.table(_small_star(large))
+        held.drop(stars, large)

@@ -4,11 +4,12 @@ Each distinct shingle set has a signature of TREES * DEPTH minima. Every tree or
 sets that share a long prefix stand side by side there. The candidates of a set are its WINDOW next sets in each
 order, as far as they share MIN_DEPTH minima. In a sparse region that is every set with that prefix; in a dense one
 the window reaches only those with longer common prefixes, so the depth follows the region. Where a window ends
-inside a region, the sets on both sides of the cut also go through an exact search on their rarest shingles, which
-finds every similar pair that the windows left out.
+inside a region, the sets on both sides were cut off from the rest of it. Sets cut in CUT_TREES orders or more go
+through an exact search on their rarest shingles, which finds every similar pair among them that the windows left out.
 
 Sets are compared once per distinct set, whatever the number of copies, and a pair is confirmed on the full sets. A pair
-whose ends are connected already needs no comparison, so the best candidate of each set is confirmed first.
+whose ends are connected already needs no comparison, so the most promising candidates are confirmed first, then the best one
+between every two components that still have any, and so on.
 """
 
 from __future__ import annotations
@@ -19,13 +20,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subscope.llm.components import components
-from subscope.llm.shared import Held
+from subscope.llm.shared import Held, one_text_per_id
 from subscope.llm.words import Words, chunks, mix
 
 TREES = 16
 DEPTH = 8
 MIN_DEPTH = 2
 WINDOW = 8
+#: A pair at the threshold shares MIN_DEPTH minima in 9 orders on average, and in fewer than CUT_TREES with probability
+#: 0.0004; the windows can lose it only if they cut it off in each of those.
+CUT_TREES = 3
 #: Sets are alike if 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 75
 
@@ -35,7 +39,7 @@ _FLIP = (_seeds[TREES * DEPTH :] >> np.uint64(32)).astype(np.uint32)
 
 SIGNED = "doc_id long, n long, d1 long, d2 long, signature binary"
 SETS = "doc_id long, shingles array<long>"
-TREE = "tree int, prefix binary, id long, n long"
+TREE = "tree int, prefix binary, id long, n long, root long"
 PAIRS = "a long, b long, tree int, common int, cut boolean"
 
 
@@ -78,37 +82,35 @@ def _sets(batches):
 def _plant(batches):
     width = 4 * DEPTH
     for batch in batches:
-        ids, sizes, signatures = (batch.column(i) for i in range(3))
+        ids, sizes, roots, signatures = (batch.column(i) for i in range(4))
         signatures = signatures.to_pylist()
         for tree in range(TREES):
             prefixes = [s[tree * width : (tree + 1) * width] for s in signatures]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(ids), tree, dtype=np.int32)), pa.array(prefixes, pa.binary()), ids, sizes],
-                names=["tree", "prefix", "id", "n"],
+                [pa.array(np.full(len(ids), tree, dtype=np.int32)), pa.array(prefixes, pa.binary()), ids, sizes, roots],
+                names=["tree", "prefix", "id", "n", "root"],
             )
 
 
-def _neighbours(batches):
-    """Pairs of the sorted rows of one partition, and its first and last rows (b null) for the next sweep."""
-    rest, first = None, True
-    for batch in _with_end(batches):
-        if batch is None:
-            if rest is not None:
-                yield _border(rest.slice(max(0, len(rest) - WINDOW)))
-            return
-        rows = pa.Table.from_batches([batch])
-        if first and len(rows):
-            yield _border(rows.slice(0, WINDOW))
-            first = False
-        fresh = 0 if rest is None else len(rest)
-        rows = rows if rest is None else pa.concat_tables([rest, rows]).combine_chunks()
-        yield from _sweep(rows, fresh)
-        rest = rows.slice(max(0, len(rows) - WINDOW))
+def _neighbours(window: int, borders: bool):
+    """Pairs of the sorted rows of one partition; with `borders` also its first and last rows (b null)."""
 
+    def neighbours(batches):
+        rest = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            rows = pa.Table.from_batches([batch])
+            if rest is None and borders:
+                yield _border(rows.slice(0, window))
+            fresh = 0 if rest is None else len(rest)
+            rows = rows if rest is None else pa.concat_tables([rest, rows]).combine_chunks()
+            yield from _sweep(rows, fresh, window)
+            rest = rows.slice(max(0, len(rows) - window))
+        if rest is not None and borders:
+            yield _border(rest)
 
-def _with_end(batches):
-    yield from batches
-    yield None
+    return neighbours
 
 
 def _border(rows):
@@ -120,12 +122,12 @@ def _border(rows):
     )
 
 
-def _sweep(rows, fresh):
-    """Pairs at most WINDOW apart with at least one row from `fresh` on. cut: the window ended inside a region."""
+def _sweep(rows, fresh, window):
+    """Pairs at most `window` apart with a row from `fresh` on and different roots. cut: the window ended in a region."""
     tree = rows.column("tree").to_numpy()
-    ids, sizes = rows.column("id").to_numpy(), rows.column("n").to_numpy()
+    ids, sizes, roots = (rows.column(c).to_numpy() for c in ("id", "n", "root"))
     prefix = np.frombuffer(b"".join(rows.column("prefix").to_pylist()), dtype=">u4").reshape(-1, DEPTH)
-    for apart in range(1, WINDOW + 1):
+    for apart in range(1, window + 1):
         low = max(0, fresh - apart)
         if len(ids) - apart <= low:
             return
@@ -133,49 +135,40 @@ def _sweep(rows, fresh):
         common = np.logical_and.accumulate(prefix[one] == prefix[two], axis=1).sum(axis=1)
         near = (common >= MIN_DEPTH) & (tree[one] == tree[two]) & (ids[one] != ids[two])
         small, large = np.minimum(sizes[one], sizes[two]), np.maximum(sizes[one], sizes[two])
-        possible = near & (100 * small >= SIMILARITY * large)
-        cut = near if apart == WINDOW else np.zeros(len(near), dtype=bool)
+        possible = near & (roots[one] != roots[two]) & (100 * small >= SIMILARITY * large)
+        cut = near if apart == window else np.zeros(len(near), dtype=bool)
         chosen = np.flatnonzero(possible | cut)
         a, b = ids[one][chosen], ids[two][chosen]
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(tree[one][chosen]),
-             pa.array(common[chosen].astype(np.int32)), pa.array(cut[chosen])],
+             pa.array(np.where(possible, common, 0)[chosen].astype(np.int32)), pa.array(cut[chosen])],
             names=["a", "b", "tree", "common", "cut"],
         )
 
 
-def _sweep_all(batches):
-    """The rows around all partition borders, in one order: pairs across a border."""
-    rest = None
-    for batch in batches:
-        rows = pa.Table.from_batches([batch])
-        fresh = 0 if rest is None else len(rest)
-        rows = rows if rest is None else pa.concat_tables([rest, rows]).combine_chunks()
-        yield from _sweep(rows, fresh)
-        rest = rows.slice(max(0, len(rows) - WINDOW))
-
-
-def forest_pairs(held: Held, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs (a, b, votes) and the sets (id) at which a window ended inside a region.
+def forest_pairs(held: Held, classes: DataFrame, window: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Candidate pairs (a, b, votes) of different roots, the sets (id) cut off in CUT_TREES orders, and all sets with
+    a neighbour that shares MIN_DEPTH minima.
 
-    `classes` has id, n and signature. The orders are range partitions, so a region of any size is spread over
-    tasks. The WINDOW first and last rows of every partition are swept again together; their number follows the
-    number of partitions.
+    `classes` has id, n, root and signature. The orders are range partitions, so a region of any size is spread over
+    tasks. The first and last rows of every partition, `window` of each, are swept again together; their number
+    follows the number of partitions.
     """
-    planted = classes.select("id", "n", "signature").mapInArrow(_plant, TREE)
-    ordered = planted.repartitionByRange("tree", "prefix", "id").sortWithinPartitions("tree", "prefix", "id")
-    swept = held.table(ordered.mapInArrow(_neighbours, PAIRS))
+    columns = ["id", "n", "root"]
+    order = ["tree", "prefix", "id"]
+    planted = classes.select(*columns, "signature").mapInArrow(_plant, TREE)
+    ordered = planted.repartitionByRange(*order).sortWithinPartitions(*order)
+    swept = held.table(ordered.mapInArrow(_neighbours(window, True), PAIRS))
     border = swept.where("b IS NULL").select("tree", F.col("a").alias("id")).distinct()
-    border = classes.select("id", "n", "signature").join(border, "id").select(
-        "tree", F.expr(f"substring(signature, tree * {4 * DEPTH} + 1, {4 * DEPTH})").alias("prefix"), "id", "n"
-    )
-    across = border.repartition(1).sortWithinPartitions("tree", "prefix", "id").mapInArrow(_sweep_all, PAIRS)
-    found = held.table(swept.where("b IS NOT NULL").union(across).groupBy("a", "b").agg(
-        F.sum("common").alias("votes"), F.max("cut").alias("cut")
-    ))
+    prefix = F.expr(f"substring(signature, tree * {4 * DEPTH} + 1, {4 * DEPTH})").alias("prefix")
+    border = classes.select(*columns, "signature").join(border, "id").select("tree", prefix, *columns)
+    across = border.repartition(1).sortWithinPartitions(*order).mapInArrow(_neighbours(window, False), PAIRS)
+    every = held.table(swept.where("b IS NOT NULL").union(across))
     held.drop(swept)
-    cut = found.where("cut").select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    return found.select("a", "b", "votes"), cut
+    cut = every.where("cut").select(F.explode(F.array("a", "b")).alias("id"), F.expr("shiftleft(1, tree)").alias("bit"))
+    cut = cut.groupBy("id").agg(F.bit_or("bit").alias("trees")).where(F.bit_count("trees") >= CUT_TREES).select("id")
+    pairs = every.where("common > 0").groupBy("a", "b").agg(F.sum("common").alias("votes"))
+    return pairs, cut, every.select(F.explode(F.array("a", "b")).alias("id")).distinct()
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -189,18 +182,52 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs whose ends are not connected yet, with the components of both ends."""
+    """The pairs whose ends are not connected yet, with the components of both ends, the smaller first."""
     left = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
     right = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
     joined = pairs.join(left, "a", "left").join(right, "b", "left")
-    return joined.where("coalesce(root_a, a) <> coalesce(root_b, b)").drop("root_a", "root_b")
+    one, two = F.coalesce("root_a", "a"), F.coalesce("root_b", "b")
+    joined = joined.select("a", "b", "votes", F.least(one, two).alias("root_a"), F.greatest(one, two).alias("root_b"))
+    return joined.where("root_a < root_b")
+
+
+def _connect(held: Held, roots: DataFrame, links: DataFrame) -> DataFrame:
+    stars = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
+    return components(held.spark, held, stars.union(links))
+
+
+def _linked(held: Held, pairs: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """The components (node, root) after every pair was confirmed whose ends nothing else connects.
+
+    A round takes one pair between every two components. When rounds no longer halve what is left, most of it are
+    pairs that are not alike, and all are confirmed at once.
+    """
+    before = None
+    while True:
+        pairs = held.table(_apart(pairs, roots))
+        left = pairs.count()
+        if not left:
+            return roots
+        rest = before is not None and 2 * left > before
+        chosen = pairs.select("a", "b")
+        if not rest:
+            best = F.max(F.struct("votes", F.col("a").alias("a"), F.col("b").alias("b"))).alias("p")
+            chosen = held.table(pairs.groupBy("root_a", "root_b").agg(best).select("p.a", "p.b"))
+        links = held.table(_confirmed(chosen, sets))
+        roots = _connect(held, roots, links)
+        if rest:
+            return roots
+        before = left
+        pairs = pairs.join(chosen, ["a", "b"], "left_anti").select("a", "b", "votes")
 
 
 def _rare_shingle_pairs(held: Held, sets: DataFrame, roots: DataFrame) -> DataFrame:
-    """Every pair (a, b) of these sets that may be alike and is not connected yet.
+    """Every pair (a, b, votes) of these sets that may be alike and is not connected yet.
 
-    Alike sets of n shingles share one of the n - ceil(0.75 n) + 1 rarest of either. Shingles are ordered by how
-    many of the sets have them, then by value. A shingle brings forth pairs only between different components.
+    Shingles are ordered by how many of the sets have them, then by value. Alike sets x and y with n(y) <= n(x) share
+    one of the n(x) - ceil(0.75 n(x)) + 1 first shingles of x and of the n(y) - ceil(1.5 n(y) / 1.75) + 1 first of y, and
+    at the first that they share enough others must still follow in both. A shingle brings forth pairs only between
+    different components.
     """
     each = sets.select(F.col("doc_id").alias("id"), F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
     counted = each.groupBy("s").agg(F.count("*").alias("k")).where("k > 1")
@@ -209,21 +236,39 @@ def _rare_shingle_pairs(held: Held, sets: DataFrame, roots: DataFrame) -> DataFr
     )
     # Shingles of one set only come first in the order and can be in no other set.
     alone = F.col("n") - F.size("order")
-    prefix = F.col("n") - F.ceil(F.col("n") * SIMILARITY / 100) + 1 - alone
-    probes = ranked.where(prefix > 0).select("id", "n", F.explode(F.slice("order", 1, prefix.cast("int"))).alias("o"))
+    prefix = F.greatest(F.lit(0), F.col("n") - F.ceil(F.col("n") * SIMILARITY / 100) + 1 - alone)
+    index = F.col("n") - F.ceil(F.col("n") * 2 * SIMILARITY / (100 + SIMILARITY)) + 1
+    probes = ranked.where(prefix > 0).select(
+        "id", "n", alone.alias("alone"), index.alias("index"), F.posexplode(F.slice("order", F.lit(1), prefix.cast("int")))
+    )
     rooted = roots.select(F.col("node").alias("id"), "root")
-    probes = probes.join(rooted, "id", "left").select("id", "n", F.col("o.s").alias("s"), F.coalesce("root", "id").alias("root"))
+    place = (F.col("alone") + F.col("pos")).alias("place")
+    probes = probes.join(rooted, "id", "left").select(
+        "id", "n", place, "index", F.col("col.s").alias("s"), F.coalesce("root", "id").alias("root")
+    )
     probes = held.table(probes)
     parts = probes.select("s", "root").distinct()
-    mixed = parts.groupBy("s").agg(F.count("*").alias("k")).where("k > 1").select("s")
-    parts = held.table(parts.join(mixed, "s"))
-    sides = parts.select("s", F.col("root").alias("root_a")).join(parts.select("s", F.col("root").alias("root_b")), "s")
-    sides = sides.where("root_a < root_b")
-    one = probes.select("s", F.col("root").alias("root_a"), F.col("id").alias("i"), F.col("n").alias("ni"))
-    two = probes.select("s", F.col("root").alias("root_b"), F.col("id").alias("j"), F.col("n").alias("nj"))
-    met = sides.join(one, ["s", "root_a"]).join(two, ["s", "root_b"])
-    met = met.where(f"100 * least(ni, nj) >= {SIMILARITY} * greatest(ni, nj)")
-    return met.select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")).distinct()
+    # Shingles that occur in the same components bring forth the same pairs: they count as one, at the first place.
+    total = F.sum(F.xxhash64("root").cast("decimal(20,0)")).alias("sum")
+    lists = parts.groupBy("s").agg(F.count("*").alias("k"), total).where("k > 1")
+    merged = probes.join(lists, "s").groupBy(F.xxhash64("k", "sum").alias("s"), "id", "n", "root", "index").agg(F.min("place").alias("place"))
+    merged = held.table(merged)
+    parts = held.table(merged.groupBy("s", "root").agg(F.count("*").alias("m")))
+    few = parts.select("s", F.col("root").alias("few"), F.col("m").alias("m_few"))
+    many = parts.select("s", F.col("root").alias("many"), F.col("m").alias("m_many"))
+    # The component with fewer members at a shingle is expanded first.
+    sides = few.join(many, ["s"]).where("few <> many AND (m_few < m_many OR (m_few = m_many AND few < many))")
+    one = merged.select("s", F.col("root").alias("few"), F.struct("id", "n", "place", "index").alias("x"))
+    two = merged.select("s", F.col("root").alias("many"), F.struct("id", "n", "place", "index").alias("y"))
+    met = sides.select("s", "few", "many").join(one, ["s", "few"]).join(two, ["s", "many"])
+    needed = f"ceil({SIMILARITY} * (x.n + y.n) / {100 + SIMILARITY})"
+    met = met.where(
+        f"100 * least(x.n, y.n) >= {SIMILARITY} * greatest(x.n, y.n)"
+        " AND ((y.n <= x.n AND y.place < y.index) OR (x.n <= y.n AND x.place < x.index))"
+        f" AND least(x.n - x.place, y.n - y.place) >= {needed}"
+    )
+    pair = [F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")]
+    return met.groupBy(*pair).agg(F.count("*").alias("votes"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -231,36 +276,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     `docs` needs doc_id and text; other columns are ignored. Words are runs of bytes other than ASCII white space,
     with A-Z in lower case. Texts that are null, empty or without words have no shingle and no link. Rows with a
-    null doc_id are left out. Rows that repeat a doc_id are one document with the text of the largest set.
+    null doc_id are left out. Rows that repeat a doc_id are one document with the longest of its texts.
     """
     spark = docs.sparkSession
     held = Held(spark)
-    texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = one_text_per_id(held, docs)
     signed = held.table(texts.mapInArrow(_sign, SIGNED))
     digest = ["n", "d1", "d2"]
-    members = signed.groupBy("doc_id").agg(F.max(F.struct(*digest)).alias("s")).select("doc_id", "s.*")
-    classes = signed.join(members, ["doc_id", *digest], "left_semi").where("n > 0")
+    classes = signed.where("n > 0")
     classes = held.table(classes.groupBy(*digest).agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature")))
-    pairs, cut = forest_pairs(held, classes)
-
-    wanted = held.table(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    sized = classes.select(F.col("id").alias("doc_id"), "n")
-    sets = texts.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, SETS)
-    sets = held.table(sets.join(sized, "doc_id").where("size(shingles) = n").drop("n").dropDuplicates(["doc_id"]))
-
-    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("votes", -F.col("a"))).alias("a"))
-    first = held.table(_confirmed(best, sets))
-    roots = components(spark, held, first)
-    later = _apart(pairs.join(best, ["a", "b"], "left_anti"), roots)
-    second = held.table(first.union(_confirmed(later, sets)))
-    roots = components(spark, held, second)
+    # The direct neighbours first: what they connect needs no wider window.
+    near, _, touched = forest_pairs(held, classes.withColumn("root", F.col("id")), 1)
+    near = held.table(near)
+    best = near.groupBy("b").agg(F.max(F.struct("votes", F.col("a").alias("a"))).alias("p")).select("p.a", "b")
+    wanted = held.table(touched.withColumnRenamed("id", "doc_id"))
+    sets = held.table(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, SETS))
+    roots = components(spark, held, held.table(_confirmed(best, sets)))
+    roots = _linked(held, near.join(best, ["a", "b"], "left_anti"), sets, roots)
+
+    rooted = classes.join(roots, classes.id == roots.node, "left").withColumn("root", F.coalesce("root", "id"))
+    pairs, cut, _ = forest_pairs(held, rooted, WINDOW)
+    roots = _linked(held, held.table(pairs), sets, roots)
     dense = sets.join(cut, sets.doc_id == cut.id, "left_semi")
-    third = held.table(_confirmed(_rare_shingle_pairs(held, dense, roots), sets))
-    if third.head(1):
-        roots = components(spark, held, second.union(third))
+    roots = _linked(held, _rare_shingle_pairs(held, dense, roots), sets, roots)
 
     lowest = classes.join(roots, classes.id == roots.node, "left").select(*digest, F.coalesce("root", "id").alias("root"))
-    joined = members.join(lowest, digest, "left")
+    joined = signed.select("doc_id", *digest).join(lowest, digest, "left")
     component = F.coalesce("root", "doc_id")
     return joined.select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("doc_id") == component).alias("kept")
