@@ -25,6 +25,8 @@ from subscope.llm.words import Words, chunks, mix
 
 TREES = 16
 DEPTH = 8
+#: Orders whose direct neighbours are compared before all windows of all orders.
+FIRST_TREES = 4
 MIN_DEPTH = 2
 WINDOW = 8
 #: A pair at the threshold shares MIN_DEPTH minima in 9 orders on average, and in fewer than CUT_TREES with probability
@@ -146,8 +148,8 @@ def _sweep(rows, fresh, window):
         )
 
 
-def forest_pairs(held: Held, classes: DataFrame, window: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Candidate pairs (a, b, votes) of different roots, the sets (id) cut off in CUT_TREES orders, and all sets with
+def forest_pairs(held: Held, classes: DataFrame, window: int, trees: int = TREES) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Candidate pairs (a, b, votes) of different roots from the first `trees` orders, the sets (id) cut off in CUT_TREES orders, and all sets with
     a neighbour that shares MIN_DEPTH minima.
 
     `classes` has id, n, root and signature. The orders are range partitions, so a region of any size is spread over
@@ -167,7 +169,7 @@ def forest_pairs(held: Held, classes: DataFrame, window: int) -> tuple[DataFrame
     held.drop(swept)
     cut = every.where("cut").select(F.explode(F.array("a", "b")).alias("id"), F.expr("shiftleft(1, tree)").alias("bit"))
     cut = cut.groupBy("id").agg(F.bit_or("bit").alias("trees")).where(F.bit_count("trees") >= CUT_TREES).select("id")
-    pairs = every.where("common > 0").groupBy("a", "b").agg(F.sum("common").alias("votes"))
+    pairs = every.where(f"common > 0 AND tree < {trees}").groupBy("a", "b").agg(F.sum("common").alias("votes"))
     return pairs, cut, every.select(F.explode(F.array("a", "b")).alias("id")).distinct()
 
 
@@ -285,8 +287,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     digest = ["n", "d1", "d2"]
     classes = signed.where("n > 0")
     classes = held.table(classes.groupBy(*digest).agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature")))
-    # The direct neighbours first: what they connect needs no wider window.
-    near, _, touched = forest_pairs(held, classes.withColumn("root", F.col("id")), 1)
+    # The direct neighbours in a few orders first: what they connect needs no wider window.
+    near, _, touched = forest_pairs(held, classes.withColumn("root", F.col("id")), 1, FIRST_TREES)
     near = held.table(near)
     best = near.groupBy("b").agg(F.max(F.struct("votes", F.col("a").alias("a"))).alias("p")).select("p.a", "b")
     wanted = held.table(touched.withColumnRenamed("id", "doc_id"))
