@@ -2,10 +2,12 @@
 
 A token's encoding is inferred from its characters. Under the hypothesis that its symbols are drawn evenly, a chi-squared
 test of the alphabet, a runs test about the median symbol and a lag-one serial correlation test each give a p-value;
-Fisher's method combines them to one score, near 0 for text and anywhere up to 1 for random strings. Plain words
-of the corpus show which scores ordinary tokens of a length reach: against that null distribution each length class
-controls its own rate of false discoveries (Benjamini and Hochberg). The null and the candidates are counted over
-the distinct tokens of all documents, as histograms of bounded size.
+Fisher's method combines them to one score, near 0 for text and anywhere up to 1 for random strings. What the battery does
+not reject is held against a fixed null model of text: a Markov chain over lower case, upper case, digits and marks, with
+vowels and consonants in turn and letters by their usual frequency in European languages. The likelihood of a token
+under the null over that under even draws is a p-value by Markov's inequality, whatever the corpus holds. In each length
+class the procedure of Benjamini and Hochberg bounds the false discoveries among the distinct tokens of all documents,
+counted as histograms of bounded size. Digits alone look the same in text and in keys, and are never found.
 """
 
 from __future__ import annotations
@@ -25,10 +27,10 @@ from subscope.llm.shared import Held
 FALSE_DISCOVERIES = 0.05
 #: Lower bounds of the length classes; shorter tokens say too little.
 LENGTHS = [20, 24, 32, 40, 64, 128, 256]
-#: Scores are counted in so many steps.
+#: P-values are counted by their binary logarithm, in so many steps.
 STEPS = 1000
-#: Plain words that make a null distribution.
-NULL_WORDS = 100
+#: Tokens with a lower score are not drawn evenly.
+LEAST_SCORE = 1e-5
 KINDS = ["assign", "access", "hex", "random"]
 
 _ASSIGN = re.compile(
@@ -55,6 +57,36 @@ _ENCODINGS = [
 ]
 _TABLES = [(re.compile(f"[{re.escape(a)}]+"), {c: i for i, c in enumerate(a)}, min(len(a), 64)) for _, a in _ENCODINGS]
 
+#: The null model of text: chances of the next kind of symbol, and of each symbol within its kind.
+_NEXT = {
+    "": {"l": 0.45, "u": 0.25, "d": 0.15, "-": 0.15},
+    "l": {"l": 0.90, "u": 0.02, "d": 0.02, "-": 0.06},
+    "u": {"l": 0.45, "u": 0.45, "d": 0.05, "-": 0.05},
+    "d": {"l": 0.03, "u": 0.02, "d": 0.85, "-": 0.10},
+    "-": {"l": 0.60, "u": 0.15, "d": 0.20, "-": 0.05},
+}
+#: The chance of a vowel after another sign, a vowel and a consonant.
+_VOWEL = {"": 0.35, "v": 0.15, "c": 0.60}
+_VOWELS = {"e": 32, "a": 22, "i": 20, "o": 16, "u": 10}
+_CONSONANTS = dict(zip("nrtsldhcmpgfbvwykzjxq", [10, 9, 9, 9, 6, 5, 4, 4, 4, 3, 2.5, 2, 2, 1.5, 1.5, 1.5, 1.5, 0.7, 0.5, 0.3, 0.3]))
+_SIGNS = {c: "d" for c in _DIGITS} | {c: "l" for c in _UPPER.lower()} | {c: "u" for c in _UPPER} | {c: "-" for c in "+/_-"}
+
+
+def _symbol(before: str, c: str) -> float:
+    """Binary logarithm of the chance of `c` after `before` (empty at the start) under the null model of text."""
+    kind = _SIGNS[c]
+    chance = _NEXT[_SIGNS.get(before, "")][kind]
+    if kind in "d-":
+        return math.log2(chance / (10 if kind == "d" else 4))
+    last = before.lower()
+    vowel = _VOWEL["v" if last in _VOWELS else "c" if last in _CONSONANTS else ""]
+    own, part = (_VOWELS, vowel) if c.lower() in _VOWELS else (_CONSONANTS, 1 - vowel)
+    return math.log2(chance * part * own[c.lower()] / sum(own.values()))
+
+
+_CHANCES = {before + c: _symbol(before, c) for before in ["", *_SIGNS] for c in _SIGNS}
+
+
 SCANNED = "doc_id long, base array<struct<start:int,kind:int,end:int>>, tokens array<struct<start:int,end:int,class:int,step:int,word:boolean,hash:long>>"
 
 
@@ -91,6 +123,19 @@ def score(token: str) -> float:
     return math.exp(-half) * (1 + half + half * half / 2)
 
 
+def steps(token: str) -> int:
+    """-log2 of the p-value of `token` under the null model of text, rounded down to 0 ... STEPS; 0 where the battery rejects.
+
+    The likelihood ratio of even draws from the inferred alphabet, each alphabet as likely, is at least t with a
+    chance of 1 / t at most if the token is text.
+    """
+    text = _CHANCES[token[0]] + sum(_CHANCES[token[i : i + 2]] for i in range(len(token) - 1))
+    alphabet = next(a for (pattern, _, _), (_, a) in zip(_TABLES, _ENCODINGS) if pattern.fullmatch(token))
+    drawn = -len(token) * math.log2(len(alphabet)) - math.log2(len(_ENCODINGS))
+    found = max(0, min(STEPS, math.floor(drawn - text)))
+    return found if found and score(token) >= LEAST_SCORE else 0
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the fixed patterns, by start and kind."""
     found = [(m.start(), 0, m.end()) for m in _ASSIGN.finditer(text) if len(m[1]) >= 12]
@@ -100,7 +145,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def tokens(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, bool, int]]:
-    """(start, end, length class, score in steps, whether it is a plain word, hash) of the long tokens outside `base`."""
+    """(start, end, length class, p-value in steps, whether it is a plain word, hash) of the long tokens outside `base`."""
     found = []
     for m in _TOKEN.finditer(text):
         if any(start < m.end() and end > m.start() for start, _, end in base):
@@ -108,7 +153,7 @@ def tokens(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int,
         token = m[0]
         length_class = sum(len(token) >= bound for bound in LENGTHS) - 1
         digest = int.from_bytes(hashlib.blake2b(token.encode(), digest_size=8).digest(), "little", signed=True)
-        found.append((m.start(), m.end(), length_class, int(score(token) * STEPS), bool(_WORD.fullmatch(token)), digest))
+        found.append((m.start(), m.end(), length_class, steps(token), bool(_WORD.fullmatch(token)), digest))
     return found
 
 
@@ -130,24 +175,15 @@ def _scan(batches):
 
 
 def thresholds(scanned: DataFrame) -> dict[int, int]:
-    """Per length class the lowest score, in steps, that counts as random; a class without any is absent.
-
-    The null of a class are its plain words. Where they are fewer than NULL_WORDS, those of the next shorter classes
-    count too: scores of text fall with length, so that errs towards fewer findings.
-    """
-    each = scanned.select(F.explode("tokens").alias("t")).select("t.*").dropDuplicates(["hash", "class"])
-    counted = each.groupBy("class", "step", "word").count().collect()  # at most classes x steps x 2 rows
-    null = np.zeros((len(LENGTHS), STEPS + 1))
+    """Per length class the lowest step that counts as random; a class without any is absent. Plain words are not tested."""
+    each = scanned.select(F.explode("tokens").alias("t")).select("t.*").where("NOT word").dropDuplicates(["hash", "class"])
     seen = np.zeros((len(LENGTHS), STEPS + 1))
-    for row in counted:
-        (null if row["word"] else seen)[row["class"], row["step"]] = row["count"]
+    for row in each.groupBy("class", "step").count().collect():  # at most classes x steps rows
+        seen[row["class"], row["step"]] = row["count"]
     found = {}
-    for c in range(len(LENGTHS)):
-        own = next((n for n in range(c, 0, -1) if null[n : c + 1].sum() >= NULL_WORDS), 0)
-        words = null[own : c + 1].sum(axis=0)
-        tail = (1 + words[::-1].cumsum()[::-1]) / (1 + words.sum())
-        above = seen[c][::-1].cumsum()[::-1]
-        passed = np.flatnonzero((above > 0) & (tail * seen[c].sum() <= FALSE_DISCOVERIES * above))
+    for c, own in enumerate(seen):
+        above = own[::-1].cumsum()[::-1]
+        passed = np.flatnonzero((above > 0) & (0.5 ** np.arange(STEPS + 1) * own.sum() <= FALSE_DISCOVERIES * above))
         if len(passed):
             found[c] = int(passed[0])
     return found

@@ -112,6 +112,34 @@ def test_random_tokens_are_found_and_words_are_not(make_docs, sentence):
     assert not any(found[i] for i in found if i >= 1000)
 
 
+def test_one_random_key_in_a_small_table(make_docs, sentence):
+    rng = random.Random(21)
+    for length in (20, 24, 40, 300):
+        key = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(length))
+        rows = [(1, f"my key {key} is"), (2, sentence(rng, 20)), (3, None)]
+        found = {r["doc_id"]: r["spans"] for r in secret_scan.secrets(make_docs(rows)).collect()}
+        assert found == {1: f"random:7:{7 + length}", 2: "", 3: ""}
+
+
+def test_a_few_keys_among_thousands_of_paths(make_docs, sentence):
+    rng = random.Random(22)
+    rows = []
+    for i in range(4000):
+        words = sentence(rng, rng.randint(3, 8)).split(" ")
+        path = ["/".join(words), "-".join(words), "_".join([*words, str(rng.randrange(10**6))]), "get" + "".join(w.title() for w in words)][i % 4]
+        rows.append((i, f"see /{2000 + i % 25}/{path}/index-{rng.randrange(100)} there"))
+    keys = random_tokens(rng, 10, 32) + random_tokens(rng, 10, 24)
+    rows += [(10_000 + i, f"key {k} end") for i, k in enumerate(keys)]
+    found = {r["doc_id"]: r["spans"] for r in secret_scan.secrets(make_docs(rows)).collect()}
+    assert sum(bool(found[i]) for i in found if i >= 10_000) >= 18
+    assert sum(bool(found[i]) for i in range(4000)) <= 2
+
+
+def test_chances_of_the_null_model_add_up_to_one():
+    for before in ["", *secret_scan._SIGNS]:
+        assert abs(sum(2 ** secret_scan._CHANCES[before + c] for c in secret_scan._SIGNS) - 1) < 1e-9
+
+
 def test_redaction(spark):
     rows = [(1, "a token = 'abcdefghijklmnop' b", 30), (2, None, None), (3, "clean", 5), (4, "api_key=deadbeefdeadbeefdead x", 30)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
