@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from subscope.llm import decontamination, near_dedup, packing, quality_rules, secret_scan, sharding, substring_dedup, token_counts, toxicity, url_filters
+from subscope.llm import decontamination, near_dedup, packing, quality_rules, secret_scan, sharding, substring_dedup, token_alignment, token_counts, toxicity, url_filters
 from subscope.llm.shared import documents
 
 
@@ -47,6 +47,11 @@ def op10_secret_scan(spark, sf_dir):
     return secret_scan.secrets(documents(spark, sf_dir))
 
 
+def op11_token_alignment(spark, sf_dir):
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.aligned(documents(spark, sf_dir), *paths).drop("groups")
+
+
 def queries():
     found = (
         op1_decontamination,
@@ -59,6 +64,7 @@ def queries():
         op8_best_fit_packing,
         op9_toxicity,
         op10_secret_scan,
+        op11_token_alignment,
     )
     return {f.__name__: f for f in found}
 
