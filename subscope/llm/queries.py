@@ -2,8 +2,8 @@
 
 import public_tokenizers
 
-from subscope.llm import decontamination, near_dedup, packing, quality_rules, secret_scan, sharding, substring_dedup, token_alignment, token_counts, toxicity, url_filters
-from subscope.llm.shared import documents
+from subscope.llm import decontamination, near_dedup, nearest, packing, quality_rules, secret_scan, sharding, substring_dedup, token_alignment, token_counts, toxicity, url_filters, whitening
+from subscope.llm.shared import documents, embeddings
 
 
 def op1_decontamination(spark, sf_dir):
@@ -52,6 +52,14 @@ def op11_token_alignment(spark, sf_dir):
     return token_alignment.aligned(documents(spark, sf_dir), *paths).drop("groups")
 
 
+def op12_embedding_whitening(spark, sf_dir):
+    return whitening.whitened(embeddings(spark, sf_dir))
+
+
+def op13_nearest_neighbours(spark, sf_dir):
+    return nearest.nearest(embeddings(spark, sf_dir))
+
+
 def queries():
     found = (
         op1_decontamination,
@@ -65,6 +73,8 @@ def queries():
         op9_toxicity,
         op10_secret_scan,
         op11_token_alignment,
+        op12_embedding_whitening,
+        op13_nearest_neighbours,
     )
     return {f.__name__: f for f in found}
 

@@ -5,9 +5,10 @@ piece's span in bytes. These spans are the coarse cuts. Where several tokens sha
 character in A, byte-fallback pieces in B, which all but the last have empty spans), the decoded bytes of the tokens
 place their ends inside it. The ends that both have cut the tokens into groups.
 
-Neither tokenizer joins anything across a single space between two other characters: A's pre-tokens begin there, and no
-piece of B has a space behind another character, which is tested when the model is loaded. So texts fall into words at
-such spaces, each word is encoded with a space before it, and a worker keeps the alignments of CACHE words twice over.
+Texts fall into words at places that neither tokenizer joins: before a single space, between a letter and a mark, and
+behind a line end. A's pre-tokens end there by their pattern; no piece of B holds two such neighbours, which is tested when
+the model is loaded (else whole texts are encoded). A word begins with a space or stands for itself, and a worker keeps
+the alignments of CACHE words twice over.
 
 Counts travel by chunk of documents, not by document. A task numbers the id pairs of a chunk and writes one row for each
 document, with the places of its pairs in that list, and one for the list. The pairs of all lists are counted, joined
@@ -36,11 +37,15 @@ from subscope.llm.shared import Held
 #: A chunk of documents ends after so many characters, or so many documents.
 CHUNK_CHARS = 4 << 20
 CHUNK_DOCS = 8192
-#: Texts are split and encoded in runs of about so many characters.
-RUN_CHARS = 1 << 19
-#: Words that a worker remembers in each of its two generations.
-CACHE = 120_000
-#: Ids of B need fewer bits than this; a pair is a * 2**SHIFT + b.
+#: Texts are split and encoded in runs of about so many characters, or so many documents.
+RUN_CHARS = 1 << 21
+RUN_DOCS = 1024
+#: Words that a worker remembers in each of its two generations, and words that are encoded at once.
+CACHE = 200_000
+WORDS_AT_ONCE = 5000
+#: Groups with more links are counted by distinct ids.
+LARGE_GROUP = 64
+#: Bits of an id; a pair is a * 2**SHIFT + b.
 SHIFT = 24
 
 ROWS = (
@@ -51,20 +56,16 @@ ALIGNED = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string, groups string"
 )
 
-# White space of Python holds that of both tokenizers, so the characters around a cut are none for either.
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+# White space of Python holds that of both tokenizers, so \S is none for either.
+_SPACE = re.compile(r"(?<=\S) (?=\S)")
+_NEAR_SPACE = re.compile(r"^ | $|\s | \s")
+# Behind a line end only where a mark comes before it: then it stands alone.
+_PART = re.compile(r"(?<=[^\W\d_])(?=[.,;:!?\n])|(?<=[.,;:!?]\n)(?=[^\W\d_])")
+_MARKS = ".,;:!?\n"
+#: Before a word that begins without a space, so that B adds its own space elsewhere.
+_GUARD = "\n"
 
-
-class Word(NamedTuple):
-    """The groups of a word in words, the numbers of its tokens and groups, and its links as id pairs with repeats."""
-
-    groups: str
-    n_a: int
-    n_b: int
-    n_groups: int
-    n_links: int
-    pairs: tuple
-    times: tuple
+_NOTHING = ("", 0, 0, 0, 0, (), None)
 
 
 class Tokenizers(NamedTuple):
@@ -72,6 +73,8 @@ class Tokenizers(NamedTuple):
     b: object
     bytes_a: list
     bytes_b: list
+    sizes_a: np.ndarray
+    sizes_b: np.ndarray
     #: Whether words can be encoded alone.
     by_words: bool
 
@@ -103,63 +106,38 @@ def load(path_a: str, path_b: str) -> Tokenizers:
     for i in range(b.get_piece_size()):
         piece = b.id_to_piece(i)
         bytes_b.append(bytes([int(piece[3:5], 16)]) if b.is_byte(i) else piece.replace("▁", " ").encode())
-        by_words &= "▁" not in piece.lstrip("▁")
-    assert len(bytes_b) < 1 << SHIFT
-    return Tokenizers(a, b, bytes_a, bytes_b, by_words)
+        if not b.is_byte(i):
+            by_words &= not any(
+                y == "▁" != x or (x.isalpha() and y in _MARKS) or x == "\n" for x, y in zip(piece, piece[1:])
+            )
+    assert max(len(bytes_a), len(bytes_b)) <= 1 << SHIFT
+    sizes = [np.array(list(map(len, x)), dtype=np.int64) for x in (bytes_a, bytes_b)]
+    return Tokenizers(a, b, bytes_a, bytes_b, *sizes, by_words)
+
+
+def _flat(lists: list) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of numbers one after the other, and where each begins (with the end of the last)."""
+    sizes = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    return np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=int(ends[-1])), ends
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """starts[i], starts[i] + 1 ... for sizes[i] numbers each."""
+    return np.arange(int(sizes.sum())) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
 
 
-def _ends(spans: list, decoded: list[bytes]) -> list[int]:
-    """Where each token ends, in bytes.
+def _ends(begins: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Where each token ends, in bytes, from the spans and decoded sizes of all tokens.
 
-    A span (begin, end) that ends before the next one begins is taken as it is; a token that shares its last
-    character with the next one, or has an empty span, ends where its decoded bytes do.
+    A span that ends before the next one begins is taken as it is. A token that shares its last character with the
+    next one, or has an empty span, ends its decoded bytes behind the nearest such end before it.
     """
-    ends, at, last = [], 0, len(spans) - 1
-    for i, (begin, end) in enumerate(spans):
-        at = end if begin < end and (i == last or spans[i + 1][0] >= end) else at + len(decoded[i])
-        ends.append(at)
-    return ends
-
-
-def _word(text: str, a, b, tools: Tokenizers) -> Word | None:
-    """The alignment of one word; None if the tokens' bytes are not those of the word with a space before it."""
-    raw = b" " + text.encode()
-    ids_a, ids_b = a.ids, [piece.id for piece in b.pieces]
-    decoded_a, decoded_b = [tools.bytes_a[i] for i in ids_a], [tools.bytes_b[i] for i in ids_b]
-    if b"".join(decoded_a) != raw or b"".join(decoded_b) != raw:
-        return None
-    spans_a = a.offsets
-    if len(raw) != len(text) + 1:
-        at = [0]
-        for c in " " + text:
-            at.append(at[-1] + len(c.encode()))
-        spans_a = [(at[begin], at[end]) for begin, end in spans_a]
-    ends_a = _ends(spans_a, decoded_a)
-    ends_b = _ends([(piece.begin + 1, piece.end + 1) for piece in b.pieces], decoded_b)
-
-    groups, n_links, links = [], 0, {}
-    i = j = 0
-    while i < len(ids_a):
-        first_a, first_b = i, j
-        i, j = i + 1, j + 1
-        while ends_a[i - 1] != ends_b[j - 1]:
-            if ends_a[i - 1] < ends_b[j - 1]:
-                i += 1
-            else:
-                j += 1
-        some_a, some_b = ids_a[first_a:i], ids_b[first_b:j]
-        groups.append(f"{','.join(map(str, some_a))}|{','.join(map(str, some_b))}")
-        n_links += len(some_a) * len(some_b)
-        if len(some_a) == len(some_b) == 1:
-            pair = (some_a[0] << SHIFT) + some_b[0]
-            links[pair] = links.get(pair, 0) + 1
-        else:
-            count_b = _counted(some_b)
-            for x, times in _counted(some_a).items():
-                for y, more in count_b.items():
-                    pair = (x << SHIFT) + y
-                    links[pair] = links.get(pair, 0) + times * more
-    return Word(";".join(groups), len(ids_a), len(ids_b), len(groups), n_links, tuple(links), tuple(links.values()))
+    coarse = begins < ends
+    coarse[:-1] &= begins[1:] >= ends[:-1]
+    behind = np.concatenate([[0], np.cumsum(sizes)])
+    anchor = np.maximum.accumulate(np.where(coarse, np.arange(1, len(ends) + 1), 0))
+    return np.concatenate([[0], ends])[anchor] + behind[1:] - behind[anchor]
 
 
 def _counted(ids: list) -> dict:
@@ -169,29 +147,99 @@ def _counted(ids: list) -> dict:
     return found
 
 
+def _links(a: list, b: list) -> dict:
+    """The id pairs of one group with their times."""
+    count_b = _counted(b)
+    return {(x << SHIFT) + y: n * m for x, n in _counted(a).items() for y, m in count_b.items()}
+
+
+def aligned_words(words: list[str], tools: Tokenizers) -> list[tuple | None]:
+    """Per word: groups as text, n_a, n_b, n_groups, n_links, the id pairs of its links, and their times (None: one each).
+
+    None for a word whose tokens do not give its bytes. B adds the space that a word begins with, or one before the
+    guard of a word that begins without; in the latter case the pieces of space and guard are taken off again.
+    """
+    encoded = tools.a.encode_batch(words, add_special_tokens=False)
+    inputs = [w[1:] if w[0] == " " else _GUARD + w for w in words]
+    protos = tools.b.encode(inputs, return_type="proto", num_threads=1)
+    pieces = [[(p.id, p.begin, p.end) for p in found.pieces][0 if w[0] == " " else 2 :] for w, found in zip(words, protos)]
+    ids_a = [e.ids for e in encoded]
+    raw = [w.encode() for w in words]
+    bytes_a, bytes_b = tools.bytes_a.__getitem__, tools.bytes_b
+    good = [
+        i
+        for i, (own, x, y) in enumerate(zip(raw, ids_a, pieces))
+        if b"".join(map(bytes_a, x)) == own == b"".join([bytes_b[t[0]] for t in y])
+    ]
+    out: list = [None] * len(words)
+    if not good:
+        return out
+
+    # All good words one after the other, in bytes; characters are numbered the same way for the spans of A.
+    base, chars = np.cumsum([0, *(len(raw[i]) for i in good)]), np.cumsum([0, *(len(words[i]) for i in good)])
+    codes = np.frombuffer("".join([words[i] for i in good]).encode("utf-32-le"), dtype="<u4")
+    at = np.concatenate([[0], np.cumsum(1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000))])
+    flat_a, edges_a = _flat([ids_a[i] for i in good])
+    offsets = chain.from_iterable(chain.from_iterable(encoded[i].offsets for i in good))
+    spans_a = np.fromiter(offsets, dtype=np.int64, count=2 * len(flat_a)).reshape(-1, 2) + np.repeat(chars[:-1], np.diff(edges_a))[:, None]
+    found_b, edges_b = _flat([[v for piece in pieces[i] for v in piece] for i in good])
+    found_b, edges_b = found_b.reshape(-1, 3), edges_b // 3
+    shift = base[:-1] + np.array([1 if words[i][0] == " " else -len(_GUARD) for i in good])
+    flat_b, spans_b = found_b[:, 0], found_b[:, 1:] + np.repeat(shift, np.diff(edges_b))[:, None]
+    ends_a = _ends(at[spans_a[:, 0]], at[spans_a[:, 1]], tools.sizes_a[flat_a])
+    ends_b = _ends(spans_b[:, 0], spans_b[:, 1], tools.sizes_b[flat_b])
+
+    cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+    group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
+    in_a, in_b = np.bincount(group_a, minlength=len(cuts)), np.bincount(group_b, minlength=len(cuts))
+    first_a, first_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
+    large = in_a * in_b > LARGE_GROUP
+    times = np.where(large[group_a], 0, in_b[group_a])
+    pairs = (np.repeat(flat_a, times) << SHIFT) + flat_b[_spread(first_b[group_a], times)]
+    links = np.concatenate([[0], np.cumsum(times)])[edges_a].tolist()
+    groups = np.searchsorted(cuts, base).tolist()
+    groups = [g + (k > 0) for k, g in enumerate(groups)]
+    n_links = np.concatenate([[0], np.cumsum(in_a * in_b)])
+
+    text_a, text_b, pairs = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist())), pairs.tolist()
+    texts = [
+        f"{text_a[i]}|{text_b[j]}" if n == m == 1 else f"{','.join(text_a[i : i + n])}|{','.join(text_b[j : j + m])}"
+        for i, n, j, m in zip(first_a.tolist(), in_a.tolist(), first_b.tolist(), in_b.tolist())
+    ]
+    n_a, n_b, n_links = np.diff(edges_a).tolist(), np.diff(edges_b).tolist(), np.diff(n_links[groups]).tolist()
+    for k, i in enumerate(good):
+        g, h = groups[k], groups[k + 1]
+        out[i] = (";".join(texts[g:h]), n_a[k], n_b[k], h - g, n_links[k], tuple(pairs[links[k] : links[k + 1]]), None)
+    for g in np.flatnonzero(large).tolist():
+        k = int(np.searchsorted(base, cuts[g])) - 1
+        *head, own, own_times = out[good[k]]
+        more = _links(flat_a[group_a == g].tolist(), flat_b[group_b == g].tolist())
+        out[good[k]] = (*head, own + tuple(more), (own_times or (1,) * len(own)) + tuple(more.values()))
+    return out
+
+
 _young: dict = {}
 _old: dict = {}
 
 
-def _known(words: set, tools: Tokenizers) -> dict:
-    """The alignments of words, from the two generations that the worker keeps or made now."""
+def _known(words: list[str], tools: Tokenizers) -> list[tuple | None]:
+    """The alignments of distinct words, from the two generations that the worker keeps or made now."""
     global _young, _old
-    found, new = {}, []
-    for w in words:
-        if w in _young:
-            found[w] = _young[w]
-        elif w in _old:
-            found[w] = _young[w] = _old[w]
-        else:
-            new.append(w)
-    for at in range(0, len(new), 2000):
-        some = new[at : at + 2000]
-        encoded = tools.a.encode_batch([" " + w for w in some], add_special_tokens=False)
-        pieces = tools.b.encode(some, return_type="proto", num_threads=1)
-        for w, a, b in zip(some, encoded, pieces):
-            found[w] = _word(w, a, b, tools)
-            if len(w) < 200:
-                _young[w] = found[w]
+    found: list = [_young.get(w, _old) for w in words]
+    new = []
+    for i, known in enumerate(found):
+        if known is _old:  # not among the young
+            w = words[i]
+            if w in _old:
+                found[i] = _young[w] = _old[w]
+            else:
+                new.append(i)
+    for at in range(0, len(new), WORDS_AT_ONCE):
+        some = new[at : at + WORDS_AT_ONCE]
+        for i, known in zip(some, aligned_words([words[i] for i in some], tools)):
+            found[i] = known
+            if len(words[i]) < 200:
+                _young[words[i]] = known
     if len(_young) > CACHE:
         _young, _old = {}, _young
     return found
@@ -205,22 +253,67 @@ def aligned_texts(texts: list[str | None], tools: Tokenizers) -> Iterator[tuple]
         while to < len(texts) and (to == at or chars < RUN_CHARS):
             chars += len(texts[to] or "")
             to += 1
-        split = [(_CUT.split(t) if tools.by_words else [t]) if t else [] for t in texts[at:to]]
-        known = _known(set(chain.from_iterable(split)), tools)
-        for words in split:
-            found = [known[w] for w in words]
-            if not found or None in found:
-                yield "", 0, 0, 0, 0, np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-                continue
-            groups, n_a, n_b, n_groups, n_links, pairs, times = zip(*found)
-            pairs = np.fromiter(chain.from_iterable(pairs), dtype=np.int64)
-            times = np.fromiter(chain.from_iterable(times), dtype=np.int64, count=len(pairs))
-            pairs, which = np.unique(pairs, return_inverse=True)
-            total = np.bincount(which, weights=times, minlength=len(pairs)).astype(np.int64)
-            yield ";".join(groups), sum(n_a), sum(n_b), sum(n_groups), sum(n_links), pairs, total
+        yield from _aligned_run([_split(t, tools.by_words) if t else [] for t in texts[at:to]], tools)
         at = to
 
 
+def _split(text: str, by_words: bool) -> list[str]:
+    """The words of a text without the space before each."""
+    if not by_words:
+        return [text]
+    return _SPACE.split(text) if _NEAR_SPACE.search(text) else text.split(" ")
+
+
+def _composed(parts: list[tuple | None]) -> tuple | None:
+    """The alignment of neighbours as one."""
+    if None in parts:
+        return None
+    groups, n_a, n_b, n_groups, n_links, pairs, times = zip(*parts)
+    if any(t is not None for t in times):
+        times = tuple(chain.from_iterable(t or (1,) * len(p) for t, p in zip(times, pairs)))
+    else:
+        times = None
+    return ";".join(groups), sum(n_a), sum(n_b), sum(n_groups), sum(n_links), tuple(chain.from_iterable(pairs)), times
+
+
+def _aligned_run(split: list[list[str]], tools: Tokenizers) -> Iterator[tuple]:
+    place = dict.fromkeys(chain.from_iterable(split))
+    parts = [[" " + w] if w.isalpha() or not tools.by_words else _PART.split(" " + w) for w in place]
+    distinct = dict.fromkeys(chain.from_iterable(parts))
+    aligned_parts = dict(zip(distinct, _known(list(distinct), tools)))
+    known = [aligned_parts[own[0]] if len(own) == 1 else _composed([aligned_parts[p] for p in own]) for own in parts]
+    place = dict(zip(place, range(len(place))))
+    edges = np.cumsum([0, *map(len, split)])
+    ids = np.fromiter(map(place.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=int(edges[-1]))
+    lost = np.array([k is None for k in known], dtype=bool)
+    known = [k or _NOTHING for k in known]
+    whole = np.diff(np.concatenate([[0], np.cumsum(lost[ids])])[edges]) == 0
+    numbers = np.array([k[1:5] for k in known], dtype=np.int64).reshape(-1, 4)
+    sums = np.vstack([np.zeros(4, dtype=np.int64), np.cumsum(numbers[ids], axis=0)])[edges]
+    sums = (np.diff(sums, axis=0) * whole[:, None]).tolist()
+
+    pairs, starts = _flat([k[5] for k in known])
+    times = np.ones(len(pairs), dtype=np.int64)
+    for i, k in enumerate(known):
+        if k[6] is not None:
+            times[starts[i] : starts[i + 1]] = k[6]
+    sizes = np.diff(starts)[ids]
+    where = _spread(starts[ids], sizes)
+    doc = np.repeat(np.arange(len(split)), np.diff(edges))
+    key = (np.repeat(doc, sizes) << 2 * SHIFT) + pairs[where]
+    order = np.argsort(key)
+    own, of = key[order] & ((1 << 2 * SHIFT) - 1), key[order] >> 2 * SHIFT
+    fresh = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (of[1:] != of[:-1])])) if len(own) else np.zeros(0, dtype=np.int64)
+    total = np.add.reduceat(times[where][order], fresh) if len(own) else times
+    own, of = own[fresh], of[fresh]
+    bounds = np.searchsorted(of, np.arange(len(split) + 1)).tolist()
+    texts, ids, edges = [k[0] for k in known], ids.tolist(), edges.tolist()
+    for d, ok in enumerate(whole.tolist()):
+        some = slice(bounds[d], bounds[d + 1]) if ok else slice(0, 0)
+        groups = ";".join([texts[i] for i in ids[edges[d] : edges[d + 1]]]) if ok else ""
+        yield groups, *sums[d], own[some], total[some]
+
+
 def _align(path_a: str, path_b: str, with_groups: bool):
     schema = pa.schema([
         *((name, pa.int64()) for name in ("chunk", "doc_id", "n_a", "n_b", "n_groups", "n_links")),
@@ -249,8 +342,8 @@ def _align(path_a: str, path_b: str, with_groups: bool):
 
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for start in range(0, len(ids), 256):
-                some = texts.slice(start, 256).to_pylist()
+            for start in range(0, len(ids), RUN_DOCS):
+                some = texts.slice(start, RUN_DOCS).to_pylist()
                 for doc_id, text, (groups, *numbers, pairs, times) in zip(ids[start:], some, aligned_texts(some, tools)):
                     digest = hashlib.sha256(groups.encode()).hexdigest() if groups else ""
                     docs.append((doc_id, *numbers, digest, groups if with_groups else None, pairs, times))

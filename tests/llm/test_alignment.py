@@ -5,6 +5,7 @@ import random
 from bisect import bisect_left
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 from sentencepiece import SentencePieceProcessor
@@ -109,10 +110,19 @@ def test_groups_as_text(make_docs):
 
 
 def test_coarse_cuts_are_spans_and_fine_ones_bytes():
-    # One token for a letter, then three that share the character at 1..4, the last of which also holds the next letter.
-    assert token_alignment._ends([(0, 1), (1, 4), (1, 4), (1, 5)], [b"a", b"\xe6", b"\xbc", b"\xa2b"]) == [1, 2, 3, 5]
+    def ends(spans, sizes):
+        return token_alignment._ends(*np.array(spans).T, np.array(sizes)).tolist()
+
+    # A token for a letter, then three that share the character at 1..4, the last of which also holds the next letter.
+    assert ends([(0, 1), (1, 4), (1, 4), (1, 5)], [1, 1, 1, 2]) == [1, 2, 3, 5]
     # Byte-fallback pieces have empty spans but for the last.
-    assert token_alignment._ends([(0, 1), (1, 1), (1, 1), (1, 4)], [b"a", b"\xe6", b"\xbc", b"\xa2"]) == [1, 2, 3, 4]
+    assert ends([(0, 1), (1, 1), (1, 1), (1, 4), (4, 6)], [1, 1, 1, 1, 2]) == [1, 2, 3, 4, 6]
+
+
+def test_large_groups_are_counted_by_distinct_ids(make_docs, monkeypatch):
+    monkeypatch.setattr(token_alignment, "LARGE_GROUP", 1)
+    rows = [(i, t) for i, t in ODD] + [(1, "notwithstanding 漢漢漢 漢 internationalization")]
+    assert found(token_alignment.aligned(make_docs(rows), A, B)) == brute(rows)
 
 
 def test_empty_table(make_docs):

@@ -15,4 +15,4 @@ def test_equal_rows(spark, sf_dir, name):
 
 def test_there_is_a_query_for_every_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.queries())
-    assert numbers == list(range(1, 12)) and set(SQL) <= set(queries.queries())
+    assert numbers == list(range(1, 14)) and set(SQL) <= set(queries.queries())
