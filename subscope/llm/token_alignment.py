@@ -18,10 +18,11 @@ row for each chunk, and Spark may split the join on it.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 from typing import NamedTuple
@@ -43,6 +44,8 @@ RUN_DOCS = 1024
 #: Words that a worker remembers in each of its two generations, and words that are encoded at once.
 CACHE = 200_000
 WORDS_AT_ONCE = 5000
+#: Longer words are not remembered.
+LONGEST = 200
 #: Groups with more links are counted by distinct ids.
 LARGE_GROUP = 64
 #: Bits of an id; a pair is a * 2**SHIFT + b.
@@ -93,6 +96,7 @@ def load(path_a: str, path_b: str) -> Tokenizers:
     from tokenizers import Tokenizer
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are the parallelism
+    gc.set_threshold(200_000)  # remembered words are many objects without cycles
     a = Tokenizer.from_file(path_a)
     a.no_truncation()
     a.no_padding()
@@ -162,14 +166,16 @@ def aligned_words(words: list[str], tools: Tokenizers) -> list[tuple | None]:
     encoded = tools.a.encode_batch(words, add_special_tokens=False)
     inputs = [w[1:] if w[0] == " " else _GUARD + w for w in words]
     protos = tools.b.encode(inputs, return_type="proto", num_threads=1)
-    pieces = [[(p.id, p.begin, p.end) for p in found.pieces][0 if w[0] == " " else 2 :] for w, found in zip(words, protos)]
+    # Three numbers a piece, one after the other.
+    pieces = [[v for p in found.pieces for v in (p.id, p.begin, p.end)] for found in protos]
+    pieces = [own if w[0] == " " else own[6:] for w, own in zip(words, pieces)]
     ids_a = [e.ids for e in encoded]
     raw = [w.encode() for w in words]
-    bytes_a, bytes_b = tools.bytes_a.__getitem__, tools.bytes_b
+    bytes_a, bytes_b = tools.bytes_a.__getitem__, tools.bytes_b.__getitem__
     good = [
         i
         for i, (own, x, y) in enumerate(zip(raw, ids_a, pieces))
-        if b"".join(map(bytes_a, x)) == own == b"".join([bytes_b[t[0]] for t in y])
+        if b"".join(map(bytes_a, x)) == own == b"".join(map(bytes_b, y[::3]))
     ]
     out: list = [None] * len(words)
     if not good:
@@ -182,7 +188,7 @@ def aligned_words(words: list[str], tools: Tokenizers) -> list[tuple | None]:
     flat_a, edges_a = _flat([ids_a[i] for i in good])
     offsets = chain.from_iterable(chain.from_iterable(encoded[i].offsets for i in good))
     spans_a = np.fromiter(offsets, dtype=np.int64, count=2 * len(flat_a)).reshape(-1, 2) + np.repeat(chars[:-1], np.diff(edges_a))[:, None]
-    found_b, edges_b = _flat([[v for piece in pieces[i] for v in piece] for i in good])
+    found_b, edges_b = _flat([pieces[i] for i in good])
     found_b, edges_b = found_b.reshape(-1, 3), edges_b // 3
     shift = base[:-1] + np.array([1 if words[i][0] == " " else -len(_GUARD) for i in good])
     flat_b, spans_b = found_b[:, 0], found_b[:, 1:] + np.repeat(shift, np.diff(edges_b))[:, None]
@@ -222,24 +228,44 @@ _young: dict = {}
 _old: dict = {}
 
 
-def _known(words: list[str], tools: Tokenizers) -> list[tuple | None]:
-    """The alignments of distinct words, from the two generations that the worker keeps or made now."""
-    global _young, _old
-    found: list = [_young.get(w, _old) for w in words]
+def _remembered(words: Iterable[str], found: list) -> list[int]:
+    """Fills `found` from the two generations that the worker keeps; the places of the words that are in neither."""
     new = []
-    for i, known in enumerate(found):
+    for i, w in enumerate(words):
+        known = _young.get(w, _old)
         if known is _old:  # not among the young
-            w = words[i]
-            if w in _old:
-                found[i] = _young[w] = _old[w]
-            else:
+            known = _old.get(w, _young)
+            if known is _young:
                 new.append(i)
-    for at in range(0, len(new), WORDS_AT_ONCE):
-        some = new[at : at + WORDS_AT_ONCE]
-        for i, known in zip(some, aligned_words([words[i] for i in some], tools)):
-            found[i] = known
-            if len(words[i]) < 200:
-                _young[words[i]] = known
+            else:
+                _young[w] = known
+        found.append(known)
+    return new
+
+
+def _known(words: list[str], tools: Tokenizers) -> list[tuple | None]:
+    """The alignments of distinct words, remembered or composed of parts that are remembered or aligned now."""
+    global _young, _old
+    found: list = []
+    new = _remembered(words, found)
+    parts = [[words[i]] if words[i][1:].isalpha() or not tools.by_words else _PART.split(words[i]) for i in new]
+    distinct = list(dict.fromkeys(chain.from_iterable(parts)))
+    of_parts: list = []
+    unseen = _remembered(distinct, of_parts)
+    for at in range(0, len(unseen), WORDS_AT_ONCE):
+        some = unseen[at : at + WORDS_AT_ONCE]
+        for i, known in zip(some, aligned_words([distinct[i] for i in some], tools)):
+            of_parts[i] = known
+            if len(distinct[i]) < LONGEST:
+                _young[distinct[i]] = known
+    by_part = dict(zip(distinct, of_parts))
+    for i, own in zip(new, parts):
+        if len(own) == 1:
+            found[i] = by_part[own[0]]
+        else:
+            found[i] = _composed([by_part[p] for p in own])
+            if len(words[i]) < LONGEST:
+                _young[words[i]] = found[i]
     if len(_young) > CACHE:
         _young, _old = {}, _young
     return found
@@ -278,10 +304,7 @@ def _composed(parts: list[tuple | None]) -> tuple | None:
 
 def _aligned_run(split: list[list[str]], tools: Tokenizers) -> Iterator[tuple]:
     place = dict.fromkeys(chain.from_iterable(split))
-    parts = [[" " + w] if w.isalpha() or not tools.by_words else _PART.split(" " + w) for w in place]
-    distinct = dict.fromkeys(chain.from_iterable(parts))
-    aligned_parts = dict(zip(distinct, _known(list(distinct), tools)))
-    known = [aligned_parts[own[0]] if len(own) == 1 else _composed([aligned_parts[p] for p in own]) for own in parts]
+    known = _known([" " + w for w in place], tools)
     place = dict(zip(place, range(len(place))))
     edges = np.cumsum([0, *map(len, split)])
     ids = np.fromiter(map(place.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=int(edges[-1]))
