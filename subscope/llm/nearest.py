@@ -40,6 +40,8 @@ BLOCK = 512
 QUERY_BLOCK = 2048
 #: Candidates of a block where queries are compared with all classes.
 SCAN_BLOCK = 8192
+#: Rows that a task holds before it merges them by query.
+HELD_ROWS = 500_000
 #: Scores by matrix products differ from exact ones in the last places; so many more are compared exactly.
 SLACK = 4
 
@@ -148,13 +150,54 @@ def _counted(kind: str, dims: int, bands: list[Band], setting: Setting, as_query
     return counted
 
 
+class _Best:
+    """The best candidates of each query that a task has seen: rows are kept up to a bound, then merged, then handed on."""
+
+    def __init__(self, wanted: int):
+        self.wanted, self.rows, self.size = wanted, [], 0
+        self.queries, self.floors = np.zeros(0, dtype=np.int64), np.zeros(0)
+
+    def floor(self, query: np.ndarray) -> np.ndarray:
+        """Scores below need not be kept: the query has `wanted` better classes already."""
+        if not len(self.queries):
+            return np.full(len(query), -np.inf)
+        at = np.minimum(np.searchsorted(self.queries, query), len(self.queries) - 1)
+        return np.where(self.queries[at] == query, self.floors[at], -np.inf)
+
+    def add(self, query, number, first, score):
+        """Batches to hand on, if the rows have outgrown the bound even when merged."""
+        self.rows.append((query, number, first, score))
+        self.size += len(query)
+        if self.size > HELD_ROWS:
+            self._merge()
+            if self.size > HELD_ROWS // 2:
+                yield from self.close()
+
+    def _merge(self):
+        query, number, first, score = (np.concatenate(x) for x in zip(*self.rows))
+        order = np.lexsort((number, first, -score, query))
+        query, number, first, score = query[order], number[order], first[order], score[order]
+        fresh = np.concatenate([[True], (query[1:] != query[:-1]) | (number[1:] != number[:-1])])
+        query, number, first, score = query[fresh], number[fresh], first[fresh], score[fresh]
+        starts = np.flatnonzero(np.concatenate([[True], query[1:] != query[:-1]]))
+        rank = np.arange(len(query)) - np.repeat(starts, np.diff(np.concatenate([starts, [len(query)]])))
+        last = rank == self.wanted - 1
+        self.queries, self.floors = query[last], score[last]
+        kept = rank < self.wanted
+        self.rows, self.size = [(query[kept], number[kept], first[kept], score[kept])], int(kept.sum())
+
+    def close(self):
+        if self.size:
+            self._merge()
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in self.rows[0]], names=["query", "class", "first", "score"])
+        self.rows, self.size = [], 0
+
+
 def _scores(kind: str, dims: int, wanted: int):
-    """From rows sorted by block, candidates before queries: the best candidates of each query in the block."""
+    """From rows sorted by block, candidates before queries: the best candidates of each query in the task."""
 
     def scored(batches):
-        block, held, candidates = None, [], None
-        # A query that has seen `wanted` candidates of one block needs no lower ones from others.
-        enough: dict[int, float] = {}
+        block, held, candidates, best = None, [], None, _Best(wanted)
         for batch in batches:
             place = np.stack([batch.column(k).to_numpy() for k in range(4)])
             edges = np.flatnonzero((place[:, 1:] != place[:, :-1]).any(axis=0)) + 1
@@ -177,27 +220,24 @@ def _scores(kind: str, dims: int, wanted: int):
                 for at in range(0, len(some), 256):
                     part = some.slice(at, 256)
                     query = part.column(4).to_numpy()
-                    yield _best_of_block(query, _matrix(part.column(6), kind, dims), number, first, c, wanted, enough)
+                    yield from best.add(*_best_of_block(query, _matrix(part.column(6), kind, dims), number, first, c, best))
+        yield from best.close()
 
     return scored
 
 
-def _best_of_block(query, q, number, first, c, wanted, enough):
-    k = min(wanted + SLACK, len(c))
+def _best_of_block(query, q, number, first, c, best: _Best):
+    """The rows (query, class, first, score) of a block that may be among the best of their queries."""
+    k = min(best.wanted + SLACK, len(c))
     rough = q @ c.T
     places = np.argpartition(-rough, k - 1, axis=1)[:, :k]
-    scores = np.empty(places.shape)
-    for i, row in enumerate(places):
-        scores[i] = (c[row].astype(np.longdouble) * q[i]).sum(axis=1).astype(np.float64)
-    order = np.lexsort((first[places], -scores), axis=1)[:, :wanted]
-    places, scores = np.take_along_axis(places, order, axis=1), np.take_along_axis(scores, order, axis=1)
-    floor = np.array([enough.get(x, -np.inf) for x in query.tolist()])
-    if scores.shape[1] == wanted:
-        for x, score in zip(query.tolist(), scores[:, -1].tolist()):
-            enough[x] = max(score, enough.get(x, -np.inf))
-    kept = (scores >= floor[:, None]).ravel()
-    columns = [np.repeat(query, scores.shape[1]), number[places].ravel(), first[places].ravel(), scores.ravel()]
-    return pa.RecordBatch.from_arrays([pa.array(x[kept]) for x in columns], names=["query", "class", "first", "score"])
+    rows = np.repeat(np.arange(len(q)), k)
+    places = places.ravel()
+    near = rough[rows, places]
+    kept = near >= best.floor(query)[rows] - 1e-9 * np.abs(near)
+    rows, places = rows[kept], places[kept]
+    score = (c[places].astype(np.longdouble) * q[rows]).sum(axis=1).astype(np.float64)
+    return query[rows], number[places], first[places], score
 
 
 def _met(held: Held, candidates: DataFrame, queries: DataFrame, blocks: DataFrame, kind: str, dims: int, wanted: int) -> DataFrame:
