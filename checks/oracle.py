@@ -271,7 +271,24 @@ JOURNEY = f"""
            lead(feature_name) OVER (PARTITION BY user_id ORDER BY first_used, feature_name) AS next_feature
     FROM ({FIRST_USES})"""
 
+
+def by_periods(table, timestamp, measures):
+    """One row per day, week, month and in total."""
+    parts = [
+        f"""SELECT '{period}' AS period, CAST(date_trunc('{period}', {timestamp}) AS DATE) AS period_start, {measures}
+            FROM {table} GROUP BY 2"""
+        for period in ("day", "week", "month")
+    ]
+    return " UNION ALL ".join([*parts, f"SELECT 'total', NULL, {measures} FROM {table}"])
+
+
 MODELS = {
+    "users_by_period": (["behavior"], by_periods(
+        "behavior", '"timestamp"', "count(DISTINCT user_id) AS distinct_count, count(*) AS rows")),
+    "titles_by_period": (["pageviews"], by_periods(
+        "pageviews", "file_timestamp", "count(DISTINCT page_title) AS distinct_count, count(*) AS rows")),
+    "sketches_by_period": (["pageviews"], by_periods(
+        "pageviews", "file_timestamp", "count(*) AS rows, true AS page_title_within, true AS source_file_within")),
     "read_file_manifest": (["manifest"], """
         SELECT *, 'https://example.org/pageviews/' || filename AS full_url FROM manifest"""),
     "daily_file_sample": (["manifest"], """

@@ -12,6 +12,7 @@ from subscope.functions.exprs import age_days, upper_band
 from subscope.operators import (
     classifiers,
     dashboards,
+    distinct_state,
     distributions,
     evaluation,
     features,
@@ -21,10 +22,11 @@ from subscope.operators import (
     profiles,
     scoring,
     seasonality,
+    tuning,
     validation,
 )
 from subscope.plans import ingestion, medallion
-from subscope.session import shared_dir
+from subscope.session import model_root, settled, shared_dir
 from subscope.sources import driver_tables as D
 from subscope.sources import layers, pageview_files
 from subscope.streaming import activity, alerts
@@ -165,6 +167,50 @@ def _table_stats(spark, sf_dir):
     )
 
 
+# Distinct counts from daily states
+
+
+def _user_state(spark, sf_dir):
+    """Bitmaps of users per day, written in two runs of which the second replaces a day of the first."""
+    path = shared_dir(spark, "user-bitmaps")
+    keyed = D.behavior(spark, sf_dir).withColumn("key", F.col("user_id").cast("long"))
+    early = keyed.where(F.to_date("timestamp") <= CUTOFF)
+    late = keyed.where(F.to_date("timestamp") >= CUTOFF)
+    for part in (early, late):
+        distinct_state.write_days(distinct_state.daily_bitmaps(part, "key"), path)
+    return spark.read.parquet(path)
+
+
+def _title_state(spark, sf_dir):
+    """Bitmaps of page titles per day; titles of later days get keys behind those of the first."""
+    views = D.pageviews(spark, sf_dir)
+    first = settled(distinct_state.add_keys(views.where(F.to_date("file_timestamp") < CUTOFF), "page_title"), "keys")
+    keys = settled(distinct_state.add_keys(views, "page_title", first), "keys")
+    keyed = views.join(keys, "page_title", "left")
+    return distinct_state.daily_bitmaps(keyed, "key", "file_timestamp")
+
+
+def _sketch_errors(spark, sf_dir):
+    """Per period: whether the estimates of titles and files lie within four standard errors of the exact counts."""
+    views, columns = D.pageviews(spark, sf_dir), ["page_title", "source_file"]
+    state = distinct_state.daily_sketches(views, columns, "file_timestamp")
+    exact = [
+        views.groupBy(distinct_state._start(period, "file_timestamp").alias("period_start"))
+        .agg(*[F.countDistinct(c).alias(f"exact_{c}") for c in columns])
+        .select(F.lit(period).alias("period"), "*")
+        for period in distinct_state.PERIODS
+    ]
+    exact = exact[0].unionByName(exact[1]).unionByName(exact[2]).unionByName(exact[3])
+    found = distinct_state.estimates_by_period(state, columns).alias("s").join(
+        exact.alias("e"), (F.col("s.period") == F.col("e.period")) & F.col("s.period_start").eqNullSafe(F.col("e.period_start"))
+    )
+    bound = 4 * 0.83 / 2 ** (distinct_state.LOG_SIZE / 2)
+    within = [
+        (F.abs(F.col(c) - F.col(f"exact_{c}")) <= F.greatest(F.lit(1.0), bound * F.col(f"exact_{c}"))).alias(f"{c}_within") for c in columns
+    ]
+    return found.select("s.period", "s.period_start", "s.rows", *within)
+
+
 # Profiles and features
 
 
@@ -315,13 +361,13 @@ def _evaluate(spark, sf_dir):
 def _tuned(spark, sf_dir):
     def build():
         cores = spark.sparkContext.defaultParallelism
-        return classifiers.tune_random_forest(_training_table(spark, sf_dir), parallelism=cores)
+        return tuning.stored_tuned_forest(_training_table(spark, sf_dir), model_root(spark), parallelism=cores)
 
     return _once(spark, sf_dir, "tuned", build)
 
 
 def _tuning_results(spark, sf_dir):
-    return classifiers.tuning_results(spark, _tuned(spark, sf_dir))
+    return tuning.tuning_results(spark, _tuned(spark, sf_dir))
 
 
 def _improvement(spark, sf_dir):
@@ -434,7 +480,7 @@ def _medallion(spark, sf_dir):
     base = shared_dir(spark, "layers")
     medallion.build_bronze(base, D.pageviews(spark, sf_dir), D.behavior(spark, sf_dir), D.subscriptions(spark, sf_dir))
     medallion.build_silver(spark, base)
-    settings = classifiers.best_settings(_tuned(spark, sf_dir))
+    settings = tuning.best_settings(_tuned(spark, sf_dir))
     medallion.build_gold(spark, base, medallion.train(spark, base, **settings))
     return medallion.dashboard(spark, base)["executive_kpis"]
 
@@ -532,6 +578,9 @@ def queries():
             _on(kpis.session_stats, behavior), 4, "p25_actions", "median_actions", "p75_actions", "p95_actions"
         ),
         "feature_adoption_histogram": _on(kpis.feature_adoption_histogram, behavior),
+        "users_by_period": _on(distinct_state.distinct_by_period, _user_state),
+        "titles_by_period": _on(distinct_state.distinct_by_period, _title_state),
+        "sketches_by_period": _sketch_errors,
         # features
         "engagement_features": engagement,
         "action_mix": _on(features.action_mix, behavior),

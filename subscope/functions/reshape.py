@@ -33,3 +33,13 @@ def with_change(series, order, value, previous, change):
     return series.withColumn(previous, before).withColumn(
         change, pct(F.col(value) - F.col(previous), F.col(previous))
     )
+
+
+def distinct_total(df, column):
+    """The number of distinct values of one column as a scalar.
+
+    Several distinct counts in one aggregate copy every row once per column. Each as an aggregate of its own reads
+    its own column only, so a columnar table is still read once in all. It is written as a count of groups, since Spark
+    would merge scalar distinct counts into one aggregate again.
+    """
+    return df.where(F.col(column).isNotNull()).select(column).distinct().agg(F.count("*")).scalar()

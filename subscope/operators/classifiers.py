@@ -1,4 +1,4 @@
-"""Training, tuning, explaining, storing and applying the churn models."""
+"""Training, explaining, storing and applying the churn models."""
 
 from functools import reduce
 
@@ -6,7 +6,6 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -59,44 +58,6 @@ def evaluator_metrics(transformed):
     }
 
 
-def tune_random_forest(train, folds=5, grid=None, parallelism=4, seed=42):
-    """Cross-validated grid search by ROC-AUC. Folds come from a hash of the user, hence are reproducible."""
-    forest = RandomForestClassifier(featuresCol="features", labelCol="label", seed=seed)
-    builder = ParamGridBuilder()
-    for name, values in (grid or S.TUNING_GRID).items():
-        builder = builder.addGrid(forest.getParam(name), values)
-    fold = F.pmod(F.xxhash64("user_id", F.lit(seed)), F.lit(folds)).cast("int")
-    search = CrossValidator(
-        estimator=forest,
-        estimatorParamMaps=builder.build(),
-        evaluator=BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction"),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-        seed=seed,
-    )
-    return search.fit(train.withColumn("fold", fold))
-
-
-def tuning_results(spark, tuned):
-    """Mean ROC-AUC per grid point, best first."""
-    rows = [
-        (
-            ", ".join(f"{param.name}={value}" for param, value in sorted(point.items(), key=lambda kv: kv[0].name)),
-            float(metric),
-        )
-        for point, metric in zip(tuned.getEstimatorParamMaps(), tuned.avgMetrics, strict=True)
-    ]
-    return spark.createDataFrame(rows, "settings string, mean_roc_auc double").orderBy(
-        F.desc("mean_roc_auc"), "settings"
-    )
-
-
-def best_settings(tuned):
-    forest = tuned.bestModel
-    return {name: forest.getOrDefault(name) for name in S.TUNING_GRID}
-
-
 def tuning_improvement(tuned_scores, baseline_scores):
     """Tuned metrics and their change against the baseline in percent."""
     both = evaluate_models({"tuned": tuned_scores, "baseline": baseline_scores})

@@ -13,19 +13,24 @@ from subscope.functions.exprs import (
     rounded_avg,
     upper_band,
 )
-from subscope.functions.reshape import rows_from, with_share
+from subscope.functions.reshape import distinct_total, rows_from, with_share
 
 
 def pageview_summary(pageviews):
-    return pageviews.agg(
+    one = pageviews.agg(
         F.count("*").alias("total_records"),
-        F.countDistinct("project").alias("unique_projects"),
-        F.countDistinct("page_title").alias("unique_pages"),
-        F.countDistinct("access_method").alias("unique_access_methods"),
-        F.countDistinct("source_file").alias("total_files"),
         F.min("file_timestamp").alias("earliest_timestamp"),
         F.max("file_timestamp").alias("latest_timestamp"),
     )
+    return one.select(
+        "total_records",
+        distinct_total(pageviews, "project").alias("unique_projects"),
+        distinct_total(pageviews, "page_title").alias("unique_pages"),
+        distinct_total(pageviews, "access_method").alias("unique_access_methods"),
+        distinct_total(pageviews, "source_file").alias("total_files"),
+        "earliest_timestamp",
+        "latest_timestamp",
+    )
 
 
 def project_distribution(pageviews, top=10):
@@ -92,13 +97,12 @@ def missing_counts(df):
 
 def summary_long(pageviews):
     one = pageviews.agg(
-        F.count("*").alias("records"),
-        F.countDistinct("source_file").alias("files"),
-        F.countDistinct("project").alias("projects"),
-        F.countDistinct("page_title").alias("titles"),
-        F.min("file_timestamp").alias("first"),
-        F.max("file_timestamp").alias("last"),
-    )
+        F.count("*").alias("records"), F.min("file_timestamp").alias("first"), F.max("file_timestamp").alias("last")
+    ).withColumns({
+        "files": distinct_total(pageviews, "source_file"),
+        "projects": distinct_total(pageviews, "project"),
+        "titles": distinct_total(pageviews, "page_title"),
+    })
 
     def instant(name):
         return F.date_format(name, "yyyy-MM-dd HH:mm:ss")
@@ -164,15 +168,21 @@ def view_count_histogram(pageviews):
 
 
 def behavior_summary(behavior):
-    return behavior.agg(
+    one = behavior.agg(
         F.count("*").alias("total_records"),
-        F.countDistinct("user_id").alias("unique_users"),
-        F.countDistinct("session_id").alias("unique_sessions"),
-        F.countDistinct("action_type").alias("unique_action_types"),
         F.min("timestamp").alias("earliest_timestamp"),
         F.max("timestamp").alias("latest_timestamp"),
         rounded_avg("duration_seconds").alias("avg_duration"),
     )
+    return one.select(
+        "total_records",
+        distinct_total(behavior, "user_id").alias("unique_users"),
+        distinct_total(behavior, "session_id").alias("unique_sessions"),
+        distinct_total(behavior, "action_type").alias("unique_action_types"),
+        "earliest_timestamp",
+        "latest_timestamp",
+        "avg_duration",
+    )
 
 
 def action_distribution(behavior):
@@ -244,14 +254,17 @@ def source_overview(pageviews, behavior, subs):
     """One row per source; the two distinct counts are named after the first source's."""
 
     def row(label, df, second, third):
-        return df.agg(
-            F.count("*").alias("record_count"), second.alias("unique_projects"), third.alias("unique_pages")
-        ).select(F.lit(label).alias("data_source"), "*")
+        return df.agg(F.count("*").alias("record_count")).select(
+            F.lit(label).alias("data_source"), "record_count", second.alias("unique_projects"), third.alias("unique_pages")
+        )
+
+    def distinct(df, *columns):
+        return [distinct_total(df, name) for name in columns]
 
     return (
-        row("Wikimedia Pageviews", pageviews, F.countDistinct("project"), F.countDistinct("page_title"))
-        .unionByName(row("User Behavior", behavior, F.countDistinct("user_id"), F.countDistinct("session_id")))
-        .unionByName(row("Subscriptions", subs, F.countDistinct("user_id"), churned_count()))
+        row("Wikimedia Pageviews", pageviews, *distinct(pageviews, "project", "page_title"))
+        .unionByName(row("User Behavior", behavior, *distinct(behavior, "user_id", "session_id")))
+        .unionByName(row("Subscriptions", subs, *distinct(subs, "user_id"), subs.agg(churned_count()).scalar()))
     )
 
 

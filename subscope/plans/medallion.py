@@ -6,7 +6,8 @@ Every layer is a written table, so later steps read files rather than recompute
 from pyspark.sql import functions as F
 
 from subscope import settings as S
-from subscope.operators import classifiers, dashboards, features, kpis, preprocessing
+from subscope.operators import classifiers, dashboards, features, kpis, preprocessing, tuning
+from subscope.session import model_root
 from subscope.sources.layers import read_layer, write_layer
 
 PAGEVIEWS, BEHAVIOR, SUBSCRIPTIONS = "bronze_pageviews", "bronze_user_behavior", "bronze_subscription_data"
@@ -41,7 +42,7 @@ def build_silver(spark, base, as_of=S.AS_OF):
 def train(spark, base, **settings):
     """Preprocessing and forest fitted on the training side of the silver table, as one model.
 
-    Without ``settings`` the grid search finds them; they are those of an earlier search otherwise.
+    Without ``settings`` the grid search finds them, or an earlier search on the same rows has stored its forest.
     """
     filled = preprocessing.fill_missing(read_layer(spark, f"{base}/{FEATURES}"))
     known, _ = preprocessing.train_test_split(filled.where(F.col("is_churned").isNotNull()))
@@ -50,7 +51,8 @@ def train(spark, base, **settings):
     if settings:
         return classifiers.full_model(fitted, classifiers.train_random_forest(vectors, **settings))
     cores = spark.sparkContext.defaultParallelism
-    return classifiers.full_model(fitted, classifiers.tune_random_forest(vectors, parallelism=cores).bestModel)
+    tuned = tuning.stored_tuned_forest(vectors, model_root(spark), parallelism=cores)
+    return classifiers.full_model(fitted, tuned.bestModel)
 
 
 def build_gold(spark, base, model):

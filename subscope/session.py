@@ -39,17 +39,27 @@ def sized_settings(shuffled_bytes, cores, partition_bytes=128 * 2**20):
 _local_roots = {}
 
 
-def shared_dir(spark, name):
-    """A new folder below ``spark.checkpoint.dir``; only a local session may do without that setting."""
+def shared_root(spark):
+    """``spark.checkpoint.dir``; only a local session may do without that setting."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        context = spark.sparkContext
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        if context.applicationId not in _local_roots:
-            _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="subscope-")
-        root = _local_roots[context.applicationId]
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    if root:
+        return root.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="subscope-")
+    return _local_roots[context.applicationId]
+
+
+def model_root(spark):
+    """Where stored models lie, the same for all sessions of one shared folder."""
+    return f"{shared_root(spark)}/models"
+
+
+def shared_dir(spark, name):
+    """A new folder below the shared root."""
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def settled(df, name):

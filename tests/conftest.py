@@ -90,7 +90,3 @@ def make(spark):
             )
 
     return Make
-
-
-def rows(df):
-    return [row.asDict() for row in df.collect()]

@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from table_rows import rows
 
 from subscope.operators import dashboards, scoring
 from subscope.sources import driver_tables

@@ -2,7 +2,7 @@ import random
 from datetime import date
 
 import numpy as np
-from conftest import rows
+from table_rows import rows
 from pyspark.sql import functions as F
 
 from subscope.operators import distributions, seasonality, validation

@@ -1,7 +1,7 @@
 import gzip
 from datetime import datetime
 
-from conftest import rows
+from table_rows import rows
 from pyspark.sql import functions as F
 
 from subscope.sources import layers, pageview_files

@@ -2,13 +2,13 @@ import random
 
 import numpy as np
 import pytest
-from conftest import rows
+from table_rows import rows
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from checks import queries
-from subscope.operators import classifiers, evaluation, preprocessing
+from subscope.operators import classifiers, evaluation, preprocessing, tuning
 
 SMALL = {"numTrees": 5, "maxDepth": 3}
 
@@ -148,10 +148,10 @@ def test_folds_expand(spark, make):
 
 
 def test_tuning_and_its_improvement(spark, toy):
-    tuned = classifiers.tune_random_forest(toy, folds=2, grid={"numTrees": [2, 4], "maxDepth": [2]}, parallelism=2)
-    report = rows(classifiers.tuning_results(spark, tuned))
+    tuned = tuning.tune_random_forest(toy, folds=2, grid={"numTrees": [2, 4], "maxDepth": [2]}, parallelism=2)
+    report = rows(tuning.tuning_results(spark, tuned))
     assert len(report) == 2 and report[0]["mean_roc_auc"] >= report[1]["mean_roc_auc"]
-    assert classifiers.best_settings(tuned)["maxDepth"] == 2
+    assert tuning.best_settings(tuned)["maxDepth"] == 2
     scores = classifiers.predictions(tuned.bestModel, toy)
     got = classifiers.tuning_improvement(scores, scores).first()
     assert got.roc_auc_improvement_pct == 0.0 and got.roc_auc > 0.9

@@ -1,4 +1,4 @@
-from conftest import rows
+from table_rows import rows
 
 from subscope.operators import profiles
 
