@@ -439,6 +439,7 @@ MODELS = {
     "feature_usage_pivot": (["usage"], "SELECT * FROM usage"),
     "subscription_features": (["lifecycle"], f"SELECT {SUBSCRIPTION_COLUMNS} FROM lifecycle"),
     "feature_matrix": (["matrix"], f"SELECT * REPLACE ({DURATION_ROUNDED}) FROM matrix"),
+    "feature_matrix_refreshed": (["matrix"], f"SELECT * REPLACE ({DURATION_ROUNDED}) FROM matrix"),
     "feature_statistics": (["matrix"], statistics()),
     "churn_correlation": (["matrix"], correlations()),
     "class_balance": (["matrix"], f"""

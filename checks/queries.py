@@ -11,6 +11,7 @@ from subscope import settings as S
 from subscope.functions.exprs import age_days, upper_band
 from subscope.operators import (
     classifiers,
+    daily_refresh,
     dashboards,
     distinct_state,
     distributions,
@@ -235,6 +236,14 @@ def _calendar(spark, sf_dir):
     return seasonality.calendar_features(actions, holidays)
 
 
+def _refreshed_matrix(spark, sf_dir):
+    """The matrix after a first load and three daily refreshes, the last of which is repeated."""
+    base, behavior = shared_dir(spark, "refresh"), D.behavior(spark, sf_dir)
+    for day in ("2024-01-28", "2024-01-29", "2024-01-30", S.AS_OF, S.AS_OF):
+        daily_refresh.refresh(behavior, base, day)
+    return daily_refresh.refreshed_matrix(spark, base, D.subscriptions(spark, sf_dir), S.AS_OF)
+
+
 def _cutoff(spark, sf_dir):
     return features.cutoff_features(D.behavior(spark, sf_dir), D.subscriptions(spark, sf_dir), CUTOFF)
 
@@ -589,6 +598,7 @@ def queries():
         "feature_usage_pivot": _on(features.feature_usage_pivot, behavior),
         "subscription_features": _on(features.subscription_features, subs),
         "feature_matrix": matrix,
+        "feature_matrix_refreshed": _rounded(_refreshed_matrix, 6, "avg_session_duration", "stddev_session_duration"),
         "feature_statistics": _rounded(
             _on(features.feature_statistics, _matrix), 4, "p25_value", "median_value", "p75_value", "p95_value"
         ),

@@ -189,8 +189,12 @@ def feature_matrix(behavior, subs, as_of=S.AS_OF):
     joins have one row per user on either side. Users without a subscription keep a NULL label and fall to
     the stage without bound. Users without any feature use have NULL rather than 0 uses per feature.
     """
+    return finished_matrix(_per_user(behavior, as_of, MATRIX_WINDOWS, _action_counts() | _feature_counts()), subs, as_of)
+
+
+def finished_matrix(users, subs, as_of):
+    """The matrix from one row of sums per user."""
     used = F.col("feature_usage_count") > 0
-    users = _per_user(behavior, as_of, MATRIX_WINDOWS, _action_counts() | _feature_counts())
     per_user = _ordered(
         users.withColumns({name: F.when(used, F.col(name)) for name in S.FEATURE_NAMES}),
         MATRIX_WINDOWS,
