@@ -25,6 +25,7 @@ import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
+from operator import itemgetter
 from typing import NamedTuple
 
 import numpy as np
@@ -39,11 +40,11 @@ from subscope.llm.shared import Held
 CHUNK_CHARS = 4 << 20
 CHUNK_DOCS = 8192
 #: Texts are split and encoded in runs of about so many characters, or so many documents.
-RUN_CHARS = 1 << 21
-RUN_DOCS = 1024
-#: Words that a worker remembers in each of its two generations, and words that are encoded at once.
-CACHE = 200_000
-WORDS_AT_ONCE = 5000
+RUN_CHARS = 1 << 22
+RUN_DOCS = 4096
+#: Words that a worker remembers in each of its two generations, and words that are encoded as one text.
+CACHE = 250_000
+WORDS_OF_TEXT = 400
 #: Longer words are not remembered.
 LONGEST = 200
 #: Groups with more links are counted by distinct ids.
@@ -65,7 +66,7 @@ _NEAR_SPACE = re.compile(r"^ | $|\s | \s")
 # Behind a line end only where a mark comes before it: then it stands alone.
 _PART = re.compile(r"(?<=[^\W\d_])(?=[.,;:!?\n])|(?<=[.,;:!?]\n)(?=[^\W\d_])")
 _MARKS = ".,;:!?\n"
-#: Before a word that begins without a space, so that B adds its own space elsewhere.
+#: Between words that begin without a space.
 _GUARD = "\n"
 
 _NOTHING = ("", 0, 0, 0, 0, (), None)
@@ -160,67 +161,101 @@ def _links(a: list, b: list) -> dict:
 def aligned_words(words: list[str], tools: Tokenizers) -> list[tuple | None]:
     """Per word: groups as text, n_a, n_b, n_groups, n_links, the id pairs of its links, and their times (None: one each).
 
-    None for a word whose tokens do not give its bytes. B adds the space that a word begins with, or one before the
-    guard of a word that begins without; in the latter case the pieces of space and guard are taken off again.
+    None for a word whose tokens do not give its bytes. Many words are encoded as one text: those with a space before
+    them follow each other, those without are kept apart by line ends, and odd ones are encoded alone.
     """
-    encoded = tools.a.encode_batch(words, add_special_tokens=False)
-    inputs = [w[1:] if w[0] == " " else _GUARD + w for w in words]
-    protos = tools.b.encode(inputs, return_type="proto", num_threads=1)
-    # Three numbers a piece, one after the other.
-    pieces = [[v for p in found.pieces for v in (p.id, p.begin, p.end)] for found in protos]
-    pieces = [own if w[0] == " " else own[6:] for w, own in zip(words, pieces)]
-    ids_a = [e.ids for e in encoded]
-    raw = [w.encode() for w in words]
-    bytes_a, bytes_b = tools.bytes_a.__getitem__, tools.bytes_b.__getitem__
-    good = [
-        i
-        for i, (own, x, y) in enumerate(zip(raw, ids_a, pieces))
-        if b"".join(map(bytes_a, x)) == own == b"".join(map(bytes_b, y[::3]))
-    ]
+    spaced, bare, odd = [], [], []
+    for i, w in enumerate(words):
+        if w[-1].isspace() or w[1:2].isspace():
+            odd.append(i)
+        elif w[0] == " ":
+            spaced.append(i)
+        else:
+            (bare if w[0].isalpha() else odd).append(i)
     out: list = [None] * len(words)
-    if not good:
-        return out
-
-    # All good words one after the other, in bytes; characters are numbered the same way for the spans of A.
-    base, chars = np.cumsum([0, *(len(raw[i]) for i in good)]), np.cumsum([0, *(len(words[i]) for i in good)])
-    codes = np.frombuffer("".join([words[i] for i in good]).encode("utf-32-le"), dtype="<u4")
-    at = np.concatenate([[0], np.cumsum(1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000))])
-    flat_a, edges_a = _flat([ids_a[i] for i in good])
-    offsets = chain.from_iterable(chain.from_iterable(encoded[i].offsets for i in good))
-    spans_a = np.fromiter(offsets, dtype=np.int64, count=2 * len(flat_a)).reshape(-1, 2) + np.repeat(chars[:-1], np.diff(edges_a))[:, None]
-    found_b, edges_b = _flat([pieces[i] for i in good])
-    found_b, edges_b = found_b.reshape(-1, 3), edges_b // 3
-    shift = base[:-1] + np.array([1 if words[i][0] == " " else -len(_GUARD) for i in good])
-    flat_b, spans_b = found_b[:, 0], found_b[:, 1:] + np.repeat(shift, np.diff(edges_b))[:, None]
-    ends_a = _ends(at[spans_a[:, 0]], at[spans_a[:, 1]], tools.sizes_a[flat_a])
+    for at in range(0, len(spaced), WORDS_OF_TEXT):
+        _align_into(out, spaced[at : at + WORDS_OF_TEXT], words, tools)
+    for at in range(0, len(bare), WORDS_OF_TEXT):
+        _align_into(out, bare[at : at + WORDS_OF_TEXT], words, tools)
+    for i in odd:
+        _align_into(out, [i], words, tools)
+    return out
+
+
+def _align_into(out: list, places: list[int], words: list[str], tools: Tokenizers) -> None:
+    """Aligns the words at `places` as one text, or by halves if that does not give its bytes."""
+    some = [words[i] for i in places]
+    if some[0][0] == " ":
+        found = _aligned_sequence(some, tools)
+    else:
+        # A word that begins with a mark is encoded alone, behind a letter as in its text.
+        guard = _GUARD if some[0][0].isalpha() else "x"
+        found = _aligned_sequence([x for w in some for x in (guard, w)], tools, " ")
+        found = found and found[1::2]
+    if found:
+        for i, known in zip(places, found):
+            out[i] = known
+    elif len(places) > 1:
+        half = len(places) // 2
+        _align_into(out, places[:half], words, tools)
+        _align_into(out, places[half:], words, tools)
+
+
+def _aligned_sequence(words: list[str], tools: Tokenizers, before: str = "") -> list[tuple] | None:
+    """The alignments of words that follow each other in a text; None if its tokens do not give its bytes.
+
+    The text begins with a space, its own or `before`, which B adds to what follows.
+    """
+    text = before + "".join(words)
+    encoded, raw = tools.a.encode(text, add_special_tokens=False), text.encode()
+    ids_a, pieces = encoded.ids, tools.b.encode(text[1:], return_type="proto").pieces
+    found_b = [number for piece in pieces for number in (piece.id, piece.begin, piece.end)]
+    ids_b = found_b[::3]
+    if not b"".join(map(tools.bytes_a.__getitem__, ids_a)) == raw == b"".join(map(tools.bytes_b.__getitem__, ids_b)):
+        return None
+    flat_a, found_b = np.array(ids_a), np.array(found_b).reshape(-1, 3)
+    flat_b, spans_b = found_b[:, 0], found_b[:, 1:] + 1
+    spans_a = np.fromiter(chain.from_iterable(encoded.offsets), dtype=np.int64, count=2 * len(ids_a)).reshape(-1, 2)
+    base = np.cumsum([len(before), *map(len, words)])
+    if len(raw) != len(text):  # the spans of A and the words are in characters
+        codes = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+        at = np.concatenate([[0], np.cumsum(1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000))])
+        spans_a, base = at[spans_a], at[base]
+    ends_a = _ends(spans_a[:, 0], spans_a[:, 1], tools.sizes_a[flat_a])
     ends_b = _ends(spans_b[:, 0], spans_b[:, 1], tools.sizes_b[flat_b])
 
-    cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+    cuts = ends_a[ends_b[np.minimum(np.searchsorted(ends_b, ends_a), len(ends_b) - 1)] == ends_a]
+    groups = np.searchsorted(cuts, base, "right")
+    if not (cuts[groups[1:] - 1] == base[1:]).all():
+        return None  # a word does not stand for itself here
+    edges_a, edges_b = np.searchsorted(ends_a, base, "right"), np.searchsorted(ends_b, base, "right")
     group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
     in_a, in_b = np.bincount(group_a, minlength=len(cuts)), np.bincount(group_b, minlength=len(cuts))
     first_a, first_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
     large = in_a * in_b > LARGE_GROUP
     times = np.where(large[group_a], 0, in_b[group_a])
-    pairs = (np.repeat(flat_a, times) << SHIFT) + flat_b[_spread(first_b[group_a], times)]
+    pairs = ((np.repeat(flat_a, times) << SHIFT) + flat_b[_spread(first_b[group_a], times)]).tolist()
     links = np.concatenate([[0], np.cumsum(times)])[edges_a].tolist()
-    groups = np.searchsorted(cuts, base).tolist()
-    groups = [g + (k > 0) for k, g in enumerate(groups)]
-    n_links = np.concatenate([[0], np.cumsum(in_a * in_b)])
+    n_links = np.concatenate([[0], np.cumsum(in_a * in_b)])[groups]
 
-    text_a, text_b, pairs = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist())), pairs.tolist()
+    text_a, text_b = list(map(str, ids_a)), list(map(str, ids_b))
     texts = [
         f"{text_a[i]}|{text_b[j]}" if n == m == 1 else f"{','.join(text_a[i : i + n])}|{','.join(text_b[j : j + m])}"
         for i, n, j, m in zip(first_a.tolist(), in_a.tolist(), first_b.tolist(), in_b.tolist())
     ]
-    n_a, n_b, n_links = np.diff(edges_a).tolist(), np.diff(edges_b).tolist(), np.diff(n_links[groups]).tolist()
-    for k, i in enumerate(good):
-        g, h = groups[k], groups[k + 1]
-        out[i] = (";".join(texts[g:h]), n_a[k], n_b[k], h - g, n_links[k], tuple(pairs[links[k] : links[k + 1]]), None)
+    numbers = np.stack([np.diff(edges_a), np.diff(edges_b), np.diff(groups), np.diff(n_links)], axis=1).tolist()
+    groups = groups.tolist()
+    out = [
+        (";".join(texts[groups[k] : groups[k + 1]]), *own, tuple(pairs[links[k] : links[k + 1]]), None)
+        for k, own in enumerate(numbers)
+    ]
     for g in np.flatnonzero(large).tolist():
         k = int(np.searchsorted(base, cuts[g])) - 1
-        *head, own, own_times = out[good[k]]
+        if k < 0:
+            continue  # the space before the first word
+        *head, own, own_times = out[k]
         more = _links(flat_a[group_a == g].tolist(), flat_b[group_b == g].tolist())
-        out[good[k]] = (*head, own + tuple(more), (own_times or (1,) * len(own)) + tuple(more.values()))
+        out[k] = (*head, own + tuple(more), (own_times or (1,) * len(own)) + tuple(more.values()))
     return out
 
 
@@ -252,20 +287,16 @@ def _known(words: list[str], tools: Tokenizers) -> list[tuple | None]:
     distinct = list(dict.fromkeys(chain.from_iterable(parts)))
     of_parts: list = []
     unseen = _remembered(distinct, of_parts)
-    for at in range(0, len(unseen), WORDS_AT_ONCE):
-        some = unseen[at : at + WORDS_AT_ONCE]
-        for i, known in zip(some, aligned_words([distinct[i] for i in some], tools)):
-            of_parts[i] = known
-            if len(distinct[i]) < LONGEST:
-                _young[distinct[i]] = known
+    for i, known in zip(unseen, aligned_words([distinct[i] for i in unseen], tools)):
+        of_parts[i] = known
+        if len(distinct[i]) < LONGEST:
+            _young[distinct[i]] = known
     by_part = dict(zip(distinct, of_parts))
     for i, own in zip(new, parts):
         if len(own) == 1:
             found[i] = by_part[own[0]]
         else:
-            found[i] = _composed([by_part[p] for p in own])
-            if len(words[i]) < LONGEST:
-                _young[words[i]] = found[i]
+            found[i] = _composed([by_part[p] for p in own])  # not remembered: most words with marks are rare
     if len(_young) > CACHE:
         _young, _old = {}, _young
     return found
@@ -308,10 +339,11 @@ def _aligned_run(split: list[list[str]], tools: Tokenizers) -> Iterator[tuple]:
     place = dict(zip(place, range(len(place))))
     edges = np.cumsum([0, *map(len, split)])
     ids = np.fromiter(map(place.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=int(edges[-1]))
-    lost = np.array([k is None for k in known], dtype=bool)
-    known = [k or _NOTHING for k in known]
+    lost = np.zeros(len(known), dtype=bool)
+    for i in [i for i, k in enumerate(known) if k is None]:
+        lost[i], known[i] = True, _NOTHING
     whole = np.diff(np.concatenate([[0], np.cumsum(lost[ids])])[edges]) == 0
-    numbers = np.array([k[1:5] for k in known], dtype=np.int64).reshape(-1, 4)
+    numbers = np.fromiter(chain.from_iterable(map(itemgetter(1, 2, 3, 4), known)), np.int64, 4 * len(known)).reshape(-1, 4)
     sums = np.vstack([np.zeros(4, dtype=np.int64), np.cumsum(numbers[ids], axis=0)])[edges]
     sums = (np.diff(sums, axis=0) * whole[:, None]).tolist()
 
@@ -325,7 +357,8 @@ def _aligned_run(split: list[list[str]], tools: Tokenizers) -> Iterator[tuple]:
     doc = np.repeat(np.arange(len(split)), np.diff(edges))
     key = (np.repeat(doc, sizes) << 2 * SHIFT) + pairs[where]
     order = np.argsort(key)
-    own, of = key[order] & ((1 << 2 * SHIFT) - 1), key[order] >> 2 * SHIFT
+    key = key[order]
+    own, of = key & ((1 << 2 * SHIFT) - 1), key >> 2 * SHIFT
     fresh = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (of[1:] != of[:-1])])) if len(own) else np.zeros(0, dtype=np.int64)
     total = np.add.reduceat(times[where][order], fresh) if len(own) else times
     own, of = own[fresh], of[fresh]
