@@ -1,5 +1,8 @@
 """The same queries in SQL, written from the definitions and run by another engine."""
 
+import re
+from itertools import combinations
+
 from checks.oracle_inputs import SNAPSHOT_DAY, band, band_rows, moved, snapshot_inputs, with_inputs
 
 CHURNED = "count(*) FILTER (WHERE is_churned)"
@@ -777,6 +780,53 @@ MODELS = {
         SELECT CAST("timestamp" AS DATE) AS date, count(DISTINCT user_id) AS dau FROM behavior GROUP BY 1"""),
 }
 
+MODELS["stream_first_actions"] = MODELS["stream_active_users"]
+MODELS["stream_new_alerts"] = MODELS["new_high_risk"]
+
+
+def _at_cutoffs():
+    """The SQL of one cutoff, its dates moved to each of three."""
+    inputs, body = MODELS["cutoff_features"]
+    parts = []
+    for cutoff, week, month in (
+        ("2024-01-09", "2024-01-02", "2023-12-10"),
+        ("2024-01-16", "2024-01-09", "2023-12-17"),
+        ("2024-01-31", "2024-01-24", "2024-01-01"),
+    ):
+        new = {"2024-01-16": cutoff, "2024-01-09": week, "2023-12-17": month}
+        moved_body = re.sub("|".join(new), lambda found: new[found[0]], body)
+        parts.append(f"SELECT DATE '{cutoff}' AS cutoff, * FROM ({moved_body})")
+    return inputs, " UNION ALL ".join(parts)
+
+
+def _slices():
+    people = """
+        people AS (
+            SELECT s.*, location, device_type, total_actions, e.features_adopted
+            FROM subscriptions s LEFT JOIN engagement e USING (user_id) LEFT JOIN modal_location USING (user_id)
+            LEFT JOIN modal_device USING (user_id))"""
+    dimensions = ("plan_type", "billing_cycle", "payment_method", "location", "device_type")
+    parts = []
+    for own in [*combinations(dimensions, 1), *combinations(dimensions, 2)]:
+        columns = ", ".join(c if c in own else f"NULL::VARCHAR AS {c}" for c in dimensions)
+        parts.append(f"""
+            SELECT {columns}, '{",".join(own)}' AS sliced_by, count(*) AS total_subscribers, {CHURNED} AS churned_count,
+                   {pct(CHURNED, 'count(*)')} AS churn_rate, {avg2('total_actions')} AS avg_actions_per_user,
+                   {avg2('features_adopted')} AS avg_features_adopted
+            FROM people GROUP BY {", ".join(own)}""")
+    return ["engagement", "modal_location", "modal_device", "subscriptions"], f"+ {people} {' UNION ALL '.join(parts)}"
+
+
+MODELS["features_at_cutoffs"] = _at_cutoffs()
+MODELS["churn_slices"] = _slices()
+MODELS["last_use_before_ticket"] = (["behavior"], """
+    SELECT t.user_id, t."timestamp", t.session_id, u.matched_time, u.last_feature_name, u.last_device_type
+    FROM behavior t LEFT JOIN LATERAL (
+        SELECT "timestamp" AS matched_time, feature_name AS last_feature_name, device_type AS last_device_type
+        FROM behavior b WHERE b.user_id = t.user_id AND b.action_type = 'feature_use' AND b."timestamp" <= t."timestamp"
+        ORDER BY 1 DESC, 2 DESC, 3 DESC LIMIT 1) u ON true
+    WHERE t.action_type = 'support_ticket'""")
+
 
 # Queries that are also run as of a day inside the data.
 SNAPSHOTS = (

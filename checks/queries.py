@@ -19,6 +19,7 @@ from subscope.operators import (
     features,
     journeys,
     kpis,
+    point_in_time,
     preprocessing,
     profiles,
     scoring,
@@ -248,6 +249,17 @@ def _cutoff(spark, sf_dir):
     return features.cutoff_features(D.behavior(spark, sf_dir), D.subscriptions(spark, sf_dir), CUTOFF)
 
 
+def _cutoffs(spark, sf_dir):
+    """Three cutoffs: the given one, a week before it, and the last day."""
+    days = spark.createDataFrame([("2024-01-09",), (CUTOFF,), (S.AS_OF,)], "cutoff string")
+    cutoffs = days.select(F.to_date("cutoff").alias("cutoff"))
+    return point_in_time.features_at_cutoffs(D.behavior(spark, sf_dir), D.subscriptions(spark, sf_dir), cutoffs)
+
+
+def _last_use(spark, sf_dir):
+    return point_in_time.preceding_action(D.behavior(spark, sf_dir), "support_ticket", "feature_use")
+
+
 def _stratified(spark, sf_dir):
     subs = D.subscriptions(spark, sf_dir).select("user_id", "plan_type", "is_churned")
     return features.stratified_sample(subs, "is_churned", {True: 1.0, False: 0.25})
@@ -517,6 +529,26 @@ def _stream_alerts(spark, sf_dir):
     return spark.read.parquet(f"{base}/table").drop("prediction_timestamp")
 
 
+def _stream_new_alerts(spark, sf_dir):
+    """Users that enter the high tier, from two snapshots of the scores that arrive as files one after the other."""
+    base, now = shared_dir(spark, "new-alerts"), _scores(spark, sf_dir)
+    lower = F.col("churn_probability") - 0.2
+    tier = scoring.risk_tier(F.when(lower >= 0.5, 1.0).otherwise(0.0), lower)
+    columns = ["user_id", "churn_probability", "churn_risk"]
+    for number, part in enumerate((now.withColumns({"churn_risk": tier, "churn_probability": lower}), now, now)):
+        part.select(columns).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(part.select(columns).schema).parquet(f"{base}/in")
+        alerts.run_alerts_on_change(stream, f"{base}/out", f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out/alerts").where("batch > 0").select(columns)
+
+
+def _stream_first_actions(spark, sf_dir):
+    stream = activity.behavior_stream(spark, sf_dir, "events.parquet")
+    base = shared_dir(spark, "first-actions")
+    path = activity.run_append(activity.first_actions_of_day(stream), f"{base}/table", f"{base}/checkpoint")
+    return activity.daily_active_users(spark.read.parquet(path))
+
+
 def _snapshots():
     """Operators that take a date, as of a day inside the data: what happened later must not show."""
     behavior, subs, scores = _behavior, D.subscriptions, _scores
@@ -652,6 +684,7 @@ def queries():
         "prediction_outcomes": _on(dashboards.prediction_outcomes, scores, subs),
         "geographic_churn": _on(dashboards.geographic_churn, behavior, _engagement, subs),
         "device_churn": _on(dashboards.device_churn, behavior, _engagement, subs),
+        "churn_slices": _on(dashboards.churn_slices, behavior, _engagement, subs),
         "monthly_churn_trend": _on(kpis.monthly_churn_trend, subs),
         "churn_by_end_month": _on(kpis.churn_by_end_month, subs),
         "weekly_engagement_trend": _on(kpis.weekly_engagement_trend, behavior),
@@ -676,6 +709,8 @@ def queries():
         "robust_stats": _rounded(_on(distributions.robust_stats, views), 4, "p25", "median", "p75", "iqr"),
         "cap_outliers": _rounded(_on(distributions.cap_outliers, views), 4, "capped_view_count"),
         "cutoff_features": _rounded(_cutoff, 6, "avg_session_duration", "stddev_session_duration"),
+        "features_at_cutoffs": _rounded(_cutoffs, 6, "avg_session_duration", "stddev_session_duration"),
+        "last_use_before_ticket": _last_use,
         "time_series_folds": _fold_sizes,
         "time_series_windows": _fold_windows,
         "time_series_auc": _rounded(_fold_auc, 6, "roc_auc", "pr_auc"),
@@ -702,5 +737,7 @@ def queries():
         # streams
         "stream_daily_actions": _stream_actions,
         "stream_active_users": _stream_users,
+        "stream_first_actions": _stream_first_actions,
+        "stream_new_alerts": _stream_new_alerts,
         "stream_risk_alerts": _stream_alerts,
     } | _snapshots()

@@ -1,5 +1,7 @@
 """Tables behind the business dashboard."""
 
+from itertools import combinations
+
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -406,3 +408,31 @@ def insight_ratios(behavior, features, subs):
             rows_from(by_device, names, [(F.lit("Mean duration ratio of mobile to desktop"), F.col("device"))])
         )
     )
+
+
+SLICED = ("plan_type", "billing_cycle", "payment_method", "location", "device_type")
+
+
+def churn_slices(behavior, features, subs, dimensions=SLICED):
+    """Churn and averages by each of the dimensions and each pair of them, in one aggregate.
+
+    ``sliced_by`` names the dimensions of a row; the others are NULL in it, as is a value that is not known. Location and
+    device are each user's most frequent ones. Users without actions count, with averages over those who have some.
+    Grouping sets copy one row per user, not the actions, and the copies shrink before they move.
+    """
+    people = subs.select("user_id", "is_churned", *[c for c in dimensions if c in subs.columns])
+    people = people.join(features.select("user_id", "total_actions", "features_adopted"), "user_id", "left")
+    for column in dimensions:
+        if column not in subs.columns:
+            people = people.join(modal_value(behavior, column), "user_id", "left")
+    sets = [[c] for c in dimensions] + [list(pair) for pair in combinations(dimensions, 2)]
+    # A bit of the grouping id is 1 where its column is aggregated away.
+    names = [F.when(F.grouping(c) == 0, c) for c in dimensions]
+    return people.groupingSets([[F.col(c) for c in own] for own in sets], *dimensions).agg(
+        F.concat_ws(",", *names).alias("sliced_by"),
+        F.count("*").alias("total_subscribers"),
+        churned_count().alias("churned_count"),
+        churn_rate().alias("churn_rate"),
+        rounded_avg("total_actions").alias("avg_actions_per_user"),
+        rounded_avg("features_adopted").alias("avg_features_adopted"),
+    )

@@ -22,15 +22,57 @@ def read_layer(spark, path=None, table=None):
     return spark.table(table) if table else spark.read.parquet(path)
 
 
+#: Rows from which the quantiles of the columns are taken, and bits per column.
+RANK_SAMPLE = 20_000
+RANK_BITS = 6
+
+
+def _cuts(df, columns):
+    """Per column up to 2**RANK_BITS - 1 quantiles of a sample of bounded size, the rows with the smallest hash."""
+    sample = df.select(*columns).orderBy(F.xxhash64(*df.columns)).limit(RANK_SAMPLE).collect()
+    found = {}
+    for name in columns:
+        values = sorted(row[name] for row in sample if row[name] is not None)
+        steps = 1 << RANK_BITS
+        found[name] = sorted({values[len(values) * i // steps] for i in range(1, steps)}) if values else []
+    return found
+
+
+def interleaved_rank(df, columns):
+    """A place on a Z-order curve: bits come from the columns in turn, highest first, so near values stay near.
+
+    The bits are read as a Gray code, so that from one cell to the next only one column moves, and a file that ends
+    within a cell widens in one column only.
+    A column counts by its place among its quantiles, so that its distribution and type do not matter; NULL is lowest.
+    """
+
+    def rank(name, cuts):
+        reached = F.filter(F.array(*[F.lit(cut) for cut in cuts]), lambda cut: cut <= F.col(name))
+        return F.size(reached).cast("long") if cuts else F.lit(0).cast("long")
+
+    ranks = [rank(name, cuts) for name, cuts in _cuts(df, columns).items()]
+    key = F.lit(0).cast("long")
+    for bit in range(RANK_BITS):
+        for place, rank in enumerate(reversed(ranks)):
+            key = key + F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1)), bit * len(ranks) + place)
+    step = 1
+    while step < RANK_BITS * len(ranks):
+        key = key.bitwiseXOR(F.shiftright(key, step))
+        step *= 2
+    return key
+
+
 def clustered_rewrite(df, path, columns, files=None):
-    """Rewrite sorted by ``columns``, so that the min/max statistics of files and row groups can skip data.
+    """Rewrite along a Z-order curve of ``columns``, so that the statistics of files and row groups skip data by each.
 
-    A hash of the row is the last range key: it spreads rows of one hot key combination over several files.
+    A plain sort helps filters on its first column only. The range key interleaves the bits of the columns' quantile
+    ranks; within a file, rows are sorted by it and then by the columns. A hash of the row is the last range key: it
+    spreads rows of one hot combination over several files.
     """
-    spread = F.xxhash64(*df.columns)
-    keys = [F.col(name) for name in columns] + [spread]
-    ranged = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
-    ranged.sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)
+    keyed = df.withColumn("_z", interleaved_rank(df, columns))
+    keys = [F.col("_z"), F.xxhash64(*df.columns)]
+    ranged = keyed.repartitionByRange(files, *keys) if files else keyed.repartitionByRange(*keys)
+    ranged.sortWithinPartitions("_z", *columns).drop("_z").write.mode("overwrite").parquet(path)
     return path
 
 

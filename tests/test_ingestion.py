@@ -83,6 +83,36 @@ def test_clustered_rewrite_splits_a_hot_key_and_skips_files(spark, tmp_path):
     assert read.where("project = 'p049'").select(F.input_file_name()).distinct().count() <= 2
 
 
+def test_clustered_rewrite_skips_files_by_each_column(spark, tmp_path):
+    """By the statistics of the files, a filter on any one column touches two fifths of 64 files at most, on average."""
+    mixed = F.xxhash64("id")
+    df = spark.range(64_000).select(
+        F.format_string("p%02d", F.pmod(mixed, F.lit(40))).alias("project"),
+        F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1000)).cast("int").alias("views"),
+        F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.xxhash64("id", F.lit(2)), F.lit(300)).cast("int")).alias("day"),
+        F.when(F.col("id") % 7 > 0, F.col("id")).alias("note"),
+    )
+    path = str(tmp_path / "clustered")
+    layers.clustered_rewrite(df, path, ["project", "views", "day"], files=64)
+    read = spark.read.parquet(path)
+    assert read.exceptAll(df).count() == df.exceptAll(read).count() == 0
+    sizes = read.groupBy(F.input_file_name().alias("f")).agg(
+        *[f(c).alias(f"{c}_{n}") for c in ("project", "views", "day") for n, f in (("low", F.min), ("high", F.max))]
+    ).collect()
+    for column in ("project", "views", "day"):
+        values = [row[0] for row in df.select(column).distinct().collect()]
+        touched = sum(row[f"{column}_low"] <= value <= row[f"{column}_high"] for row in sizes for value in values)
+        assert touched <= 0.4 * len(sizes) * len(values), column
+
+
+def test_clustered_rewrite_of_nulls_and_no_rows(spark, tmp_path):
+    df = spark.createDataFrame([(None, 1), ("a", None), (None, None)] * 5, "project string, views int")
+    for number, rows in enumerate((df, df.limit(0))):
+        path = str(tmp_path / f"c{number}")
+        layers.clustered_rewrite(rows, path, ["project", "views"])
+        assert spark.read.schema(df.schema).parquet(path).count() == rows.count()
+
+
 def test_table_stats(spark, tmp_path):
     layers.write_layer(spark.range(7), str(tmp_path / "t"), table="stats_table")
     got = layers.collect_table_stats(spark, "stats_table", ["id"]).first()
