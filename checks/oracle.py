@@ -817,6 +817,25 @@ def _slices():
     return ["engagement", "modal_location", "modal_device", "subscriptions"], f"+ {people} {' UNION ALL '.join(parts)}"
 
 
+MODELS["compare_fixed_scores"] = (["labelled_scores"], f"""
+    + models AS (
+        SELECT 'given' AS model_name, p, y, prediction FROM labelled_scores
+        UNION ALL SELECT 'reversed', 1 - p, y, 1 - prediction FROM labelled_scores
+        UNION ALL SELECT 'coarse', floor(p * 4) / 4, y, prediction FROM labelled_scores),
+    {auc('SELECT model_name, p, y FROM models', 'model_name')},
+    cells AS (
+        SELECT model_name, count(*) AS c, sum(y) AS pos, sum(prediction) AS said, sum(prediction * y) AS tp
+        FROM models GROUP BY 1),
+    metrics AS (
+        SELECT model_name, roc, pr, (tp + c - pos - said + tp) / c AS accuracy,
+               (pos * coalesce(tp / nullif(said, 0), 0)
+                 + (c - pos) * coalesce((c - pos - said + tp) / nullif(c - said, 0), 0)) / c AS prec
+        FROM areas JOIN cells USING (model_name))
+    SELECT model_name, round(roc, 4) AS roc_auc, round(pr, 4) AS pr_auc, round(accuracy, 4) AS accuracy,
+           round(prec, 4) AS precision, round(accuracy, 4) AS recall,
+           CASE WHEN roc = max(roc) OVER () THEN 'Best ROC-AUC' ELSE '' END AS best_roc_auc,
+           CASE WHEN pr = max(pr) OVER () THEN 'Best PR-AUC' ELSE '' END AS best_pr_auc
+    FROM metrics""")
 MODELS["features_at_cutoffs"] = _at_cutoffs()
 MODELS["churn_slices"] = _slices()
 MODELS["last_use_before_ticket"] = (["behavior"], """

@@ -379,6 +379,19 @@ def _evaluate(spark, sf_dir):
     return classifiers.evaluate_models({name: _predicted(name)(spark, sf_dir) for name in TRAINERS})
 
 
+def _compared_scores(spark, sf_dir):
+    """The comparison of three fixed sets of scores: as given, reversed, and coarse."""
+    given = _labelled_scores(spark, sf_dir)
+    p, said = F.col("churn_probability"), F.col("prediction")
+    compared = {
+        "given": given,
+        "reversed": given.withColumns({"churn_probability": 1 - p, "prediction": 1 - said}),
+        "coarse": given.withColumn("churn_probability", F.floor(p * 4) / 4),
+    }
+    scored = {name: df.withColumn("label", F.col("is_churned").cast("double")) for name, df in compared.items()}
+    return evaluation.compare_models(classifiers.evaluate_models(scored))
+
+
 def _tuned(spark, sf_dir):
     def build():
         cores = spark.sparkContext.defaultParallelism
@@ -658,6 +671,7 @@ def queries():
             *METRICS,
         ),
         "compare_models": _on(evaluation.compare_models, _evaluate),
+        "compare_fixed_scores": _compared_scores,
         "tune_random_forest": _tuning_results,
         "tuning_improvement": _improvement,
         "feature_importance": lambda spark, sf_dir: _importance(spark, sf_dir).limit(20),
