@@ -223,6 +223,25 @@ def _linked(held: Held, pairs: DataFrame, sets: DataFrame, roots: DataFrame) ->
         pairs = pairs.join(chosen, ["a", "b"], "left_anti").select("a", "b", "votes")
 
 
+def _with_partner(probes: DataFrame) -> DataFrame:
+    """The probes that may have a partner in another component: one no larger than they reach, and one that reaches them.
+
+    The two components with the smallest members at a shingle, and the two that reach farthest, tell this for all.
+    """
+    each = probes.groupBy("s", "root").agg(F.min("n").alias("low"), F.max("largest").alias("reach"))
+    smallest = F.min(F.struct("low", "root")).alias("smallest")
+    farthest = F.max(F.struct("reach", "root")).alias("farthest")
+    first = each.groupBy("s").agg(F.count("*").alias("roots"), smallest, farthest).where("roots > 1")
+    second = each.join(first.select("s", "smallest", "farthest"), "s").groupBy("s").agg(
+        F.min(F.when(F.col("root") != F.col("smallest.root"), F.col("low"))).alias("next_low"),
+        F.max(F.when(F.col("root") != F.col("farthest.root"), F.col("reach"))).alias("next_reach"),
+    )
+    known = first.join(second, "s").select("s", "smallest", "farthest", "next_low", "next_reach")
+    low = F.when(F.col("root") == F.col("smallest.root"), F.col("next_low")).otherwise(F.col("smallest.low"))
+    reach = F.when(F.col("root") == F.col("farthest.root"), F.col("next_reach")).otherwise(F.col("farthest.reach"))
+    return probes.join(known, "s").where((low <= F.col("largest")) & (F.col("n") <= reach)).select(*probes.columns)
+
+
 def _rare_shingle_pairs(held: Held, sets: DataFrame, roots: DataFrame) -> DataFrame:
     """Every pair (a, b, votes) of these sets that may be alike and is not connected yet.
 
@@ -248,18 +267,29 @@ def _rare_shingle_pairs(held: Held, sets: DataFrame, roots: DataFrame) -> DataFr
     probes = probes.join(rooted, "id", "left").select(
         "id", "n", place, "index", F.col("col.s").alias("s"), F.coalesce("root", "id").alias("root")
     )
-    probes = held.table(probes)
+    # What follows a place must hold what a partner needs, so later places meet smaller partners only: at most this size.
+    largest = F.floor((F.col("n") - F.col("place")) * (100 + SIMILARITY) / SIMILARITY) - F.col("n")
+    probes = held.table(probes.withColumn("largest", largest))
+    probes = held.table(_with_partner(probes))
     parts = probes.select("s", "root").distinct()
     # Shingles that occur in the same components bring forth the same pairs: they count as one, at the first place.
     total = F.sum(F.xxhash64("root").cast("decimal(20,0)")).alias("sum")
     lists = parts.groupBy("s").agg(F.count("*").alias("k"), total).where("k > 1")
-    merged = probes.join(lists, "s").groupBy(F.xxhash64("k", "sum").alias("s"), "id", "n", "root", "index").agg(F.min("place").alias("place"))
+    merged = probes.join(lists, "s").groupBy(F.xxhash64("k", "sum").alias("s"), "id", "n", "root", "index").agg(
+        F.min("place").alias("place"), F.max("largest").alias("largest")
+    )
     merged = held.table(merged)
-    parts = held.table(merged.groupBy("s", "root").agg(F.count("*").alias("m")))
-    few = parts.select("s", F.col("root").alias("few"), F.col("m").alias("m_few"))
-    many = parts.select("s", F.col("root").alias("many"), F.col("m").alias("m_many"))
-    # The component with fewer members at a shingle is expanded first.
-    sides = few.join(many, ["s"]).where("few <> many AND (m_few < m_many OR (m_few = m_many AND few < many))")
+    bounds = F.min("n").alias("low"), F.max("n").alias("high"), F.max("largest").alias("reach")
+    parts = held.table(merged.groupBy("s", "root").agg(F.count("*").alias("m"), *bounds))
+    few, many = (
+        parts.select("s", F.col("root").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("m", "low", "high", "reach")])
+        for side in ("few", "many")
+    )
+    # The component with fewer members at a shingle is expanded first; sizes that cannot be alike do not meet.
+    sides = few.join(many, ["s"]).where(
+        "few <> many AND (m_few < m_many OR (m_few = m_many AND few < many)) AND low_few <= reach_many AND low_many <= reach_few"
+        f" AND 100 * high_few >= {SIMILARITY} * low_many AND 100 * high_many >= {SIMILARITY} * low_few"
+    )
     one = merged.select("s", F.col("root").alias("few"), F.struct("id", "n", "place", "index").alias("x"))
     two = merged.select("s", F.col("root").alias("many"), F.struct("id", "n", "place", "index").alias("y"))
     met = sides.select("s", "few", "many").join(one, ["s", "few"]).join(two, ["s", "many"])
