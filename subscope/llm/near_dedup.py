@@ -3,7 +3,8 @@
 Each distinct shingle set has a signature of TREES * DEPTH minima. Every tree orders all sets by its own DEPTH minima;
 sets that share a long prefix stand side by side there. The candidates of a set are its WINDOW next sets in each
 order, as far as they share MIN_DEPTH minima. In a sparse region that is every set with that prefix; in a dense one
-the window reaches only those with longer common prefixes, so the depth follows the region. Where a window ends
+the window reaches only those with longer common prefixes, so the depth follows the region. A sketch of a few bits of
+every minimum travels with the prefixes, so that a candidate whose minima agree too seldom goes no further. Where a window ends
 inside a region, the sets on both sides were cut off from the rest of it. Sets cut in CUT_TREES orders or more go
 through an exact search on their rarest shingles, which finds every similar pair among them that the windows left out.
 
@@ -32,6 +33,10 @@ WINDOW = 8
 #: A pair at the threshold shares MIN_DEPTH minima in 9 orders on average, and in fewer than CUT_TREES with probability
 #: 0.0004; the windows can lose it only if they cut it off in each of those.
 CUT_TREES = 3
+#: Bits of a minimum in the sketch, and how many of the minima must agree in them. At the threshold 98 of 128 do on
+#: average, and fewer than LEAST_AGREED with probability 2e-8.
+SKETCH_BITS = 4
+LEAST_AGREED = 67
 #: Sets are alike if 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 75
 
@@ -39,35 +44,48 @@ _seeds = mix(np.arange(1, 2 * TREES * DEPTH + 1, dtype=np.uint64))
 _MULTIPLY = (_seeds[: TREES * DEPTH] | np.uint64(1)).astype(np.uint32)
 _FLIP = (_seeds[TREES * DEPTH :] >> np.uint64(32)).astype(np.uint32)
 
-SIGNED = "doc_id long, n long, d1 long, d2 long, signature binary"
+SIGNED = "doc_id long, n long, d1 long, d2 long, signature binary, sketch binary"
 SETS = "doc_id long, shingles array<long>"
-TREE = "tree int, prefix binary, id long, n long, root long"
-PAIRS = "a long, b long, tree int, common int, cut boolean"
+TREE = "tree int, prefix binary, id long, n long, root long, sketch binary"
+PAIRS = "a long, b long, root_a long, root_b long, tree int, common int, cut boolean"
 
 
-def _signature(shingles: np.ndarray) -> bytes:
-    """All minima, big-endian, so that the order of the bytes is the order of the numbers."""
+def _signature(shingles: np.ndarray) -> tuple[bytes, bytes]:
+    """All minima, big-endian, so that the order of the bytes is the order of the numbers; and their sketch."""
     halves = (shingles >> np.uint64(32)).astype(np.uint32)
     least = np.full(TREES * DEPTH, 0xFFFFFFFF, dtype=np.uint32)
     for at in range(0, len(halves), 4096):
         np.minimum(least, ((halves[at : at + 4096, None] ^ _FLIP) * _MULTIPLY).min(axis=0), out=least)
-    return least.astype(">u4").tobytes()
+    # Small minima have the same high bits: they are multiplied first.
+    bits = ((least * np.uint32(0x9E3779B1)) >> np.uint32(32 - SKETCH_BITS)).astype(np.uint8)
+    return least.astype(">u4").tobytes(), (bits[0::2] << SKETCH_BITS | bits[1::2]).tobytes()
+
+
+def _agreed(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """In how many minima the sketches agree, row by row."""
+    differ = one ^ two
+    differ |= differ >> np.uint64(1)
+    differ |= differ >> np.uint64(2)
+    differ &= np.uint64(0x1111111111111111)
+    return TREES * DEPTH - np.bitwise_count(differ).sum(axis=1, dtype=np.int64)
 
 
 def _sign(batches):
     for batch in batches:
         ids, texts = batch.column(0), batch.column(1)
         for at, to, data, offsets in chunks(texts):
-            n, d1, d2, signatures = [], [], [], []
+            n, d1, d2, signatures, sketches = [], [], [], [], []
             for shingles in Words(data, offsets).shingles():
                 n.append(len(shingles))
                 d1.append(int(mix(shingles).sum().astype(np.int64)))
                 d2.append(int(np.bitwise_xor.reduce(mix(shingles ^ np.uint64(0x5BD1E995))).astype(np.int64)))
-                signatures.append(_signature(shingles) if len(shingles) else None)
+                signature, sketch = _signature(shingles) if len(shingles) else (None, None)
+                signatures.append(signature)
+                sketches.append(sketch)
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(at, to - at), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
-                 pa.array(signatures, pa.binary())],
-                names=["doc_id", "n", "d1", "d2", "signature"],
+                 pa.array(signatures, pa.binary()), pa.array(sketches, pa.binary())],
+                names=["doc_id", "n", "d1", "d2", "signature", "sketch"],
             )
 
 
@@ -84,13 +102,13 @@ def _sets(batches):
 def _plant(batches):
     width = 4 * DEPTH
     for batch in batches:
-        ids, sizes, roots, signatures = (batch.column(i) for i in range(4))
+        ids, sizes, roots, sketches, signatures = (batch.column(i) for i in range(5))
         signatures = signatures.to_pylist()
         for tree in range(TREES):
             prefixes = [s[tree * width : (tree + 1) * width] for s in signatures]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(ids), tree, dtype=np.int32)), pa.array(prefixes, pa.binary()), ids, sizes, roots],
-                names=["tree", "prefix", "id", "n", "root"],
+                [pa.array(np.full(len(ids), tree, dtype=np.int32)), pa.array(prefixes, pa.binary()), ids, sizes, roots, sketches],
+                names=["tree", "prefix", "id", "n", "root", "sketch"],
             )
 
 
@@ -119,16 +137,20 @@ def _border(rows):
     none = pa.nulls(len(rows), pa.int64())
     tree = rows.column("tree").combine_chunks()
     return pa.RecordBatch.from_arrays(
-        [rows.column("id").combine_chunks(), none, tree, pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.bool_())],
-        names=["a", "b", "tree", "common", "cut"],
+        [rows.column("id").combine_chunks(), none, none, none, tree, pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.bool_())],
+        names=["a", "b", "root_a", "root_b", "tree", "common", "cut"],
     )
 
 
 def _sweep(rows, fresh, window):
-    """Pairs at most `window` apart with a row from `fresh` on and different roots. cut: the window ended in a region."""
+    """Pairs at most `window` apart with a row from `fresh` on, different roots and sketches that agree often enough.
+
+    cut: the window ended in a region.
+    """
     tree = rows.column("tree").to_numpy()
     ids, sizes, roots = (rows.column(c).to_numpy() for c in ("id", "n", "root"))
     prefix = np.frombuffer(b"".join(rows.column("prefix").to_pylist()), dtype=">u4").reshape(-1, DEPTH)
+    sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), dtype=np.uint64).reshape(len(ids), -1)
     for apart in range(1, window + 1):
         low = max(0, fresh - apart)
         if len(ids) - apart <= low:
@@ -138,25 +160,28 @@ def _sweep(rows, fresh, window):
         near = (common >= MIN_DEPTH) & (tree[one] == tree[two]) & (ids[one] != ids[two])
         small, large = np.minimum(sizes[one], sizes[two]), np.maximum(sizes[one], sizes[two])
         possible = near & (roots[one] != roots[two]) & (100 * small >= SIMILARITY * large)
+        likely = np.flatnonzero(possible)
+        possible[likely] = _agreed(sketch[one][likely], sketch[two][likely]) >= LEAST_AGREED
         cut = near if apart == window else np.zeros(len(near), dtype=bool)
         chosen = np.flatnonzero(possible | cut)
         a, b = ids[one][chosen], ids[two][chosen]
+        root_a, root_b = roots[one][chosen], roots[two][chosen]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(tree[one][chosen]),
-             pa.array(np.where(possible, common, 0)[chosen].astype(np.int32)), pa.array(cut[chosen])],
-            names=["a", "b", "tree", "common", "cut"],
+            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(np.minimum(root_a, root_b)),
+             pa.array(np.maximum(root_a, root_b)), pa.array(tree[one][chosen]), pa.array(np.where(possible, common, 0)[chosen].astype(np.int32)), pa.array(cut[chosen])],
+            names=["a", "b", "root_a", "root_b", "tree", "common", "cut"],
         )
 
 
 def forest_pairs(held: Held, classes: DataFrame, window: int, trees: int = TREES) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Candidate pairs (a, b, votes) of different roots from the first `trees` orders, the sets (id) cut off in CUT_TREES orders, and all sets with
-    a neighbour that shares MIN_DEPTH minima.
+    """Candidate pairs (a, b, votes, root_a, root_b) of different roots from the first `trees` orders, the sets (id) cut off
+    in CUT_TREES orders, and all sets with a neighbour that shares MIN_DEPTH minima.
 
-    `classes` has id, n, root and signature. The orders are range partitions, so a region of any size is spread over
+    `classes` has id, n, root, signature and sketch. The orders are range partitions, so a region of any size is spread over
     tasks. The first and last rows of every partition, `window` of each, are swept again together; their number
     follows the number of partitions.
     """
-    columns = ["id", "n", "root"]
+    columns = ["id", "n", "root", "sketch"]
     order = ["tree", "prefix", "id"]
     planted = classes.select(*columns, "signature").mapInArrow(_plant, TREE)
     ordered = planted.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -169,7 +194,8 @@ def forest_pairs(held: Held, classes: DataFrame, window: int, trees: int = TREES
     held.drop(swept)
     cut = every.where("cut").select(F.explode(F.array("a", "b")).alias("id"), F.expr("shiftleft(1, tree)").alias("bit"))
     cut = cut.groupBy("id").agg(F.bit_or("bit").alias("trees")).where(F.bit_count("trees") >= CUT_TREES).select("id")
-    pairs = every.where(f"common > 0 AND tree < {trees}").groupBy("a", "b").agg(F.sum("common").alias("votes"))
+    pairs = every.where(f"common > 0 AND tree < {trees}").groupBy("a", "b", "root_a", "root_b")
+    pairs = pairs.agg(F.sum("common").alias("votes"))
     return pairs, cut, every.select(F.explode(F.array("a", "b")).alias("id")).distinct()
 
 
@@ -201,26 +227,28 @@ def _connect(held: Held, roots: DataFrame, links: DataFrame) -> DataFrame:
 def _linked(held: Held, pairs: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
     """The components (node, root) after every pair was confirmed whose ends nothing else connects.
 
-    A round takes one pair between every two components. When rounds no longer halve what is left, most of it are
-    pairs that are not alike, and all are confirmed at once.
+    `pairs` have the components of both ends. A round takes one pair between every two components. When few of them are
+    alike, or rounds no longer halve what is left, hardly any pair gets connected by others, and all are confirmed at once.
     """
     before = None
     while True:
-        pairs = held.table(_apart(pairs, roots))
+        pairs = held.table(pairs)
         left = pairs.count()
         if not left:
             return roots
-        rest = before is not None and 2 * left > before
-        chosen = pairs.select("a", "b")
-        if not rest:
-            best = F.max(F.struct("votes", F.col("a").alias("a"), F.col("b").alias("b"))).alias("p")
-            chosen = held.table(pairs.groupBy("root_a", "root_b").agg(best).select("p.a", "p.b"))
+        best = F.max(F.struct("votes", F.col("a").alias("a"), F.col("b").alias("b"))).alias("p")
+        slow = before is not None and 2 * left > before
+        chosen = pairs.select("a", "b") if slow else pairs.groupBy("root_a", "root_b").agg(best).select("p.a", "p.b")
+        chosen = held.table(chosen)
         links = held.table(_confirmed(chosen, sets))
         roots = _connect(held, roots, links)
-        if rest:
+        if slow:
             return roots
+        others = pairs.join(chosen, ["a", "b"], "left_anti")
+        if 10 * links.count() < chosen.count():
+            return _connect(held, roots, held.table(_confirmed(others, sets)))
         before = left
-        pairs = pairs.join(chosen, ["a", "b"], "left_anti").select("a", "b", "votes")
+        pairs = _apart(others.select("a", "b", "votes"), roots)
 
 
 def _with_partner(probes: DataFrame) -> DataFrame:
@@ -316,7 +344,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signed = held.table(texts.mapInArrow(_sign, SIGNED))
     digest = ["n", "d1", "d2"]
     classes = signed.where("n > 0")
-    classes = held.table(classes.groupBy(*digest).agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature")))
+    classes = held.table(classes.groupBy(*digest).agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("signature", "sketch")]))
     # The direct neighbours in a few orders first: what they connect needs no wider window.
     near, _, touched = forest_pairs(held, classes.withColumn("root", F.col("id")), 1, FIRST_TREES)
     near = held.table(near)
@@ -324,13 +352,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     wanted = held.table(touched.withColumnRenamed("id", "doc_id"))
     sets = held.table(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, SETS))
     roots = components(spark, held, held.table(_confirmed(best, sets)))
-    roots = _linked(held, near.join(best, ["a", "b"], "left_anti"), sets, roots)
+    others = near.join(best, ["a", "b"], "left_anti").select("a", "b", "votes")
+    roots = _linked(held, _apart(others, roots), sets, roots)
 
     rooted = classes.join(roots, classes.id == roots.node, "left").withColumn("root", F.coalesce("root", "id"))
     pairs, cut, _ = forest_pairs(held, rooted, WINDOW)
-    roots = _linked(held, held.table(pairs), sets, roots)
+    roots = _linked(held, pairs, sets, roots)
     dense = sets.join(cut, sets.doc_id == cut.id, "left_semi")
-    roots = _linked(held, _rare_shingle_pairs(held, dense, roots), sets, roots)
+    roots = _linked(held, _apart(_rare_shingle_pairs(held, dense, roots), roots), sets, roots)
 
     lowest = classes.join(roots, classes.id == roots.node, "left").select(*digest, F.coalesce("root", "id").alias("root"))
     joined = signed.select("doc_id", *digest).join(lowest, digest, "left")

@@ -1,6 +1,7 @@
 import random
 
 import brute
+import numpy as np
 import pytest
 
 from subscope.llm import components, near_dedup
@@ -54,6 +55,40 @@ def test_shared_boilerplate_cuts_windows_but_no_links(make_docs, sentence, monke
     assert result(near_dedup.near_duplicates(make_docs(rows))) == brute.near_duplicates(dict(rows))
 
 
+def test_a_third_of_all_rows_is_nearly_alike(spark, make_docs, sentence, monkeypatch):
+    """Rows alike by 0.6 to 0.7, no two of them linked: the candidates and all joins on them follow the number of sets."""
+    rng = random.Random(11)
+    common = sentence(rng, 120).split(" ")
+    rows = [(i, sentence(rng, 60)) for i in range(200)]
+    for i in range(100):
+        words = list(common)
+        for at in rng.sample(range(0, 120, 5), 4):
+            words[at] = sentence(rng, 1) + "x"
+        rows.append((1000 + i, " ".join(words)))
+    sizes = []
+    for name in ("_apart", "_confirmed"):
+        plain = getattr(near_dedup, name)
+
+        def counted(pairs, other, plain=plain):
+            sizes.append(pairs.count())
+            return plain(pairs, other)
+
+        monkeypatch.setattr(near_dedup, name, counted)
+    assert result(near_dedup.near_duplicates(make_docs(rows))) == brute.near_duplicates(dict(rows))
+    assert max(sizes) <= near_dedup.WINDOW * near_dedup.TREES * 100
+
+
+@pytest.mark.parametrize("shared, own", [(3, 1), (30, 10), (300, 100)])
+def test_sketches_of_alike_sets_agree(shared, own):
+    """A quarter of the union is in one of the two sets only: the threshold itself."""
+    rng = np.random.default_rng(shared)
+    for _ in range(300):
+        union = rng.integers(0, 2**64, shared + own, dtype=np.uint64)
+        one, two = union[: shared + own // 2], np.concatenate([union[:shared], union[shared + own // 2 :]])
+        sketches = [np.frombuffer(near_dedup._signature(x)[1], dtype=np.uint64).reshape(1, -1) for x in (one, two)]
+        assert near_dedup._agreed(*sketches)[0] >= near_dedup.LEAST_AGREED
+
+
 def test_query_as_brute_force(spark, sf_dir):
     from subscope.llm import queries
 
