@@ -2,13 +2,13 @@
 
 Every partition packs its pieces by best-fit decreasing. Dual feasible functions give a lower bound of the sequences
 that its pieces need; a partition that reaches its bound is final. In the others full sequences are final, and
-the pieces of the rest are exchanged: they meet in fewer, larger partitions and are packed again, until all of them
-fit into one partition or reach their bound.
+the pieces of the rest are exchanged: dealt anew into as many partitions as their number asks for, they are packed again,
+until all of them fit into one partition, reach their bound, or exchanges save next to nothing. Then only the sequences
+filled to at most half, of which best fit leaves one in a partition, are brought together.
 """
 
 from __future__ import annotations
 
-import os
 import os
 import re
 import zlib
@@ -28,13 +28,13 @@ END = 1
 #: Most distinct chunks of text whose ids a Python worker remembers, and the longest of them.
 REMEMBERED = 1_000_000
 REMEMBERED_LENGTH = 40
-#: Pieces that one task packs at a time, about.
+#: Pieces that one task packs at a time, about, at every level of the exchange.
 PIECES = 100_000
-#: The exchange between partitions merges so many into one.
-MERGED = 16
+#: An exchange that saves no more than one sequence in so many partitions is the last one.
+PARTITIONS_PER_SAVED = 10
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
-PACKED = PIECE + ", sequence long, offset long, final boolean"
+PACKED = PIECE + ", sequence long, offset long, final boolean, filled long"
 
 
 @lru_cache(maxsize=1)
@@ -166,7 +166,8 @@ def _pack(level: int):
         certified = opened == lower_bound(lengths)
         final = (filled[sequence] == CAPACITY) | certified
         number = (np.int64(level) << 56) + (np.int64(part) << 32) + sequence
-        for name, values in (("sequence", number), ("offset", offset), ("final", final)):
+        inside = filled[sequence].astype(np.int64)
+        for name, values in (("sequence", number), ("offset", offset), ("final", final), ("filled", inside)):
             table = table.append_column(name, pa.array(values))
         yield from table.to_batches()
 
@@ -183,26 +184,36 @@ def packed(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id and offset.
 
     `docs` needs doc_id and text; other columns are ignored. Null and empty texts are one piece with the end id alone.
-    Repeated rows are packed each for itself. An empty table gives no rows. Every task packs about PIECES pieces; a
-    certified partition is final, the others pass on the pieces of their sequences with free space.
+    Repeated rows are packed each for itself. An empty table gives no rows. Every task of every level packs about PIECES
+    pieces; a certified partition is final, the others pass on the pieces of their sequences with free space.
     """
     held = Held(docs.sparkSession)
     columns = [c.split()[0] for c in PIECE.split(", ")]
     todo = held.table(pieces_of(docs, tokenizer_path))
     count = todo.count()
-    parts = max(1, -(-count // PIECES))
-    results, level = [], 0
+    results, level, halved, earlier, before = [], 0, False, None, 0
     while count:
+        parts = -(-count // PIECES)
         # Dealt by hash, so each partition gets the same mix of lengths and copies are spread.
         dealt = todo.repartition(parts, F.xxhash64("doc_id", "piece", F.lit(level)))
         done = held.table(dealt.mapInArrow(_pack(level), PACKED))
-        last = parts == 1
-        results.append(done if last else done.where("final"))
-        if last:
+        saved = before - done.where("offset = 0").count()
+        if earlier is not None and saved <= parts // PARTITIONS_PER_SAVED:
+            better = done if saved > 0 else earlier
+            if halved:
+                results.append(better)
+                break
+            halved = True
+            results.append(better.where(2 * F.col("filled") > CAPACITY))
+            rest = better.where(2 * F.col("filled") <= CAPACITY)
+        elif parts == 1:
+            results.append(done)
             break
-        todo = done.where("NOT final").select(*columns)
-        count = todo.count()
-        parts, level = -(-parts // MERGED), level + 1
+        else:
+            results.append(done.where("final"))
+            rest = done.where("NOT final")
+        count, before = rest.agg(F.count("*"), F.count_if(F.col("offset") == 0)).head()
+        todo, earlier, level = rest.select(*columns), rest, level + 1
     every = results[0] if results else todo.select("*", F.lit(0).cast("long").alias("sequence"), F.lit(0).cast("long").alias("offset"))
     for more in results[1:]:
         every = every.union(more)

@@ -95,6 +95,33 @@ def test_partitions_with_gaps_exchange_pieces(make_docs, sentence, monkeypatch,
     assert bound <= check_places(found) <= bound + (2 if per_task == 100_000 else 8)
 
 
+@pytest.mark.parametrize("sizes", [[20, 300, 700, 1100, 1600], [1500, 1600, 1700], [100, 2100], [1100, 1300]])
+def test_no_task_packs_much_more_than_others(make_docs, sentence, monkeypatch, sizes):
+    """However many pieces the exchange passes on, none of its tasks gets more than thrice PIECES."""
+    per_task = 40
+    plain = packing._pack
+
+    def watched(level):
+        pack = plain(level)
+
+        def packed(batches):
+            batches = list(batches)
+            assert sum(map(len, batches)) <= 3 * per_task
+            yield from pack(batches)
+
+        return packed
+
+    monkeypatch.setattr(packing, "PIECES", per_task)
+    monkeypatch.setattr(packing, "_pack", watched)
+    rng = random.Random(7)
+    rows = [(i, sentence(rng, rng.choice(sizes) + rng.randint(0, 40))) for i in range(400)]
+    found = packing.packed(make_docs(rows), WORDS).collect()
+    assert sorted((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in found) == pieces(rows)
+    whole = packing.best_fit(np.array([r["length"] for r in found]))[2]
+    # A partition of so few pieces wastes less than one sequence.
+    assert check_places(found) <= whole + len(found) / per_task
+
+
 def test_empty_table(make_docs):
     assert packing.packed(make_docs([], 1), WORDS).count() == 0
 
