@@ -1,6 +1,7 @@
 """A cleaning run over the documents table: every stage works on what its predecessor kept."""
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from subscope.llm import decontamination, near_dedup, packing, quality_rules, secret_scan
 from subscope.llm.shared import Held
@@ -14,9 +15,21 @@ def good_enough(spark, docs, sf_dir):
 
 
 def one_of_each_group(spark, docs, sf_dir):
-    """One document of each group of near duplicates stays: the one with the smallest doc_id."""
-    kept = near_dedup.near_duplicates(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    """One document of each group of near duplicates stays: the one with the smallest doc_id, nulls last.
+
+    Rows without a doc_id or with one that others have too are documents of their own; of whole rows that repeat, one is.
+    """
+    ids = docs.groupBy("doc_id").count()
+    if not ids.where("count > 1 OR doc_id IS NULL").head(1):
+        kept = near_dedup.near_duplicates(docs).where("kept").select("doc_id")
+        return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    # The order of doc_id, numbered anew; the numbers are written once, so that all later reads see the same.
+    order = [F.col("doc_id").asc_nulls_last(), *[c for c in COLUMNS if c != "doc_id"]]
+    rows = docs.select(*COLUMNS).distinct().sort(*order).withColumn("row", F.monotonically_increasing_id())
+    rows = Held(spark).table(rows)
+    numbered = rows.select(F.col("row").alias("doc_id"), "text")
+    kept = near_dedup.near_duplicates(numbered).where("kept").select(F.col("doc_id").alias("row"))
+    return rows.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def without_benchmark(spark, docs, sf_dir):
