@@ -1,5 +1,7 @@
 """The stages of the pipeline against plain versions, each on its own input."""
 
+import random
+
 import brute
 import corpus_pipeline
 import public_tokenizers
@@ -61,3 +63,15 @@ def test_stages_on_tricky_rows(spark, make_docs, tricky, tmp_path):
         for _, stage in corpus_pipeline.STAGES:
             docs = Held(spark).table(stage(spark, docs, str(tmp_path)))
         assert (docs.count() > 0) == bool(rows)
+
+
+def test_rows_without_an_id_of_their_own(spark, sentence):
+    rng = random.Random(4)
+    texts = [sentence(rng, 40) for _ in range(5)]
+    rows = [(None, texts[0]), (None, texts[1]), (7, texts[1]), (7, texts[1]), (7, texts[2]), (8, texts[3] + " end"), (3, texts[3])]
+    rows += [(None, texts[3]), (None, None), (None, None), (9, ""), (2, texts[4])]
+    docs = spark.createDataFrame([(i, t, "en", "s", 5) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    found = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert found.columns == docs.columns
+    expected = [(None, texts[0]), (7, texts[1]), (7, texts[2]), (3, texts[3]), (None, None), (9, ""), (2, texts[4])]
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in found.collect()))) == sorted(map(str, expected))
