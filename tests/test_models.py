@@ -185,3 +185,13 @@ def test_reloaded_model_scores_alike(spark, sf_dir):
             assert row.churn_risk == "high_risk"
         else:
             assert row.churn_risk == ("medium_risk" if row.churn_probability >= 0.3 else "low_risk")
+
+
+def test_training_files_follow_the_rows(spark, toy, tmp_path, monkeypatch):
+    from subscope.operators import preprocessing
+
+    monkeypatch.setattr(preprocessing, "ROWS_PER_FILE", max(1, toy.count() // 4))
+    first, second = (preprocessing.write_training(df, str(tmp_path / name)) for name, df in (("a", toy), ("b", toy.repartition(3))))
+    assert len(list((tmp_path / "a").glob("part-*.parquet"))) >= 4
+    parts = [sorted([r.user_id for r in spark.read.parquet(str(f)).collect()] for f in (tmp_path / name).glob("part-*.parquet")) for name in "ab"]
+    assert parts[0] == parts[1] and sum(map(len, parts[0])) == toy.count()
