@@ -49,7 +49,8 @@ def _tokenizer(path: str):
 
 
 _known: dict[str, dict[str, bytes]] = {}
-_MARK = re.compile(r"(?<=[a-z\xdf-\xf6\xf8-\xff])([.,])(?= |$)")
+# The mark comes first, so that the search runs from mark to mark and looks back only there.
+_MARK = re.compile(r"[.,](?<=[a-z\xdf-\xf6\xf8-\xff].)(?= |$)")
 
 
 def _chunks(text: str) -> list[str]:
@@ -63,7 +64,7 @@ def _chunks(text: str) -> list[str]:
     if "<|" not in text:
         try:
             text.encode("latin-1")
-            text = _MARK.sub(r" \1", text.lower())
+            text = _MARK.sub(r" \g<0>", text.lower())
         except UnicodeEncodeError:
             pass
     return text.split(" ")
@@ -80,13 +81,13 @@ def _pieces(path: str, end: int):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 chunks = _chunks(text.as_py() or "")
-                new = [c for c in {*chunks} if c not in known]
+                new = list({*chunks}.difference(known))
                 if len(known) + len(new) > REMEMBERED:
                     known.clear()
                     new = list(set(chunks))
                 for chunk, found in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
                     known[chunk] = array("I", found.ids).tobytes()
-                ids = b"".join([known[c] for c in chunks]) + last
+                ids = b"".join(map(known.__getitem__, chunks)) + last
                 for chunk in new:
                     if len(chunk) > REMEMBERED_LENGTH:
                         del known[chunk]

@@ -1,6 +1,8 @@
 """Token counts and packing against the tokenizers library and plain packing."""
 
 import random
+import re
+import time
 import zlib
 from collections import defaultdict
 from itertools import permutations
@@ -148,3 +150,20 @@ def test_bounds_never_exceed_the_optimum():
         sequence, offset, opened = packing.best_fit(lengths, 20)
         assert packing.lower_bound(lengths, 20) <= best <= opened
         assert np.bincount(sequence, weights=lengths).max() <= 20
+
+
+def test_marks_are_found_from_mark_to_mark():
+    """The same parts as by looking back at every place, in clearly less time."""
+    plain = re.compile(r"(?<=[a-z\xdf-\xf6\xf8-\xff])([.,])(?= |$)")
+    text = "straße, größe. a.b 1. x÷, ÿ. ., é.\xa0 z.. q,\x85 ende." + " some longer words without any marks in between" * 4000
+
+    def seconds(pattern, by):
+        best = 9.0
+        for _ in range(7):
+            began = time.process_time()
+            pattern.sub(by, text)
+            best = min(best, time.process_time() - began)
+        return best
+
+    assert packing._MARK.sub(r" \g<0>", text) == plain.sub(r" \1", text)
+    assert seconds(packing._MARK, r" \g<0>") < 0.7 * seconds(plain, r" \1")
