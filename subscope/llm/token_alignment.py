@@ -40,7 +40,7 @@ from subscope.llm.shared import Held
 CHUNK_CHARS = 4 << 20
 CHUNK_DOCS = 8192
 #: Texts are split and encoded in runs of about so many characters, or so many documents.
-RUN_CHARS = 1 << 22
+RUN_CHARS = 1 << 21
 RUN_DOCS = 4096
 #: Words that a worker remembers in each of its two generations, and words that are encoded as one text.
 CACHE = 250_000
@@ -263,6 +263,13 @@ _young: dict = {}
 _old: dict = {}
 
 
+def _forget() -> None:
+    """Frees the remembered words: a worker that goes on with other work would hold them beside it."""
+    global _young, _old
+    _young, _old = {}, {}
+    pa.default_memory_pool().release_unused()
+
+
 def _remembered(words: Iterable[str], found: list) -> list[int]:
     """Fills `found` from the two generations that the worker keeps; the places of the words that are in neither."""
     new = []
@@ -415,6 +422,7 @@ def _align(path_a: str, path_b: str, with_groups: bool):
 
 def _sum_up(batches):
     """From the rows of chunks in order, counts by place and then documents: the documents with their sums."""
+    _forget()
     chunk, counts, best, parts = None, None, None, []
     for batch in batches:
         chunks = batch.column(0).to_numpy()

@@ -127,3 +127,13 @@ def test_large_groups_are_counted_by_distinct_ids(make_docs, monkeypatch):
 
 def test_empty_table(make_docs):
     assert token_alignment.aligned(make_docs([], 1), A, B).count() == 0
+
+
+def test_words_are_not_held_beside_the_sums():
+    tools = token_alignment.load(A, B)
+    before = list(token_alignment.aligned_texts(["some words, and others"], tools))
+    assert token_alignment._young
+    assert list(token_alignment._sum_up(iter([]))) == []
+    assert not token_alignment._young and not token_alignment._old
+    again = list(token_alignment.aligned_texts(["some words, and others"], tools))
+    assert [x[:5] for x in again] == [x[:5] for x in before]
