@@ -13,6 +13,7 @@ import os
 import re
 import zlib
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -28,6 +29,10 @@ END = 1
 #: Most distinct chunks of text whose ids a Python worker remembers, and the longest of them.
 REMEMBERED = 1_000_000
 REMEMBERED_LENGTH = 40
+#: Characters of the texts that are looked up at a time, about.
+CHARACTERS = 1 << 18
+#: Parts of text that are tokenized at once, and what stands between them: a mark with an id of its own.
+PARTS, APART = 128, "\x7f"
 #: Pieces that one task packs at a time, about, at every level of the exchange.
 PIECES = 100_000
 #: An exchange that saves no more than one sequence in so many partitions is the last one.
@@ -37,20 +42,29 @@ PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECE + ", sequence long, offset long, final boolean, filled long"
 
 
-@lru_cache(maxsize=1)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
+@lru_cache(maxsize=2)
+def _tokenizer(path: str, plain: bool = False):
+    """The tokenizer of a file; with `plain` only for words of _PLAIN letters, which it leaves as they are.
+
+    The file's own rules, normal form, lower case and a pattern that parts letters from the rest, change nothing there.
+    """
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are the parallelism
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
+    if plain:
+        tokenizer.normalizer = normalizers.Sequence([])
+        bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        tokenizer.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), bytewise])
     return tokenizer
 
 
 _known: dict[str, dict[str, bytes]] = {}
 # The mark comes first, so that the search runs from mark to mark and looks back only there.
 _MARK = re.compile(r"[.,](?<=[a-z\xdf-\xf6\xf8-\xff].)(?= |$)")
+_PLAIN = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+")
 
 
 def _chunks(text: str) -> list[str]:
@@ -70,27 +84,65 @@ def _chunks(text: str) -> list[str]:
     return text.split(" ")
 
 
+def _encoded(tokenizer, parts: list[str]) -> Iterator[bytes]:
+    """The ids of each part. PARTS of them go through the tokenizer as one text and are told apart by the mark's id.
+
+    Where the mark itself, or a special string, may be in the parts, they are tokenized one by one.
+    """
+    mark = tokenizer.encode(APART, add_special_tokens=False).ids
+    groups = [parts[i : i + PARTS] for i in range(0, len(parts), PARTS)]
+    texts = [f" {APART} ".join(group) for group in groups]
+    for group, text, found in zip(groups, texts, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+        ids = np.array(found.ids, dtype="<u4")
+        ends = 4 * np.flatnonzero(ids == mark[0])
+        if len(mark) == 1 and len(ends) == len(group) - 1 and "<|" not in text:
+            data, starts = ids.tobytes(), [0, *(ends + 4).tolist()]
+            yield from map(data.__getitem__, map(slice, starts, [*ends.tolist(), len(data)]))
+        else:
+            for one in tokenizer.encode_batch_fast(group, add_special_tokens=False):
+                yield array("I", one.ids).tobytes()
+
+
+def _runs(texts: pa.Array) -> Iterator[list[str]]:
+    """Texts one after another, null as empty, in runs of about CHARACTERS characters and one text at least."""
+    run, size = [], 0
+    for text in texts:
+        text = text.as_py() or ""
+        run.append(text)
+        size += len(text)
+        if size >= CHARACTERS:
+            yield run
+            run, size = [], 0
+    yield run
+
+
+def _ids(path: str, known: dict[str, bytes], texts: list[str]) -> Iterator[bytes]:
+    """The ids of each text. Parts that are not in `known` yet are tokenized together and, unless long, remembered."""
+    parts = [_chunks(text) for text in texts]
+    found = [list(map(known.get, own)) for own in parts]
+    missing = dict.fromkeys(chunk for own, ids in zip(parts, found) for chunk, x in zip(own, ids) if x is None)
+    sides = [chunk for chunk in missing if _PLAIN.fullmatch(chunk)], [chunk for chunk in missing if not _PLAIN.fullmatch(chunk)]
+    new = {}
+    for plain, side in zip((True, False), sides):
+        new.update(zip(side, _encoded(_tokenizer(path, plain), side)))
+    if len(known) + len(new) > REMEMBERED:
+        known.clear()
+    known.update((chunk, ids) for chunk, ids in new.items() if len(chunk) <= REMEMBERED_LENGTH)
+    for own, ids in zip(parts, found):
+        yield b"".join([new[chunk] if x is None else x for chunk, x in zip(own, ids)])
+
+
 def _pieces(path: str, end: int):
     """Every distinct part of the texts is tokenized once and remembered."""
 
     def cut(batches):
-        tokenizer = _tokenizer(path)
         known = _known.setdefault(path, {})
         last = np.array([end], dtype="<u4").tobytes()
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                chunks = _chunks(text.as_py() or "")
-                new = list({*chunks}.difference(known))
-                if len(known) + len(new) > REMEMBERED:
-                    known.clear()
-                    new = list(set(chunks))
-                for chunk, found in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                    known[chunk] = array("I", found.ids).tobytes()
-                ids = b"".join(map(known.__getitem__, chunks)) + last
-                for chunk in new:
-                    if len(chunk) > REMEMBERED_LENGTH:
-                        del known[chunk]
+            encoded = (ids for run in _runs(batch.column(1)) for ids in _ids(path, known, run))
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoded):
+                ids += last
                 for piece, at in enumerate(range(0, len(ids), 4 * CAPACITY)):
                     part = ids[at : at + 4 * CAPACITY]
                     rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))

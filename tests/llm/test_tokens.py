@@ -167,3 +167,23 @@ def test_marks_are_found_from_mark_to_mark():
 
     assert packing._MARK.sub(r" \g<0>", text) == plain.sub(r" \1", text)
     assert seconds(packing._MARK, r" \g<0>") < 0.7 * seconds(plain, r" \1")
+
+
+def test_new_words_are_tokenized_together_as_the_file_tells(monkeypatch):
+    import numpy as np
+    import public_tokenizers
+    import tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain = tokenizers.Tokenizer.from_file(path)
+    texts = [
+        "", " ", "\x7f", "a \x7f b", "x\x7fy 7 it's we'll straße ÿ µ ª ²", "<|endoftext|> hello<|startoftext|>x",
+        "é é K Å", "İstanbul ǅ", "日本語 テスト", "a b\u0085c\x1cd\x1fe", "don't.stop,now. a,", "A'S 'S 'll ﬁ",
+        " ".join(f"wort{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(400)), "z" * 90,
+    ]
+    expected = [np.array(plain.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    known = {}
+    assert list(packing._ids(path, known, texts)) == expected == list(packing._ids(path, known, texts))
+    assert "wortaa" in known and "z" * 90 not in known
+    monkeypatch.setattr(packing, "REMEMBERED", 10)
+    assert list(packing._ids(path, known, texts[::-1])) == expected[::-1]
